@@ -6,6 +6,7 @@ duplicates first, also within the batch, and repairs what it can.
 
 from __future__ import annotations
 
+import datetime as dt
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -56,9 +57,9 @@ def client_rules(policy: str, run_date: Column) -> list[R.Rule]:
             R.fix_future_date("fecha_registro", run_date)]
 
 
-def validate_clients(raw: DataFrame, clientes: DataFrame, run_date: Column, policy: str = STRICT) -> DataFrame:
+def validate_clients(raw: DataFrame, clientes: DataFrame, run_date: dt.date, policy: str = STRICT) -> DataFrame:
     """``run_date`` stands for today, so a run can be repeated with the same result."""
-    ruleset = client_rules(policy, run_date)
+    ruleset = client_rules(policy, F.lit(run_date).cast("date"))
     alone = [r for r in ruleset if r.name not in ("duplicado", "duplicado_lote")]
     marked = V.mark_key(raw, match_key(F.col("email")), clientes, match_key(F.col("email")), "fila",
                         V.passes(alone), "_existe", "_repetido")

@@ -52,8 +52,11 @@ def read_clients_json(spark: SparkSession, path: str, lines: bool = False, row_i
 
 def split_corrupt(raw: DataFrame, entity: str) -> tuple[DataFrame, DataFrame]:
     """Readable rows, and the unreadable ones in the shape of the issue log."""
-    good = raw.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    bad = raw.where(F.col(CORRUPT).isNotNull()).select(
+    # Always true, but it keeps the data columns in the scan: the readers find out about a
+    # malformed record by parsing it, and refuse to fill the corrupt column on its own.
+    parsed = F.length(F.concat_ws("", *[c for c in raw.columns if c not in (CORRUPT, "fila")])) >= 0
+    good = raw.where(F.col(CORRUPT).isNull() & parsed).drop(CORRUPT)
+    bad = raw.where(F.col(CORRUPT).isNotNull() & parsed).select(
         F.lit(entity).alias("entidad"), "fila", F.lit("archivo").alias("identificador"),
         F.lit(S.ROW_ERROR).alias("estado"), F.lit("archivo_malformado").alias("regla"),
         F.lit("archivo").alias("campo"), F.col(CORRUPT).alias("valor"),
