@@ -92,7 +92,8 @@ def test_net_total(spark):
                    "(200000, 18), (-1, 5), (100, -3), (100, 150), (0.05, 50) t(g, p)")
     want = [164000, 0, 100, 0, 0.03]
     assert [r[0] for r in rows(df.select(money.net_total(F.col("g"), F.col("p"))))] == want
-    money.register_sql_functions(spark)
+    spark.createDataFrame([], S.VENTAS).createOrReplaceTempView("v")
+    money.register_sql_functions(spark, "v")
     assert [r[0] for r in rows(df.selectExpr("fn_calcular_total_venta(g, p)"))] == want
 
 

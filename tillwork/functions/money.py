@@ -68,19 +68,26 @@ def net_total(gross: Column, pct: Column) -> Column:
     return F.when(gross < 0, F.lit(0)).otherwise(net).cast(S.MONEY)
 
 
-def register_sql_functions(spark: SparkSession) -> None:
-    """The same two calculations for SQL users. They are SQL bodies, so Catalyst inlines them."""
+def register_sql_functions(spark: SparkSession, sales_view: str = "ventas") -> None:
+    """The same two calculations for SQL users. They are SQL bodies, so Catalyst inlines them.
+
+    The discount looks up delivered sales in ``sales_view``, as a correlated subquery that
+    becomes a join with one aggregate.
+    """
     tiers = " ".join(f"WHEN gross >= {floor} THEN {value}" for floor, value in S.DISCOUNT_TIERS)
     spark.sql(f"""
         CREATE OR REPLACE TEMPORARY FUNCTION fn_calcular_descuento(
-            gross DECIMAL(12,2), items INT, client INT, delivered BIGINT) RETURNS DECIMAL(5,2)
+            gross DECIMAL(12,2), items INT, client INT) RETURNS DECIMAL(5,2)
         RETURN CAST(least({S.DISCOUNT_CEILING},
             (CASE {tiers} ELSE 0 END)
             + if(items >= {S.VOLUME_ITEMS}, {S.VOLUME_BONUS}, 0)
-            + if(client IS NOT NULL AND coalesce(delivered, 0) > {S.LOYALTY_SALES}, {S.LOYALTY_BONUS}, 0)
+            + if((SELECT count(*) FROM {sales_view} v
+                  WHERE v.id_cliente = client AND v.estado = '{S.DELIVERED}') > {S.LOYALTY_SALES},
+                 {S.LOYALTY_BONUS}, 0)
         ) AS DECIMAL(5,2))""")
     spark.sql("""
         CREATE OR REPLACE TEMPORARY FUNCTION fn_calcular_total_venta(
             gross DECIMAL(12,2), pct DECIMAL(5,2)) RETURNS DECIMAL(12,2)
         RETURN CAST(CASE WHEN gross < 0 THEN 0
-            ELSE round(gross * (1 - (CASE WHEN pct < 0 THEN 0 WHEN pct > 100 THEN 100 ELSE pct END) * 0.01), 2) END AS DECIMAL(12,2))""")
+            ELSE round(gross * (1 - (CASE WHEN pct < 0 THEN 0 WHEN pct > 100 THEN 100 ELSE pct END) * 0.01), 2)
+            END AS DECIMAL(12,2))""")

@@ -10,23 +10,40 @@ FULL, DIFFERENTIAL, LOG_MARK = "FULL", "DIFERENCIAL", "LOG_TRANSACCIONES"
 
 # Delimited snapshots have no header, quote where needed, and write NULL as \N.
 _CSV = {
-    "header": "false", "sep": ",", "quote": '"', "escape": "\\", "nullValue": "\\N", "emptyValue": "",
+    "header": "false", "sep": ",", "quote": '"', "escape": "\\", "nullValue": "\\N",
+    "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
     "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS", "timestampFormat": "yyyy-MM-dd HH:mm:ss.SSSSSSXXX",
     "dateFormat": "yyyy-MM-dd", "encoding": "UTF-8",
 }
 
 
+# Text that itself looks like the NULL mark, with any number of backslashes before the N.
+_NULL_LIKE = r"^\\+N$"
+
+
+def _texts(df: DataFrame, change) -> DataFrame:
+    kinds = dict(df.dtypes)
+    return df.select(*[
+        F.when(F.col(c).rlike(_NULL_LIKE), change(F.col(c))).otherwise(F.col(c)).alias(c)
+        if kinds[c] == "string" else F.col(c) for c in df.columns])
+
+
 def snapshot_full(df: DataFrame, path: str, fmt: str = "csv") -> None:
     """Writes the whole table, one file per partition. Note the time before calling: it is
     the watermark of the snapshot, so that changes made meanwhile fall into the next one."""
-    (df.write.options(**_CSV).csv(path) if fmt == "csv" else df.write.parquet(path))
+    if fmt != "csv":
+        df.write.parquet(path)
+        return
+    marked = _texts(df, lambda text: F.concat(F.lit("\\"), text))
+    marked.write.options(**_CSV).option("emptyValue", '""').csv(path)
 
 
 def read_snapshot(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "csv") -> DataFrame:
     if fmt != "csv":
         return spark.read.schema(schema).parquet(path)
     # records may hold line breaks inside quotes
-    return spark.read.schema(schema).options(**_CSV).option("multiLine", True).csv(path)
+    raw = spark.read.schema(schema).options(**_CSV).option("emptyValue", "").option("multiLine", True).csv(path)
+    return _texts(raw, lambda text: F.substring(text, 2, 2 ** 31 - 1))
 
 
 def last_full(log: DataFrame, table: str) -> Column:
