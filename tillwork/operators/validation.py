@@ -81,7 +81,7 @@ def validate(df: DataFrame, rules: list[Rule], parsed: dict[str, Column] | None
     issues = F.filter(F.array(*entries), lambda x: x.isNotNull())
     judged = flagged.withColumn("issues", issues)
     estado = (F.when(rejected, S.ROW_ERROR).when(F.size("issues") > 0, S.ROW_FIXED).otherwise(S.ROW_OK))
-    why = F.when(rejected, F.element_at("issues", -1)["problema"]).when(
+    why = F.when(rejected, F.try_element_at("issues", F.lit(-1))["problema"]).when(
         F.size("issues") > 0, F.array_join(F.transform("issues", lambda x: x["problema"]), "; "))
 
     values = dict(parsed or {})

@@ -48,8 +48,7 @@ def dim_customer(clientes: DataFrame, ventas: DataFrame, segments=S.SEGMENTS,
     """Customers with city, registration year and segment by delivered purchases."""
     delivered = (ventas.where(F.col("estado") == S.DELIVERED).groupBy("id_cliente")
                  .agg(F.count("*").alias("_n")))
-    rows = clientes.join(delivered, "id_cliente", "left")
-    keyed = number_rows(rows, "id_cliente", "id_cliente_sk")
+    keyed = number_rows(clientes, "id_cliente", "id_cliente_sk").join(delivered, "id_cliente", "left")
     extra = [] if loaded_at is None else [loaded_at.alias("fecha_carga_dw")]
     return keyed.select(
         "id_cliente_sk", F.col("id_cliente").alias("id_cliente_nk"),

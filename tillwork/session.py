@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings only, so they can be applied to a session somebody else built.
 # Joins in this library keep one side unique per key; a hot key then sits on the
@@ -44,3 +44,15 @@ def shared_folder(spark: SparkSession, label: str) -> str:
         base = tempfile.mkdtemp(prefix="tillwork-")
         spark.sparkContext.setCheckpointDir(base)
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def settle(df: DataFrame, label: str) -> DataFrame:
+    """Stores an intermediate that is needed more than once, and reads it back.
+
+    Used for results that are far smaller than what they were computed from. Unlike a cache
+    it outlives executors, it cuts the lineage, and its size is known to the optimiser.
+    """
+    spark = df.sparkSession
+    path = shared_folder(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

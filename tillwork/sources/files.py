@@ -20,6 +20,11 @@ def _numbered(df: DataFrame, first: int) -> DataFrame:
     return df.withColumn("fila", F.monotonically_increasing_id() + first)
 
 
+def _own_number(df: DataFrame, row_id: str) -> DataFrame:
+    number = F.col(row_id).try_cast("bigint").alias("fila")
+    return df.select(number, *[c for c in df.columns if c != row_id])
+
+
 def read_products_csv(spark: SparkSession, path: str, row_id: str | None = None,
                       schema: T.StructType = S.STAGING_PRODUCTOS) -> DataFrame:
     """Headered UTF-8 CSV, every field text, empty means missing. The header counts as row 1.
@@ -31,7 +36,7 @@ def read_products_csv(spark: SparkSession, path: str, row_id: str | None = None,
            .option("header", True).option("encoding", "UTF-8").option("mode", "PERMISSIVE")
            .option("columnNameOfCorruptRecord", CORRUPT).csv(path))
     if row_id:
-        return raw.withColumn("fila", F.col(row_id).try_cast("bigint")).drop(row_id)
+        return _own_number(raw, row_id)
     return _numbered(raw, 2)
 
 
@@ -46,7 +51,7 @@ def read_clients_json(spark: SparkSession, path: str, lines: bool = False, row_i
     raw = (spark.read.schema(_with_corrupt(T.StructType(fields))).option("multiLine", not lines)
            .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).json(path))
     if row_id:
-        return raw.withColumn("fila", F.col(row_id).try_cast("bigint")).drop(row_id)
+        return _own_number(raw, row_id)
     return _numbered(raw, 1)
 
 

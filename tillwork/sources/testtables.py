@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tillwork import schema as S
+from tillwork.functions.dates import hour_slice
+from tillwork.operators import audit
 
 # Order status to sale state.
 STATES = {"F": S.DELIVERED, "O": S.CONFIRMED, "P": S.CANCELLED}
@@ -81,3 +83,139 @@ def _brand() -> Column:
 
 def _desk() -> Column:
     return F.substring("o_orderpriority", 1, 1).cast("bigint")
+
+
+class DirtyFeeds:
+    """Import feeds made from whole tables: text columns, with faults that depend on a
+    column of the row, so that every rule meets cases of its own."""
+
+    def __init__(self, t: TestTables):
+        self.t = t
+
+    @staticmethod
+    def _part_name() -> Column:
+        block = F.floor(F.col("p_partkey") / 200).cast("bigint").cast("string")
+        return F.concat_ws(" ", "p_name", "p_brand", block)
+
+    def productos(self) -> DataFrame:
+        price = F.col("p_retailprice").cast(S.PRICE).cast("string")
+        size = F.col("p_size")
+        return self.t.raw("part").select(
+            F.col("p_partkey").alias("fila"),
+            F.when(size == 2, "99").when(size == 3, "x1").when(size != 1, F.substring_index("p_brand", "#", -1))
+            .alias("id_categoria"),
+            F.when(size == 4, "  ").otherwise(self._part_name()).alias("nombre"),
+            F.col("p_type").alias("descripcion"),
+            F.when(size == 5, "PRECIO_INVALIDO").when(size == 6, F.concat(F.lit("-"), price))
+            .when(size == 7, F.replace(price, F.lit("."), F.lit(","))).when(size != 8, price).alias("precio"),
+            F.when(size == 9, "n/a").when(size == 10, "-5").when(size != 11, (size * 10).cast("string")).alias("stock"),
+            F.when(size == 12, "si").when(size == 14, "FALSE").when(size != 13, "1").alias("activo"))
+
+    def catalogo(self) -> DataFrame:
+        """Names already on sale: those of the promotional parts, in capitals."""
+        return self.t.raw("part").where(F.col("p_type") == "PROMO").select(F.upper(self._part_name()).alias("nombre"))
+
+    @staticmethod
+    def _mail() -> Column:
+        return F.concat(F.lower(F.replace("c_name", F.lit("#"), F.lit("."))), F.lit("@mail.com"))
+
+    def clientes(self) -> DataFrame:
+        nation = F.col("c_nationkey")
+        shared = F.concat(F.lower("c_mktsegment"), F.lit("."), F.floor(F.col("c_custkey") / 50).cast("bigint").cast("string"),
+                          F.lit("@dup.com"))
+        given = F.date_add(F.lit("1994-01-01").cast("date"), nation * 30).cast("string")
+        return self.t.raw("customer").select(
+            F.col("c_custkey").alias("fila"),
+            F.when(nation == 0, "").otherwise(F.substring_index("c_name", "#", 1)).alias("nombre"),
+            F.when(nation != 1, F.substring_index("c_name", "#", -1)).alias("apellido"),
+            F.when(nation == 2, "sin-arroba").when(nation == 4, shared).when(nation != 3, self._mail()).alias("email"),
+            F.when(nation == 5, " ").otherwise(F.col("c_mktsegment")).alias("telefono"),
+            F.col("c_mktsegment").alias("direccion"),
+            F.when(nation == 6, "2025-30-99").when(nation == 7, "15/03/2024").when(nation == 8, "12/25/2024")
+            .when(nation == 9, "20240315").when(nation == 10, "2999-01-01").when(nation == 11, "").otherwise(given)
+            .alias("fecha_registro"))
+
+    def registrados(self) -> DataFrame:
+        """Addresses already registered: those of customers in debt, in capitals."""
+        return self.t.raw("customer").where("c_acctbal < 0").select(F.upper(self._mail()).alias("email"))
+
+
+class Activity:
+    """Carts, requests and audit events read from orders, line items and the event log."""
+
+    def __init__(self, t: TestTables):
+        self.t = t
+
+    def carts(self) -> DataFrame:
+        """Every order as a cart; its lines are the items."""
+        return self.t.raw("orders").select(
+            F.col("o_orderkey").alias("cart_id"), F.col("o_custkey").alias("id_cliente"), _desk().alias("id_usuario"),
+            F.col("o_orderpriority").alias("observacion"), F.col("o_orderdate").alias("submitted_at"))
+
+    def items(self) -> DataFrame:
+        qty = F.col("l_quantity").cast("int")
+        # line numbers repeat within an order; the rest of the row settles the order
+        pos = F.col("l_linenumber").cast("bigint") * 10_000_000_000 + F.col("l_partkey") * 100 + qty
+        return self.t.raw("lineitem").select(F.col("l_orderkey").alias("cart_id"), pos.alias("pos"),
+                                             F.col("l_partkey").alias("id_producto"), qty.alias("cantidad"))
+
+    def queued_items(self) -> DataFrame:
+        when = self.carts().select("cart_id", "submitted_at")
+        return self.items().join(when, "cart_id")
+
+    def json_carts(self) -> DataFrame:
+        """Every order as a JSON cart of two items; low-priority ones are empty."""
+        item = lambda key, qty: F.concat(F.lit('{"id_producto":'), key.cast("string"), F.lit(',"cantidad":'),
+                                         qty.cast("string"), F.lit("}"))
+        text = F.concat(F.lit("["), item(F.col("o_custkey"), F.dayofmonth("o_orderdate")), F.lit(","),
+                        item(F.col("o_orderkey"), F.month("o_orderdate")), F.lit("]"))
+        return self.t.raw("orders").select(
+            F.col("o_orderkey").alias("cart_id"), F.col("o_custkey").alias("id_cliente"), _desk().alias("id_usuario"),
+            F.when(F.col("o_orderpriority") == "5-LOW", "[]").otherwise(text).alias("items_json"),
+            F.col("o_orderpriority").alias("observacion"), F.col("o_orderdate").alias("submitted_at"))
+
+    def single_orders(self) -> DataFrame:
+        return self.t.raw("orders").select(
+            F.col("o_orderkey").alias("pedido_id"), F.col("o_custkey").alias("id_cliente"), _desk().alias("id_usuario"),
+            F.col("o_custkey").alias("id_producto"), F.dayofmonth("o_orderdate").alias("cantidad"))
+
+    def cancellations(self) -> DataFrame:
+        """A returned line asks for the cancellation of its order."""
+        return (self.t.raw("lineitem").where(F.col("l_returnflag") == "R").groupBy(F.col("l_orderkey").alias("id_venta"))
+                .agg(F.min("l_linestatus").alias("motivo")))
+
+    def logins(self) -> DataFrame:
+        """Errors are failed logins, everything else is a successful one."""
+        return self.t.raw("events").select(
+            F.col("event_id").alias("id_evento"), _user().alias("usuario"), (F.col("event_type") != "error").alias("exitoso"),
+            F.col("ts").alias("fecha_evento"))
+
+    def delete_requests(self) -> DataFrame:
+        who = F.when(F.col("event_type") == "signup", "db_admin@localhost").otherwise(_user())
+        return self.t.raw("events").select(
+            F.col("event_id").alias("id_evento"), F.col("event_id").alias("id_venta"), who.alias("usuario_bd"),
+            F.concat(F.lit("10.0.0."), F.col("user_id").cast("string")).alias("host_origen"), F.col("ts").alias("fecha_evento"))
+
+    def grants(self) -> DataFrame:
+        rows = self.t.raw("events").where(F.col("event_type") == "click").select(
+            F.col("event_id").alias("id_evento"), F.when(F.col("value") >= 10, "GRANT").otherwise("REVOKE").alias("accion"),
+            F.lit("SELECT").alias("privilegio"), F.lit("ventas").alias("objeto"), _user().alias("beneficiario"),
+            F.lit("db_admin").alias("otorgado_por"), (F.col("value") >= 20).alias("with_grant_option"),
+            F.when(F.col("value") < 1, "ERROR").otherwise("EXITOSO").alias("resultado"),
+            F.lit(None).cast("string").alias("detalle_error"), F.col("ts").alias("fecha_evento"))
+        statement = audit.grant_statement(*[F.col(c) for c in ("accion", "privilegio", "objeto", "beneficiario",
+                                                         "with_grant_option")])
+        return rows.withColumn("sentencia_sql", statement)
+
+    def trail(self) -> dict[str, DataFrame]:
+        done, refused = audit.split_deletes(audit.audit_deletes(self.delete_requests(), self.t["ventas"]))
+        streaks = audit.failure_streaks(self.logins(), hour_slice(F.col("fecha_evento")))
+        failed = streaks.select("id_evento", F.col("usuario").alias("usuario_intento"),
+                                F.concat(F.lit("10.0.0."), F.substring_index("usuario", "_", -1)).alias("host_origen"),
+                                "intentos_cuenta", "bloqueado", F.lit(None).cast("string").alias("descripcion"),
+                                "fecha_evento")
+        return {"deletes": done, "blocked": refused, "grants": self.grants(), "logins": failed}
+
+
+def _user() -> Column:
+    return F.concat(F.lit("user_"), F.col("user_id").cast("string"))
