@@ -97,23 +97,29 @@ def test_net_total(spark):
     assert [r[0] for r in rows(df.selectExpr("fn_calcular_total_venta(g, p)"))] == want
 
 
-def test_apportion_matches_exact_arithmetic(spark):
+def test_share_rounds_like_exact_arithmetic(spark):
     from fractions import Fraction
     import random
     rnd = random.Random(5)
     data = [(Decimal(rnd.randint(-10**e, 10**e)) / 100, Decimal(rnd.randint(-10**f, 10**f)) / 100,
-             Decimal(rnd.randint(0, 40)) / 100 if f == 4 else Decimal(rnd.randint(1, 10**7)) / 100)
-            for e in (4, 7, 11) for f in (4, 7, 11) for _ in range(40)]
+             Decimal(rnd.randint(1, 10**g)) / 100) for e in (4, 7, 10) for f in (4, 7, 10) for g in (2, 4, 8, 11)
+            for _ in range(25)] + [(Decimal("1"), Decimal("0.05"), Decimal("10")), (Decimal("-1"), Decimal("0.05"), Decimal("10")),
+                                   (Decimal("1"), Decimal("1"), Decimal("0"))]
+    data = [d for d in data if d[2] == 0 or abs(d[0] * d[1] / d[2]) < 10**12]
     df = spark.createDataFrame(data, "a decimal(12,2), p decimal(12,2), w decimal(18,2)")
-    got = df.select("*", money.apportion(F.col("a"), F.col("p"), F.col("w")).cast("decimal(38,2)").alias("x"))
-    def want(a, p, w):
-        if w == 0:
-            return None
-        q = Fraction(a) * Fraction(p) / Fraction(w) * 100
-        n = int(abs(q) + Fraction(1, 2))
+    got = df.select("*", money.to_money(money.share(F.col("a"), F.col("p"), F.col("w"))).alias("x"),
+                    money.to_money(F.col("a") - money.share(F.col("a"), F.col("p"), F.col("w"))).alias("y")).collect()
+
+    def half_away(q):
+        n = int(abs(q) * 100 + Fraction(1, 2))
         return Decimal(n if q >= 0 else -n) / 100
-    small = [r for r in got.where("w = 0 or try_divide(abs(a * p), w) < 1e13").collect()]
-    assert len(small) > 200 and all(r.x == want(r.a, r.p, r.w) for r in small)
+    assert len(got) > 500
+    for r in got:
+        if r.w == 0:
+            assert r.x is None and r.y is None
+        else:
+            q = Fraction(r.a) * Fraction(r.p) / Fraction(r.w)
+            assert r.x == half_away(q) and r.y == half_away(Fraction(r.a) - q)
 
 
 def test_allocation(spark, seed):

@@ -6,45 +6,29 @@ from pyspark.sql import Column, SparkSession, functions as F
 
 from tillwork import schema as S
 
-# Two factors below 2^30 cents keep twice their product inside a long.
-_LONG_SAFE = 1 << 30
-
-
-def cents(amount: Column) -> Column:
-    """A two-decimal amount as whole cents."""
-    return (amount * F.lit(100)).cast("bigint")
-
-
-def from_cents(value: Column, kind=S.WIDE) -> Column:
-    return (value.cast("decimal(20,0)") * F.lit("0.01").cast("decimal(3,2)")).cast(kind)
-
-
-def _half_away(num: Column, den: Column) -> Column:
-    """num / den rounded half away from zero to a whole number; NULL when den is 0."""
-    magnitude = F.call_function("div", F.abs(num) * 2 + F.abs(den), F.nullif(F.abs(den) * 2, F.lit(0)))
-    return F.when((num < 0) != (den < 0), -magnitude).otherwise(magnitude)
+def share(amount: Column, part: Column, whole: Column) -> Column:
+    """amount * part / whole before rounding; NULL when whole is 0.
 
+    Multiplying first leaves one division. With amounts of DECIMAL(12,2) and a whole of
+    DECIMAL(18,2) the result carries 15 decimals, which settles every rounding to cents
+    while the whole stays below ten thousand million.
+    """
+    return amount.cast(S.MONEY) * part.cast(S.MONEY) / F.nullif(whole.cast(S.WIDE), F.lit(0))
 
-def apportion(amount: Column, part: Column, whole: Column) -> Column:
-    """round(amount * part / whole, 2), exact, for two-decimal inputs.
 
-    The product of two ordinary amounts in cents fits a long, which keeps the whole
-    expression on primitive arithmetic; larger ones take the wide-decimal branch.
-    """
-    a, p, w = cents(amount), cents(part), cents(whole)
-    fits = (F.abs(a) < _LONG_SAFE) & (F.abs(p) < _LONG_SAFE) & (F.abs(w) < _LONG_SAFE * _LONG_SAFE)
-    wide = _half_away(a.cast("decimal(18,0)") * p.cast("decimal(18,0)"), w.cast("decimal(18,0)"))
-    return from_cents(F.when(fits, _half_away(a * p, w)).otherwise(wide))
+def to_money(amount: Column) -> Column:
+    """Rounded half away from zero to two decimals."""
+    return F.round(amount, 2).cast(S.WIDE)
 
 
 def percent(part: Column, whole: Column) -> Column:
-    """round(part * 100 / whole, 2) for two-decimal amounts; NULL when whole is 0."""
-    return from_cents(_half_away(part.cast("decimal(24,2)") * 100 * 100, whole.cast("decimal(24,2)")))
+    """round(part * 100 / whole, 2); NULL when whole is 0."""
+    return F.round(part.cast(S.TOTAL) * 100 / F.nullif(whole.cast(S.TOTAL), F.lit(0)), 2).cast(S.WIDE)
 
 
 def average(total: Column, count: Column) -> Column:
     """round(total / count, 2); NULL over no rows."""
-    return from_cents(_half_away(total.cast("decimal(24,2)") * 100, count.cast("decimal(20,0)")))
+    return F.round(total.cast(S.TOTAL) / F.nullif(count, F.lit(0)), 2).cast(S.WIDE)
 
 
 def discount_pct(gross: Column, items: Column, client: Column, delivered: Column,

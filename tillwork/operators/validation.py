@@ -88,7 +88,7 @@ def validate(df: DataFrame, rules: list[Rule], parsed: dict[str, Column] | None
     for rule, flag in zip(rules, fired):
         if not rule.rejects:
             current = values.get(rule.field, F.col(rule.field))
-            values[rule.field] = F.when(F.col(flag), rule.repair).otherwise(current)
+            values[rule.field] = F.when(F.col(flag) & ~rejected, rule.repair).otherwise(current)
     raw = F.struct(*[F.col(c) for c in values]).alias("crudo") if values else F.lit(None).alias("crudo")
     keep = [values[c].alias(c) if c in values else F.col(c) for c in df.columns]
     return judged.select(*keep, estado.alias("estado"), why.alias("observacion"), "issues", raw)

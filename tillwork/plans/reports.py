@@ -28,8 +28,8 @@ def _sum(col: str, name: str) -> Column:
     return F.sum(col).alias(name)
 
 
-def _wide(col: str) -> Column:
-    return F.col(col).cast(S.WIDE).alias(col)
+def _total(col: str) -> Column:
+    return F.col(col).cast(S.TOTAL).alias(col)
 
 
 def monthly_sales(fact: DataFrame, calendar: DataFrame) -> DataFrame:
@@ -49,9 +49,9 @@ def monthly_sales(fact: DataFrame, calendar: DataFrame) -> DataFrame:
     return (per_day.join(month, "id_tiempo").groupBy("periodo", "anio", "mes", "nombre_mes")
             .agg(*[_sum(n, n) for n in ("ventas", "totales", "por_linea", "lineas", *_SUMS)])
             .select("periodo", "anio", "mes", "nombre_mes", F.col("ventas").alias("cantidad_ventas"),
-                    F.col("unidades").alias("unidades_vendidas"), F.col("bruto").cast(S.WIDE).alias("monto_bruto"),
-                    F.col("descuentos").cast(S.WIDE).alias("total_descuentos"),
-                    F.col("neto").cast(S.WIDE).alias("monto_neto"),
+                    F.col("unidades").alias("unidades_vendidas"), F.col("bruto").cast(S.TOTAL).alias("monto_bruto"),
+                    F.col("descuentos").cast(S.TOTAL).alias("total_descuentos"),
+                    F.col("neto").cast(S.TOTAL).alias("monto_neto"),
                     money.average(F.col("por_linea"), F.col("lineas")).alias("ticket_promedio"),
                     money.average(F.col("totales"), F.col("ventas")).alias("ticket_por_venta"))
             .orderBy("anio", "mes"))
@@ -64,12 +64,12 @@ def product_sales(fact: DataFrame, dim_p: DataFrame) -> DataFrame:
     since the total needs them a second time.
     """
     folded = _live(fact).groupBy("id_producto_sk").agg(
-        _sum("cantidad", "unidades_vendidas"), F.sum("monto_neto_linea").cast(S.WIDE).alias("monto_neto_total"),
+        _sum("cantidad", "unidades_vendidas"), F.sum("monto_neto_linea").cast(S.TOTAL).alias("monto_neto_total"),
         F.sum("precio_unitario").alias("_p"), F.count("precio_unitario").alias("_n"),
         F.count_distinct("id_venta_nk").alias("apariciones_en_ventas"))
     sold = settle(folded.join(dim_p.select("id_producto_sk", "nombre_producto", "nombre_categoria", "rango_precio"),
                               "id_producto_sk"), "product-sales")
-    total = sold.agg(F.sum("monto_neto_total").cast(S.WIDE)).scalar()
+    total = sold.agg(F.sum("monto_neto_total").cast(S.TOTAL)).scalar()
     return sold.select(
         "id_producto_sk", "nombre_producto", "nombre_categoria", "rango_precio", "unidades_vendidas",
         "monto_neto_total", money.average(F.col("_p"), F.col("_n")).alias("precio_promedio_venta"),
@@ -98,8 +98,8 @@ def category_rollup(fact: DataFrame, dim_p: DataFrame) -> DataFrame:
     grand = F.max(F.when(F.col("_total") == 1, F.col("neto"))).over(every)
     return rolled.select(
         F.when(F.col("_total") == 1, S.TOTAL_LABEL).otherwise(F.col("nombre_categoria")).alias("categoria"),
-        F.col("_total").cast("int").alias("es_total"), "ventas", "unidades", _wide("bruto"), _wide("descuentos"),
-        _wide("neto"), money.percent(F.col("neto"), F.sum("neto").over(every)).alias("pct_categoria"),
+        F.col("_total").cast("int").alias("es_total"), "ventas", "unidades", _total("bruto"), _total("descuentos"),
+        _total("neto"), money.percent(F.col("neto"), F.sum("neto").over(every)).alias("pct_categoria"),
         money.percent(F.col("neto"), grand).alias("pct_real"),
     ).orderBy(F.desc("neto"), F.desc("es_total"))
 
@@ -121,7 +121,7 @@ def customer_ranking(fact: DataFrame, dim_c: DataFrame, calendar: DataFrame | No
     folded = per_sale.groupBy("id_cliente_sk").agg(
         F.count("*").alias("total_compras"), _sum("total", "totales"), _sum("por_linea", "por_linea"),
         _sum("lineas", "lineas"), F.min("primero").alias("primero"), F.max("ultimo").alias("ultimo"),
-        *[_sum(n, n) for n in _SUMS]).withColumn("gasto_total_neto", F.col("neto").cast(S.WIDE))
+        *[_sum(n, n) for n in _SUMS]).withColumn("gasto_total_neto", F.col("neto").cast(S.TOTAL))
     ranked = rank_by(settle(folded, "customer-sales"), "gasto_total_neto", "ranking")
     who = dim_c.select("id_cliente_sk", "nombre_completo", "segmento", "ciudad", "anio_registro")
     as_date = lambda c: F.make_date(F.call_function("div", F.col(c), F.lit(10000)).cast("int"),
@@ -132,7 +132,7 @@ def customer_ranking(fact: DataFrame, dim_c: DataFrame, calendar: DataFrame | No
         F.col("unidades").alias("unidades_compradas"), "gasto_total_neto",
         money.average(F.col("por_linea"), F.col("lineas")).alias("ticket_promedio"),
         money.average(F.col("totales"), F.col("total_compras")).alias("ticket_por_venta"),
-        F.col("descuentos").cast(S.WIDE).alias("descuentos_obtenidos"),
+        F.col("descuentos").cast(S.TOTAL).alias("descuentos_obtenidos"),
         as_date("primero").alias("primera_compra"), as_date("ultimo").alias("ultima_compra"),
         F.datediff(as_date("ultimo"), as_date("primero")).alias("dias_como_cliente"),
     ).orderBy("ranking", "id_cliente_sk")
@@ -142,11 +142,11 @@ def quarterly_change(fact: DataFrame, calendar: DataFrame) -> DataFrame:
     """Net per quarter against the previous quarter that has sales."""
     per_day = _live(fact).groupBy("id_tiempo").agg(_sum("monto_neto_linea", "neto"))
     quarter = (per_day.join(calendar.select("id_tiempo", "anio", "trimestre"), "id_tiempo")
-               .groupBy("anio", "trimestre").agg(F.sum("neto").cast(S.WIDE).alias("neto_trimestre")))
+               .groupBy("anio", "trimestre").agg(F.sum("neto").cast(S.TOTAL).alias("neto_trimestre")))
     # four rows a year: the one window a single task may hold
     before = F.lag("neto_trimestre").over(Window.partitionBy().orderBy("anio", "trimestre"))
     seen = quarter.withColumn("neto_trimestre_anterior", before)
-    change = (F.col("neto_trimestre") - F.col("neto_trimestre_anterior")).cast(S.WIDE)
+    change = (F.col("neto_trimestre") - F.col("neto_trimestre_anterior")).cast(S.TOTAL)
     return seen.select(
         "anio", "trimestre",
         F.concat(F.col("anio").cast("string"), F.lit(" Q"), F.col("trimestre").cast("string")).alias("periodo"),
@@ -166,8 +166,8 @@ def month_category_oltp(t: dict[str, DataFrame]) -> DataFrame:
     return (lines.join(product, "id_producto").withColumn("periodo", dates.month_key(F.col("fecha_venta")))
             .groupBy(*_CELL)
             .agg(F.count_distinct("id_venta").alias("ventas"), _sum("cantidad", "unidades"),
-                 F.sum("monto_bruto_linea").cast(S.WIDE).alias("monto_bruto"),
-                 F.sum("monto_neto_linea").cast(S.WIDE).alias("monto_neto"))
+                 F.sum("monto_bruto_linea").cast(S.TOTAL).alias("monto_bruto"),
+                 F.sum("monto_neto_linea").cast(S.TOTAL).alias("monto_neto"))
             .orderBy(*_CELL))
 
 
@@ -180,8 +180,8 @@ def month_category_dw(fact: DataFrame, calendar: DataFrame, dim_p: DataFrame) ->
     return (per_day.join(calendar.select("id_tiempo", F.col("anio_mes").alias("periodo")), "id_tiempo")
             .groupBy(*_CELL)
             .agg(_sum("ventas", "ventas"), _sum("unidades", "unidades"),
-                 F.sum("monto_bruto").cast(S.WIDE).alias("monto_bruto"),
-                 F.sum("monto_neto").cast(S.WIDE).alias("monto_neto"))
+                 F.sum("monto_bruto").cast(S.TOTAL).alias("monto_bruto"),
+                 F.sum("monto_neto").cast(S.TOTAL).alias("monto_neto"))
             .orderBy(*_CELL))
 
 
@@ -206,7 +206,7 @@ def concentration(products: DataFrame, net: str = "monto_neto_total", key: str =
     Products with equal amounts share one cumulative figure.
     """
     ladder = value_ladder(products, net)
-    total = products.agg(F.sum(net).cast(S.WIDE)).scalar()
+    total = products.agg(F.sum(net).cast(S.TOTAL)).scalar()
     return (products.join(ladder, net)
             .select(key, net, (F.col("_above") + 1).alias("puesto"), money.percent(F.col(net), total).alias("pct"),
                     money.percent(F.col("_running"), total).alias("pct_acumulado"))

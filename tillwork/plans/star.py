@@ -85,13 +85,14 @@ def apportioned_lines(ventas: DataFrame, lines: DataFrame) -> DataFrame:
     gross = line.groupBy("id_venta").agg(F.sum("monto_bruto_linea").cast(S.WIDE).alias("_gross"))
     header = ventas.where(F.col("estado") != S.CANCELLED).join(gross, "id_venta")
     amount, total, whole = F.col("monto_bruto_linea"), F.col("total_venta"), F.col("_gross")
-    # what the sale total leaves off its gross; negative where the total is higher
-    off = whole - total
+    # the discount is what the sale total leaves off; negative where the total is higher
+    rest = F.lit(100) - total * 100 / F.nullif(whole, F.lit(0))
     return (line.join(header.withColumnRenamed("total", "total_venta"), "id_venta")
-            .withColumn("descuento_pct", money.percent(off, whole))
-            .withColumn("monto_descuento", money.apportion(amount, off, whole))
-            .withColumn("monto_neto_linea", money.apportion(amount, total, whole))
-            .drop("_gross"))
+            .withColumn("_net", money.share(amount, total, whole))
+            .withColumn("descuento_pct", money.to_money(rest))
+            .withColumn("monto_descuento", money.to_money(amount - F.col("_net")))
+            .withColumn("monto_neto_linea", money.to_money(F.col("_net")))
+            .drop("_gross", "_net"))
 
 
 def fact_sales(ventas: DataFrame, lines: DataFrame, dim_c: DataFrame, dim_p: DataFrame) -> DataFrame:

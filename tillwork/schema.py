@@ -43,8 +43,10 @@ DISCOUNT_CEILING = "30"
 
 PRICE = T.DecimalType(10, 2)
 MONEY = T.DecimalType(12, 2)
-# Sums and ratios over money; wide enough that an extreme ratio is a number, not an error.
+# One sale's sums and ratios; wide enough that an extreme ratio is a number, not an error.
 WIDE = T.DecimalType(18, 2)
+# Sums over any number of sales.
+TOTAL = T.DecimalType(22, 2)
 
 
 def _struct(*fields: tuple) -> T.StructType:
