@@ -107,8 +107,7 @@ def test_share_rounds_like_exact_arithmetic(spark):
                                    (Decimal("1"), Decimal("1"), Decimal("0"))]
     data = [d for d in data if d[2] == 0 or abs(d[0] * d[1] / d[2]) < 10**12]
     df = spark.createDataFrame(data, "a decimal(12,2), p decimal(12,2), w decimal(18,2)")
-    got = df.select("*", money.to_money(money.share(F.col("a"), F.col("p"), F.col("w"))).alias("x"),
-                    money.to_money(F.col("a") - money.share(F.col("a"), F.col("p"), F.col("w"))).alias("y")).collect()
+    got = money.apportion(df, "a", "p", "w", "pct", "y", "x").collect()
 
     def half_away(q):
         n = int(abs(q) * 100 + Fraction(1, 2))
@@ -120,6 +119,7 @@ def test_share_rounds_like_exact_arithmetic(spark):
         else:
             q = Fraction(r.a) * Fraction(r.p) / Fraction(r.w)
             assert r.x == half_away(q) and r.y == half_away(Fraction(r.a) - q)
+            assert r.pct == half_away(100 - Fraction(r.p) * 100 / Fraction(r.w))
 
 
 def test_allocation(spark, seed):

@@ -84,15 +84,10 @@ def apportioned_lines(ventas: DataFrame, lines: DataFrame) -> DataFrame:
                         (F.col("cantidad") * F.col("precio_unitario")).cast(S.MONEY).alias("monto_bruto_linea"))
     gross = line.groupBy("id_venta").agg(F.sum("monto_bruto_linea").cast(S.WIDE).alias("_gross"))
     header = ventas.where(F.col("estado") != S.CANCELLED).join(gross, "id_venta")
-    amount, total, whole = F.col("monto_bruto_linea"), F.col("total_venta"), F.col("_gross")
     # the discount is what the sale total leaves off; negative where the total is higher
-    rest = F.lit(100) - total * 100 / F.nullif(whole, F.lit(0))
-    return (line.join(header.withColumnRenamed("total", "total_venta"), "id_venta")
-            .withColumn("_net", money.share(amount, total, whole))
-            .withColumn("descuento_pct", money.to_money(rest))
-            .withColumn("monto_descuento", money.to_money(amount - F.col("_net")))
-            .withColumn("monto_neto_linea", money.to_money(F.col("_net")))
-            .drop("_gross", "_net"))
+    joined = line.join(header.withColumnRenamed("total", "total_venta"), "id_venta")
+    return money.apportion(joined, "monto_bruto_linea", "total_venta", "_gross", pct="descuento_pct",
+                           off="monto_descuento", net="monto_neto_linea").drop("_gross")
 
 
 def fact_sales(ventas: DataFrame, lines: DataFrame, dim_c: DataFrame, dim_p: DataFrame) -> DataFrame:

@@ -26,7 +26,8 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def build_session(app: str = "tillwork", master: str | None = None, **conf: str) -> SparkSession:
-    builder = SparkSession.builder.appName(app)
+    # call sites of every column operation cost more than planning does
+    builder = SparkSession.builder.appName(app).config("spark.python.sql.dataFrameDebugging.enabled", "false")
     if master:
         builder = builder.master(master)
     for key, value in conf.items():
