@@ -13,6 +13,7 @@ from tillwork import schema as S
 from tillwork.functions import money
 from tillwork.functions.text import money_text, show
 from tillwork.operators.sequence import number_rows, running_total
+from tillwork.operators.skew import own_exchange
 
 # --- Fixed values: result codes and their texts --------------------------------------
 STOCK_OK = "Stock verificado: disponibilidad suficiente en todos los productos."
@@ -96,7 +97,7 @@ def with_discount(df: DataFrame, delivered: DataFrame, gross: str = "monto_bruto
                   **tiers) -> DataFrame:
     """Adds ``descuento_pct`` and ``total_neto``."""
     pct = money.discount_pct(F.col(gross), F.col(items), F.col("id_cliente"), F.col("entregas"), **tiers)
-    return (df.join(delivered, "id_cliente", "left").withColumn("descuento_pct", pct)
+    return (df.join(own_exchange(delivered, "id_cliente"), "id_cliente", "left").withColumn("descuento_pct", pct)
             .withColumn("total_neto", money.net_total(F.col(gross), F.col("descuento_pct"))).drop("entregas"))
 
 
@@ -129,7 +130,8 @@ def validate_carts(carts: DataFrame, clientes: DataFrame, usuarios: DataFrame, p
                  .select("id_cliente", F.coalesce("entregas", F.lit(0)).alias("entregas")))
     staff = usuarios.where(F.col("activo")).select("id_usuario").distinct().withColumn("_user", F.lit(True))
     seen = (carts.join(summarise_items(items, productos), "cart_id", "left")
-            .join(customers, "id_cliente", "left").join(staff, "id_usuario", "left"))
+            .join(own_exchange(customers, "id_cliente"), "id_cliente", "left")
+            .join(own_exchange(staff, "id_usuario"), "id_usuario", "left"))
     checks = [
         (F.col("total_items").isNull() & F.col("monto_bruto").isNull() & F.col("_fault").isNull(),
          EMPTY, F.lit(EMPTY_CART)),
@@ -232,7 +234,7 @@ def cancel_sales(ventas: DataFrame, lines: DataFrame, productos: DataFrame, requ
              .withColumn("observaciones", F.when(F.col("_why").isNotNull(), note).otherwise(F.col("observaciones")))
              .withColumn("estado", F.when(F.col("_why").isNotNull(), S.CANCELLED).otherwise(F.col("estado")))
              .select(*ventas.columns))
-    freed = lines.join(done.select("id_venta"), "id_venta", "left_semi")
+    freed = lines.join(own_exchange(done.select("id_venta"), "id_venta"), "id_venta", "left_semi")
     return results, after, apply_stock(productos, freed, +1)
 
 
@@ -243,8 +245,8 @@ def validate_single_orders(orders: DataFrame, clientes: DataFrame, usuarios: Dat
     staff = usuarios.where(F.col("activo")).select("id_usuario").distinct().withColumn("_user", F.lit(True))
     goods = productos.where(F.col("activo")).select(
         "id_producto", F.col("nombre").alias("_name"), F.col("precio").alias("_price"), F.col("stock").alias("_stock"))
-    seen = (orders.join(goods, "id_producto", "left").join(customers, "id_cliente", "left")
-            .join(staff, "id_usuario", "left"))
+    seen = (orders.join(goods, "id_producto", "left").join(own_exchange(customers, "id_cliente"), "id_cliente", "left")
+            .join(own_exchange(staff, "id_usuario"), "id_usuario", "left"))
     checks = [
         (F.col("_client").isNull(), 1, _client_missing("id_cliente")),
         (F.col("_user").isNull(), 2, _user_missing("id_usuario")),

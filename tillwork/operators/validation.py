@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tillwork import schema as S
 from tillwork.functions.rules import Rule
+from tillwork.operators.skew import own_exchange
 
 ISSUE = ("struct<regla:string,campo:string,valor:string,problema:string,accion:string,severidad:string>")
 
@@ -24,7 +25,7 @@ def mark_parent(df: DataFrame, key: Column, parent: DataFrame, parent_key: str,
     The parent side is reduced to one row per key, so no row multiplies; whether it is
     broadcast is left to the optimiser, which knows its size.
     """
-    known = parent.select(F.col(parent_key).alias("_pk")).distinct().withColumn(flag, F.lit(True))
+    known = own_exchange(parent.select(F.col(parent_key).alias("_pk")).distinct(), "_pk").withColumn(flag, F.lit(True))
     return (df.withColumn("_fk", key).join(known, F.col("_fk") == F.col("_pk"), "left")
             .drop("_fk", "_pk").withColumn(flag, F.coalesce(flag, F.lit(False))))
 
@@ -35,7 +36,8 @@ def mark_key(df: DataFrame, key: Column, target_keys: DataFrame, target_key: Col
     batch that would be accepted has the same key).
 
     ``eligible`` says whether a row passes every other rejecting rule. The batch is folded
-    to one row per key before the target is looked up, so rows move once on their key.
+    to one row per key before the target is looked up, so rows move once on their key, and
+    a key shared by very many rows is split in that move.
     """
     known = target_keys.select(target_key.alias("_tk")).distinct().withColumn("_taken", F.lit(True))
     rows = df.withColumn("_key", key)
@@ -44,7 +46,7 @@ def mark_key(df: DataFrame, key: Column, target_keys: DataFrame, target_key: Col
              .agg(F.min(F.when(eligible, F.col(row_id))).alias("_first"))
              .join(known, F.col("_key") == F.col("_tk"), "left")
              .select("_key", "_first", F.coalesce("_taken", F.lit(False)).alias("_taken")))
-    return (rows.join(facts, "_key", "left")
+    return (rows.join(own_exchange(facts, "_key"), "_key", "left")
             .withColumn(taken, F.coalesce("_taken", F.lit(False)))
             .withColumn(repeated, F.coalesce(~F.col("_taken") & (F.col(row_id) > F.col("_first")), F.lit(False)))
             .drop("_key", "_first", "_taken"))

@@ -11,6 +11,7 @@ from tillwork import schema as S
 from tillwork.functions import dates, money
 from tillwork.functions.text import city_of, full_name
 from tillwork.operators.sequence import number_rows
+from tillwork.operators.skew import own_exchange
 
 
 def dim_date(spark: SparkSession, start: dt.date, end: dt.date, months=S.MONTH_NAMES,
@@ -77,15 +78,16 @@ def apportioned_lines(ventas: DataFrame, lines: DataFrame) -> DataFrame:
     """Lines of the sales that count, with the sale total spread over them by gross amount.
 
     Sums per sale come from an aggregate that combines before it shuffles, joined back on
-    the sale; a window per sale would hold the largest sale in one task. Sale, sums and
-    lines share one partitioning on the sale id, so the joins add no exchange of their own.
+    the sale; a window per sale would hold the largest sale in one task. Headers are
+    shuffled once more before lines join them, which lets a sale with very many lines be split.
     """
     line = lines.select("id_venta", "id_producto", "cantidad", "precio_unitario",
                         (F.col("cantidad") * F.col("precio_unitario")).cast(S.MONEY).alias("monto_bruto_linea"))
     gross = line.groupBy("id_venta").agg(F.sum("monto_bruto_linea").cast(S.WIDE).alias("_gross"))
     header = ventas.where(F.col("estado") != S.CANCELLED).join(gross, "id_venta")
     # the discount is what the sale total leaves off; negative where the total is higher
-    joined = line.join(header.withColumnRenamed("total", "total_venta"), "id_venta")
+    header = own_exchange(header.withColumnRenamed("total", "total_venta"), "id_venta")
+    joined = line.join(header, "id_venta")
     return money.apportion(joined, "monto_bruto_linea", "total_venta", "_gross", pct="descuento_pct",
                            off="monto_descuento", net="monto_neto_linea").drop("_gross")
 
