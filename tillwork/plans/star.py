@@ -98,7 +98,8 @@ def fact_sales(ventas: DataFrame, lines: DataFrame, dim_c: DataFrame, dim_p: Dat
     Customer keys are looked up on sale headers, before lines multiply them.
     """
     header = ventas.select("id_venta", "id_cliente", "fecha_venta", "total", "estado").join(
-        dim_c.select(F.col("id_cliente_nk").alias("id_cliente"), "id_cliente_sk"), "id_cliente")
+        own_exchange(dim_c.select(F.col("id_cliente_nk").alias("id_cliente"), "id_cliente_sk"), "id_cliente"),
+        "id_cliente")
     priced = apportioned_lines(header, lines).join(
         dim_p.select(F.col("id_producto_nk").alias("id_producto"), "id_producto_sk"), "id_producto")
     day = F.col("fecha_venta").cast("date")
