@@ -35,8 +35,8 @@ def number_rows(df: DataFrame, key: str, name: str, start: int | Column = 0, blo
 
 
 def _descending_chunk(value: Column) -> Column:
-    """Small integers that fall as the value grows: 32 logarithmic steps per doubling."""
-    size = F.floor(F.log2(F.abs(value).cast("double") + 1) * 32).cast("int")
+    """Small integers that fall as the value grows: 256 logarithmic steps per doubling."""
+    size = F.floor(F.log2(F.abs(value).cast("double") + 1) * 256).cast("int")
     return F.when(value < 0, size).otherwise(-size)
 
 

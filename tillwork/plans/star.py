@@ -143,8 +143,8 @@ def run_etl(t: dict[str, DataFrame], folder: str, start: dt.date | None = None,
     for position, (name, build, layout) in enumerate(steps, start=1):
         frame = build()
         if layout:
-            # one shuffle by year and a spread of hash buckets: a year is many files, never one task
-            frame = frame.repartition(F.col(layout), F.pmod(F.hash("id_venta_nk"), F.lit(64)))
+            # rows of a year together, in as many files of advisory size as the year needs
+            frame = frame.hint("rebalance", layout)
         writer = frame.write.mode("overwrite")
         (writer.partitionBy(layout) if layout else writer).parquet(f"{folder}/{name}")
         stamp = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
