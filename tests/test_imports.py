@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import rows
 from tillwork import schema as S
+from tillwork.functions.text import accent_free_key
 from tillwork.operators import validation as V
 from tillwork.plans import imports as I
 from tillwork.sources import files
@@ -150,6 +151,13 @@ def test_batch_duplicates_first_accepted_wins(spark, seed):
                           6: "obligatorio"}
 
 
+def test_accents_count_unless_asked_otherwise(spark, seed):
+    raw = product(spark, (1, "3", "CAFE MOLIDO 500G", None, "1", "1", "1"), (2, "3", "CAFÉ molido 500g", None, "1", "1", "1"))
+    assert reasons(I.validate_products(raw, seed["categorias"], seed["productos"])) == {2: "duplicado"}
+    loose = I.validate_products(raw, seed["categorias"], seed["productos"], key=accent_free_key)
+    assert reasons(loose) == {1: "duplicado", 2: "duplicado"}
+
+
 def test_missing_price_is_rejected(spark, seed):
     raw = product(spark, (1, "1", "A", None, None, "1", "1"), (2, "x", "B", None, "1", "1", "1"))
     assert reasons(I.validate_products(raw, seed["categorias"], seed["productos"])) == {

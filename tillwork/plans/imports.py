@@ -7,6 +7,7 @@ duplicates first, also within the batch, and repairs what it can.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -30,12 +31,14 @@ def product_rules(policy: str) -> list[R.Rule]:
             *R.fix_int_default("stock"), R.fix_bool_default("activo")]
 
 
-def validate_products(raw: DataFrame, categorias: DataFrame, productos: DataFrame,
-                      policy: str = STRICT) -> DataFrame:
+def validate_products(raw: DataFrame, categorias: DataFrame, productos: DataFrame, policy: str = STRICT,
+                      key: Callable[[Column], Column] = match_key) -> DataFrame:
+    """``key`` decides which names are the same: ``match_key`` ignores case, ``accent_free_key``
+    accents as well, as a database collation may."""
     ruleset = product_rules(policy)
     marked = V.mark_parent(raw, R.to_int(F.col("id_categoria")), categorias, "id_categoria", "_categoria")
     alone = [r for r in ruleset if r.name not in ("duplicado", "duplicado_lote")]
-    marked = V.mark_key(marked, match_key(F.col("nombre")), productos, match_key(F.col("nombre")), "fila",
+    marked = V.mark_key(marked, key(F.col("nombre")), productos, key(F.col("nombre")), "fila",
                         V.passes(alone), "_existe", "_repetido")
     parsed = {
         "id_categoria": R.to_int(F.col("id_categoria")),
@@ -57,11 +60,12 @@ def client_rules(policy: str, run_date: Column) -> list[R.Rule]:
             R.fix_future_date("fecha_registro", run_date)]
 
 
-def validate_clients(raw: DataFrame, clientes: DataFrame, run_date: dt.date, policy: str = STRICT) -> DataFrame:
+def validate_clients(raw: DataFrame, clientes: DataFrame, run_date: dt.date, policy: str = STRICT,
+                     key: Callable[[Column], Column] = match_key) -> DataFrame:
     """``run_date`` stands for today, so a run can be repeated with the same result."""
     ruleset = client_rules(policy, F.lit(run_date).cast("date"))
     alone = [r for r in ruleset if r.name not in ("duplicado", "duplicado_lote")]
-    marked = V.mark_key(raw, match_key(F.col("email")), clientes, match_key(F.col("email")), "fila",
+    marked = V.mark_key(raw, key(F.col("email")), clientes, key(F.col("email")), "fila",
                         V.passes(alone), "_existe", "_repetido")
     read = dates.parse_iso if policy == STRICT else dates.parse_any
     parsed = {
