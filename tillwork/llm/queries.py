@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillwork.llm import bpe, mixing, sharding, simhash
+from tillwork.llm import bpe, langid, mixing, sharding, simhash
 from tillwork.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,5 +28,9 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.classes(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_source_mix, op5_byte_bpe, op8_hash_tree, op9_simhash)}
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_source_mix, op5_byte_bpe, op8_hash_tree, op9_simhash, op10_language_id)}
 ORACLE: dict[str, str] = {}
