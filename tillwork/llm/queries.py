@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillwork.llm import bpe, langid, mixing, sharding, simhash
+from tillwork.llm import bpe, langid, licenses, mixing, quality, sharding, simhash
 from tillwork.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,14 @@ def op1_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op2_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.assess(table(spark, sf_dir, "documents"))
+
+
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.digest(licenses.scan(table(spark, sf_dir, "documents")))
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.tokenize(table(spark, sf_dir, "documents"))
 
@@ -32,5 +40,6 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_source_mix, op5_byte_bpe, op8_hash_tree, op9_simhash, op10_language_id)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (
+    op1_source_mix, op2_divergence, op3_license_scan, op5_byte_bpe, op8_hash_tree, op9_simhash, op10_language_id)}
 ORACLE: dict[str, str] = {}
