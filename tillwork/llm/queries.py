@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillwork.llm import bpe, langid, licenses, mixing, quality, sharding, simhash
+from tillwork.llm import bpe, langid, licenses, lines, mixing, quality, sharding, simhash
 from tillwork.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,10 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.digest(licenses.scan(table(spark, sf_dir, "documents")))
 
 
+def op4_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.digest(lines.dedup(table(spark, sf_dir, "documents")))
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.tokenize(table(spark, sf_dir, "documents"))
 
@@ -41,5 +45,5 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_source_mix, op2_divergence, op3_license_scan, op5_byte_bpe, op8_hash_tree, op9_simhash, op10_language_id)}
+    op1_source_mix, op2_divergence, op3_license_scan, op4_line_templates, op5_byte_bpe, op8_hash_tree, op9_simhash, op10_language_id)}
 ORACLE: dict[str, str] = {}
