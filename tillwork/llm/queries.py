@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillwork.llm import bpe, langid, licenses, lines, mixing, quality, sharding, simhash, vectors
+from tillwork.llm import bpe, langid, licenses, lines, lm, mixing, quality, sharding, simhash, vectors
 from tillwork.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,10 @@ def op6_vector_graphs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near(table(spark, sf_dir, "embeddings"))
 
 
+def op7_backoff_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents"))
+
+
 def op8_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(table(spark, sf_dir, "documents"))
 
@@ -49,5 +53,5 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_source_mix, op2_divergence, op3_license_scan, op4_line_templates, op5_byte_bpe, op6_vector_graphs, op8_hash_tree, op9_simhash, op10_language_id)}
+    op1_source_mix, op2_divergence, op3_license_scan, op4_line_templates, op5_byte_bpe, op6_vector_graphs, op7_backoff_automaton, op8_hash_tree, op9_simhash, op10_language_id)}
 ORACLE: dict[str, str] = {}
