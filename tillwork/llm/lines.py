@@ -139,8 +139,15 @@ def dedup(docs: DataFrame, **how) -> DataFrame:
 
 
 def keep_first(docs: DataFrame, **how) -> DataFrame:
-    """The documents with recurring lines dropped; columns are those of ``docs``."""
-    return dedup(docs, **how).select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The documents with recurring lines dropped; columns are those of ``docs``.
+
+    Where a text lost lines, a column ``n_chars`` gets its new length.
+    """
+    found = dedup(docs, **how)
+    if "n_chars" in docs.columns:
+        length = F.char_length("text").cast(dict(docs.dtypes)["n_chars"])
+        found = found.withColumn("n_chars", F.when(F.col("n_dropped") > 0, length).otherwise(F.col("n_chars")))
+    return found.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def digest(found: DataFrame) -> DataFrame:
