@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tillwork.session import settle  # noqa: F401  (stored intermediates, read back; used by the operators)
 
@@ -27,6 +27,29 @@ def texts(batch: pa.RecordBatch, name: str = "text") -> list[str]:
     return [t or "" for t in batch.column(name).to_pylist()]
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """All columns as one, ``row``, so that whatever an operator adds beside it has a name of its own."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+
+
+def unpacked(rows: DataFrame) -> DataFrame:
+    return rows.select("row.*")
+
+
+def with_columns(rows: DataFrame, added: dict[str, tuple[str, pa.DataType, Callable[[list[str]], list]]]) -> DataFrame:
+    """``packed`` rows with columns worked out from the batch's texts: name -> (Spark type, Arrow type, work)."""
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        row = batch.column("row")
+        found = [t or "" for t in row.field("text").to_pylist()]
+        return pa.RecordBatch.from_arrays([row, *(pa.array(f(found), kind) for _, kind, f in added.values())],
+                                          names=["row", *added])
+
+    schema = T.StructType([rows.schema["row"]])
+    for name, (kind, _, _) in added.items():
+        schema = schema.add(name, kind)
+    return rows.mapInArrow(per_batch(work), schema)
+
+
 #: A-Z to a-z on UTF-8 bytes; every other byte stays.
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 

@@ -12,9 +12,9 @@ import pandas as pd
 import public_tokenizers
 import pyarrow as pa
 import sentencepiece
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tillwork.llm.common import texts
+from tillwork.llm.common import packed, texts, unpacked
 
 #: A piece that begins a word carries this mark in the public vocabulary.
 START = "▁"
@@ -191,17 +191,16 @@ class Scorer:
 _scorers: dict[str, Scorer] = {}
 
 
-def predict(docs: DataFrame, model: tuple[list[str], list[str], np.ndarray], keep: list[str]) -> DataFrame:
-    """The ``keep`` columns, and ``_lang`` and ``_score``: the likeliest language and its share.
+def predict(rows: DataFrame, model: tuple[list[str], list[str], np.ndarray]) -> DataFrame:
+    """``packed`` rows with ``lang_pred`` and ``score``: the likeliest language and its share.
 
     Only the text is looked at, all of it. The share compares the languages' probabilities of
     the text. ``und`` with score 0 where the text is null or has no letter, or nothing was
     learned; ties go to the first language by name.
     """
     langs, pieces, prob = model
-    shared = docs.sparkSession.sparkContext.broadcast((pieces, prob))
+    shared = rows.sparkSession.sparkContext.broadcast((pieces, prob))
     name = uuid.uuid4().hex
-    kinds = dict(docs.dtypes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if name not in _scorers:
@@ -209,20 +208,19 @@ def predict(docs: DataFrame, model: tuple[list[str], list[str], np.ndarray], kee
             _scorers[name] = Scorer(*shared.value)
         scorer = _scorers[name]
         for batch in batches:
+            row = batch.column("row")
             lang, score = ["und"] * batch.num_rows, np.zeros(batch.num_rows)
             if langs:
-                logs = scorer.score(texts(batch))
+                logs = scorer.score([t or "" for t in row.field("text").to_pylist()])
                 some = ~np.isnan(logs[:, 0])
                 best = np.argmax(np.where(np.isnan(logs), -np.inf, logs), axis=1)
                 for k in np.flatnonzero(some):
                     lang[k] = langs[best[k]]
                     score[k] = 1 / np.exp(np.maximum(logs[k] - logs[k, best[k]], -700)).sum()
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(lang), pa.array(score)],
-                                             names=[*keep, "_lang", "_score"])
+            yield pa.RecordBatch.from_arrays([row, pa.array(lang, pa.string()), pa.array(score)],
+                                             names=["row", "lang_pred", "score"])
 
-    names = keep if "text" in keep else [*keep, "text"]
-    return docs.select(*[F.col(f"`{c}`") for c in names]).mapInArrow(
-        run, ", ".join([*(f"`{c}` {kinds[c]}" for c in keep), "_lang string, _score double"]))
+    return rows.mapInArrow(run, T.StructType([rows.schema["row"]]).add("lang_pred", "string").add("score", "double"))
 
 
 def identify(docs: DataFrame, **how) -> DataFrame:
@@ -232,13 +230,11 @@ def identify(docs: DataFrame, **how) -> DataFrame:
     language to learn. Repeated and null ids are rows like others; a null id is not held out.
     Other columns are not read.
     """
-    found = predict(docs, learn(docs, **how), ["doc_id"])
-    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("_lang").alias("lang_pred"),
-                        F.col("_score").alias("score"))
+    found = predict(packed(docs.select("doc_id", "text")), learn(docs, **how))
+    return found.select("row.doc_id", held_out(F.col("row.doc_id")).alias("held_out"), "lang_pred", "score")
 
 
 def keep_identified(docs: DataFrame, least: float = 0.5, **how) -> DataFrame:
     """The documents whose language is told with a share of at least ``least``; same columns."""
-    found = predict(docs, learn(docs, **how), docs.columns)
-    return found.where((F.col("_lang") != "und") & (F.col("_score") >= least)).select(
-        *[F.col(f"`{c}`") for c in docs.columns])
+    found = predict(packed(docs), learn(docs, **how))
+    return unpacked(found.where((F.col("lang_pred") != "und") & (F.col("score") >= least)))

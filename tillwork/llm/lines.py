@@ -9,7 +9,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tillwork.llm.common import settle, texts
+from tillwork.llm.common import packed, settle, texts, unpacked
 from tillwork.operators.skew import own_exchange
 
 #: A field that differs from line to line.
@@ -121,21 +121,20 @@ def recurring(docs: DataFrame, depth: int = 3, least_tokens: int = 5, least_text
 
 
 def dedup(docs: DataFrame, **how) -> DataFrame:
-    """The documents with recurring lines dropped, and n_lines and n_dropped of each.
+    """``packed`` documents with recurring lines dropped, and n_lines and n_dropped of each.
 
     What is left keeps its order and line breaks. A null text stays null with 0 lines; an empty
     one has one empty line. Texts that lose nothing stay as they are; one may lose all its lines
     and stay as an empty text. A null doc_id comes last where the first occurrence is chosen;
-    repeated rows are copies of one text. Columns of ``docs`` come through.
+    repeated rows are copies of one text.
     """
     drops = recurring(docs, **how).select(F.col("text").alias("_of"), "drop")
-    rows = docs.withColumn("_key", F.xxhash64("text")).join(drops, F.col("_key") == F.col("_of"), "left")
-    parts = F.split("text", "\n", -1)
+    rows = packed(docs).withColumn("_key", F.xxhash64("row.text")).join(drops, F.col("_key") == F.col("_of"), "left")
+    parts = F.split("row.text", "\n", -1)
     left = F.array_join(F.filter(parts, lambda _, i: ~F.array_contains(F.col("drop"), i.cast("long"))), "\n")
-    others = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
-    return rows.select(*others, F.when(F.col("drop").isNull(), F.col("text")).otherwise(left).alias("text"),
-                       F.coalesce(F.size(parts), F.lit(0)).cast("long").alias("n_lines"),
-                       F.coalesce(F.size("drop"), F.lit(0)).cast("long").alias("n_dropped"))
+    row = F.when(F.col("drop").isNull(), F.col("row")).otherwise(F.col("row").withField("text", left))
+    return rows.select(row.alias("row"), F.when(F.col("row.text").isNull(), 0).otherwise(F.size(parts)).cast("long").alias("n_lines"),
+                       F.when(F.col("drop").isNull(), 0).otherwise(F.size("drop")).cast("long").alias("n_dropped"))
 
 
 def keep_first(docs: DataFrame, **how) -> DataFrame:
@@ -145,10 +144,12 @@ def keep_first(docs: DataFrame, **how) -> DataFrame:
     """
     found = dedup(docs, **how)
     if "n_chars" in docs.columns:
-        length = F.char_length("text").cast(dict(docs.dtypes)["n_chars"])
-        found = found.withColumn("n_chars", F.when(F.col("n_dropped") > 0, length).otherwise(F.col("n_chars")))
-    return found.select(*[F.col(f"`{c}`") for c in docs.columns])
+        length = F.char_length("row.text").cast(dict(docs.dtypes)["n_chars"])
+        found = found.withColumn("row", F.when(F.col("n_dropped") > 0, F.col("row").withField("n_chars", length))
+                                 .otherwise(F.col("row")))
+    return unpacked(found)
 
 
 def digest(found: DataFrame) -> DataFrame:
-    return found.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+    return found.select("row.doc_id", "n_lines", "n_dropped",
+                        F.sha2(F.coalesce("row.text", F.lit("")), 256).alias("kept_sha256"))

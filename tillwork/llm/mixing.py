@@ -5,24 +5,16 @@ from __future__ import annotations
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tillwork.llm.common import per_batch, settle, source_key, texts
+from tillwork.llm.common import packed, settle, source_key, unpacked, with_columns
 
 
-def _count_words(batch: pa.RecordBatch) -> pa.RecordBatch:
-    sizes = pa.array([len(t.encode().split()) for t in texts(batch)], pa.int64())
-    keep = [n for n in batch.schema.names if n != "text"]
-    return pa.RecordBatch.from_arrays([*(batch.column(n) for n in keep), sizes], names=[*keep, "size"])
+def _sizes(found: list[str]) -> list[int]:
+    return [len(t.encode().split()) for t in found]
 
 
-def sized(docs: DataFrame) -> DataFrame:
-    """doc_id, source and the number of words of each text (null: 0)."""
-    return docs.select("doc_id", "source", "text").mapInArrow(
-        per_batch(_count_words), _schema(docs, "doc_id", "source") + ", size bigint")
-
-
-def _schema(df: DataFrame, *names: str) -> str:
-    kinds = dict(df.dtypes)
-    return ", ".join(f"`{n}` {kinds[n]}" for n in names)
+def sized(rows: DataFrame) -> DataFrame:
+    """``packed`` rows and ``size``, the number of words of each text (null: 0)."""
+    return with_columns(rows, {"size": ("long", pa.int64(), _sizes)})
 
 
 def apportion(parties: DataFrame, keys: list[str], party: str, votes: str, seats: str, name: str) -> DataFrame:
@@ -46,7 +38,8 @@ def apportion(parties: DataFrame, keys: list[str], party: str, votes: str, seats
     more = more.withColumn("_seat", seat).where("_seat >= 1")
     quotient = F.col(votes) / (2 * F.col("_seat") - 1) * F.signum(F.col("_e"))
     ranks = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
-    ranked = more.withColumn("_rank", F.row_number().over(ranks.orderBy(F.desc(quotient), party)))
+    ranked = more.withColumn("_rank", F.row_number().over(ranks.orderBy(
+        F.desc(quotient), F.when(F.col("_e") > 0, F.col(party)).asc(), F.when(F.col("_e") < 0, F.col(party)).desc())))
     change = (ranked.where(F.col("_rank") <= F.abs("_e")).groupBy(*keys, party)
               .agg(F.sum(F.signum("_e")).cast("bigint").alias("_change")))
     return (start.join(change, [*keys, party], "left")
@@ -99,7 +92,8 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), repeats: int = 3,
     Null source: a source of its own. Null or empty text: size 0, nothing taken. Null or
     repeated ids are rows like others. Without any word all targets and takings are 0.
     """
-    words = settle(sized(docs).withColumn("_key", source_key("source")), "mix-words")
+    words = sized(packed(docs.select("doc_id", "source", "text"))).select("row.doc_id", "row.source", "size")
+    words = settle(words.withColumn("_key", source_key("source")), "mix-words")
     sources = (words.groupBy("_key").agg(F.first("source").alias("source"), F.sum("size").alias("source_size"),
                                          F.count("*").alias("_docs")))
     sources = targets(sources, weights, repeats)
@@ -147,14 +141,8 @@ def apply_mix(docs: DataFrame, **how) -> DataFrame:
     takings = (mix(docs, **how).groupBy(F.col("doc_id").alias("_id"), source_key("source").alias("_k"),
                                         F.col("size").alias("_size"))
                .agg(F.avg("taken").alias("_taken")))
-    counted = docs.mapInArrow(per_batch(_with_size), _schema(docs, *docs.columns) + ", _words bigint")
-    on = [F.col("doc_id").eqNullSafe(F.col("_id")), source_key("source") == F.col("_k"), F.col("_words") == F.col("_size")]
-    times = F.when(F.col("_words") == 0, F.lit(1)).otherwise(F.round(F.col("_taken") / F.col("_words"))).cast("int")
-    many = counted.join(takings, on).withColumn("_times", times).where("_times > 0")
-    return many.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(
-        *[F.col(f"`{c}`") for c in docs.columns])
-
-
-def _with_size(batch: pa.RecordBatch) -> pa.RecordBatch:
-    sizes = pa.array([len(t.encode().split()) for t in texts(batch)], pa.int64())
-    return pa.RecordBatch.from_arrays([*batch.columns, sizes], names=[*batch.schema.names, "_words"])
+    on = [F.col("row.doc_id").eqNullSafe(F.col("_id")), source_key("row.source") == F.col("_k"),
+          F.col("size") == F.col("_size")]
+    times = F.when(F.col("size") == 0, F.lit(1)).otherwise(F.round(F.col("_taken") / F.col("size"))).cast("int")
+    many = sized(packed(docs)).join(takings, on).withColumn("_times", times).where("_times > 0")
+    return unpacked(many.select("row", F.explode(F.sequence(F.lit(1), F.col("_times")))))

@@ -11,7 +11,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from tillwork.llm.common import LOWER, per_batch, settle, texts
+from tillwork.llm.common import LOWER, packed, settle, unpacked, with_columns
 from tillwork.llm.components import components
 
 
@@ -36,17 +36,9 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >= 1 << 63 else x
 
 
-def with_fingerprints(docs: DataFrame, keep: list[str]) -> DataFrame:
-    """The ``keep`` columns and ``_fp``, the fingerprint as a signed 64-bit number."""
-    kinds = dict(docs.dtypes)
-
-    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        fps = pa.array([_signed(fingerprint(t)) for t in texts(batch)], pa.int64())
-        return pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), fps], names=[*keep, "_fp"])
-
-    names = keep if "text" in keep else [*keep, "text"]
-    return docs.select(*[F.col(f"`{c}`") for c in names]).mapInArrow(
-        per_batch(work), ", ".join([*(f"`{c}` {kinds[c]}" for c in keep), "_fp bigint"]))
+def with_fingerprints(docs: DataFrame) -> DataFrame:
+    """``packed`` rows and ``_fp``, the fingerprint as a signed 64-bit number."""
+    return with_columns(packed(docs), {"_fp": ("long", pa.int64(), lambda found: [_signed(fingerprint(t)) for t in found])})
 
 
 @dataclass(frozen=True)
@@ -161,7 +153,7 @@ def classes(docs: DataFrame, most: int = 4) -> DataFrame:
     like any other. A null doc_id is a row like others but never a component's id, unless the
     component has no other (then null). Repeated rows each come back. Other columns are not read.
     """
-    rows = settle(with_fingerprints(docs, ["doc_id"]), "fingerprints")
+    rows = settle(with_fingerprints(docs.select("doc_id", "text")).select("row.doc_id", "_fp"), "fingerprints")
     heads = settle(rows.groupBy("_fp").agg(F.min("doc_id").alias("_first")), "fingerprint-heads")
     roots = components(close_pairs(heads, most))
     rooted = heads.join(roots, heads["_fp"] == roots["node"], "left").select(
@@ -181,7 +173,8 @@ def keep_one(docs: DataFrame, most: int = 4) -> DataFrame:
     """
     found = classes(docs, most).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
     kept = settle(found.groupBy(F.col("doc_id").alias("_id")).agg(F.count("*").alias("_n")), "kept-ids")
-    single = docs.join(kept.where("_n = 1 AND _id IS NOT NULL"), F.col("doc_id") == F.col("_id"), "left_semi")
+    single = unpacked(packed(docs).join(kept.where("_n = 1 AND _id IS NOT NULL"), F.col("row.doc_id") == F.col("_id"),
+                                        "left_semi"))
     rest = kept.where("_n > 1 OR _id IS NULL")
     if not rest.limit(1).count():
         return single
@@ -189,7 +182,7 @@ def keep_one(docs: DataFrame, most: int = 4) -> DataFrame:
         F.min("fingerprint").alias("_print")).select("_id", "_print")
     prints = prints.join(rest.select(F.col("_id").alias("_rest")), F.col("_id").eqNullSafe(F.col("_rest")), "left_semi")
     hexed = F.lpad(F.lower(F.hex("_fp")), 16, "0")
-    repeated = (with_fingerprints(docs, docs.columns)
-                .join(prints, F.col("doc_id").eqNullSafe(F.col("_id")) & (hexed == F.col("_print")))
-                .dropDuplicates(["doc_id", "_print"]))
-    return single.unionByName(repeated.select(*[F.col(f"`{c}`") for c in docs.columns]))
+    repeated = (with_fingerprints(docs)
+                .join(prints, F.col("row.doc_id").eqNullSafe(F.col("_id")) & (hexed == F.col("_print")))
+                .dropDuplicates(["_id", "_print"]))
+    return single.union(unpacked(repeated))
