@@ -38,6 +38,7 @@ def money_text(c: str) -> str:
             f" || '.' || lpad(CAST(abs({c}) % 100 AS VARCHAR), 2, '0'))")
 
 
+BUYER = "(o_custkey + CASE WHEN o_orderkey % 13 = 0 THEN 10000000 ELSE 0 END)"
 DESK = "CAST(substr(o_orderpriority, 1, 1) AS BIGINT)"
 BRAND = "CAST(split_part(p_brand, '#', 2) AS INT)"
 MAIL = "lower(replace(c_name, '#', '.')) || '@mail.com'"
@@ -53,6 +54,7 @@ def names(values: list[str], at: str) -> str:
     return "[" + ", ".join(f"'{v}'" for v in values) + f"][{at}]"
 
 
+
 CTES = {
     "categorias": ([], f"SELECT DISTINCT {BRAND} AS id_categoria, p_brand AS nombre FROM part"),
     "productos": ([], f"""SELECT p_partkey AS id_producto, {BRAND} AS id_categoria,
@@ -175,23 +177,26 @@ CTES = {
           CAST(f_apellido AS INT) AS n_apellido,
           CASE WHEN d_any IS NULL THEN 1 ELSE CAST(d_iso IS NULL AS INT) + CAST(d_any > DATE '2025-06-01' AS INT) END AS n_fecha
         FROM c_flags f LEFT JOIN c_first USING (k))"""),
-    "carros": ([], f"""SELECT o_orderkey AS cart_id, o_custkey AS id_cliente, {DESK} AS id_usuario,
+    "carros": ([], f"""SELECT o_orderkey AS cart_id, {BUYER} AS id_cliente, {DESK} AS id_usuario,
         o_orderpriority AS observacion, o_orderdate AS submitted_at FROM orders"""),
     "items": ([], """SELECT l_orderkey AS cart_id, CAST(l_linenumber AS BIGINT) * 10000000000 + l_partkey * 100
-        + CAST(l_quantity AS INT) AS pos, l_partkey AS id_producto, CAST(l_quantity AS INT) AS cantidad FROM lineitem"""),
-    "carros_json": ([], f"""SELECT o_orderkey AS cart_id, o_custkey AS id_cliente, {DESK} AS id_usuario FROM orders"""),
-    "items_json": ([], """SELECT o_orderkey AS cart_id, CAST(0 AS BIGINT) AS pos, o_custkey AS id_producto,
-        CAST(day(o_orderdate) AS INT) AS cantidad FROM orders WHERE o_orderpriority <> '5-LOW'
-        UNION ALL SELECT o_orderkey, 1, o_orderkey, CAST(month(o_orderdate) AS INT) FROM orders
-        WHERE o_orderpriority <> '5-LOW'"""),
+        + CAST(l_quantity AS INT) AS pos, l_partkey AS id_producto, CASE WHEN l_partkey % 97 = 0 THEN 0 WHEN l_partkey % 89 = 0 THEN -3
+        WHEN l_partkey % 101 = 0 THEN 2000000000 WHEN l_partkey % 83 <> 0 THEN CAST(l_quantity AS INT) END AS cantidad
+        FROM lineitem"""),
+    "carros_json": ([], f"""SELECT o_orderkey AS cart_id, {BUYER} AS id_cliente, {DESK} AS id_usuario FROM orders"""),
+    "items_json": (["items"], """SELECT i.* FROM items i JOIN orders ON o_orderkey = cart_id WHERE o_orderpriority <> '5-LOW'"""),
     "entregas": (["ventas"], "SELECT id_cliente, count(*) AS n FROM ventas WHERE estado = 'entregada' GROUP BY 1"),
-    "pedidos": ([], f"""SELECT o_orderkey AS pedido_id, o_custkey AS id_cliente, {DESK} AS id_usuario,
-        o_custkey AS id_producto, CAST(day(o_orderdate) AS INT) AS cantidad FROM orders"""),
-    "bajas": ([], """SELECT l_orderkey AS id_venta, min(l_linestatus) AS motivo FROM lineitem
-        WHERE l_returnflag = 'R' GROUP BY 1"""),
-    "bajas_v": (["bajas", "ventas"], """SELECT b.*, CASE WHEN v.id_venta IS NULL THEN 1
-        WHEN v.estado NOT IN ('pendiente', 'confirmada') THEN 2 ELSE 0 END AS codigo, v.estado FROM bajas b
-        LEFT JOIN ventas v USING (id_venta)"""),
+    "pedidos": ([], f"""SELECT o_orderkey AS pedido_id, {BUYER} AS id_cliente, {DESK} AS id_usuario,
+        o_custkey AS id_producto, CAST(day(o_orderdate) - 3 AS INT) AS cantidad FROM orders"""),
+    "bajas": ([], """SELECT l_orderkey + CASE WHEN l_linenumber = 7 THEN 1000000000 ELSE 0 END AS id_venta,
+        'dev ' || l_linenumber || '/' || l_partkey AS motivo,
+        CAST(l_linenumber AS BIGINT) * 10000000000 + l_partkey * 100 + CAST(l_quantity AS INT) AS orden
+        FROM lineitem WHERE l_returnflag = 'R'"""),
+    "bajas_v": (["bajas", "ventas"], """SELECT * EXCLUDE (vez, antes), CASE WHEN antes IS NULL THEN 1
+        WHEN antes NOT IN ('pendiente', 'confirmada') OR vez > 1 THEN 2 ELSE 0 END AS codigo,
+        CASE WHEN antes IN ('pendiente', 'confirmada') AND vez > 1 THEN 'cancelada' ELSE antes END AS estado FROM (
+        SELECT b.*, v.estado AS antes, row_number() OVER (PARTITION BY b.id_venta ORDER BY orden) AS vez FROM bajas b
+        LEFT JOIN ventas v USING (id_venta))"""),
     "accesos": ([], """SELECT event_id AS id_evento, 'user_' || user_id AS usuario, user_id, event_type <> 'error' AS exitoso,
         ts AS fecha_evento FROM events"""),
     "rachas": (["accesos"], """SELECT id_evento, usuario, user_id, fecha_evento, intentos_cuenta,
@@ -246,20 +251,23 @@ def priced(carts: str, items: str) -> dict[str, tuple[list[str], str]]:
             FROM {items} i LEFT JOIN productos p ON p.id_producto = i.id_producto"""),
         "j_first": (["j_items"], """SELECT cart_id, falla, texto FROM (SELECT *, row_number() OVER (PARTITION BY cart_id
             ORDER BY pos) AS rn FROM j_items WHERE falla > 0) WHERE rn = 1"""),
-        "j_sum": (["j_items"], """SELECT cart_id, sum(CAST(precio_c AS HUGEINT) * cantidad) AS bruto_c,
-            sum(cantidad) AS total_items FROM j_items GROUP BY 1"""),
+        "j_sum": (["j_items"], """SELECT cart_id, CASE WHEN NOT bool_or(coalesce(largo, false)) THEN sum(importe_c) END AS bruto_c,
+            sum(cantidad) AS total_items, count(*) AS lineas,
+            bool_or(coalesce(cantidad <= 0, true) OR coalesce(largo, false)) AS negado FROM (
+            SELECT *, CAST(precio_c AS HUGEINT) * cantidad AS importe_c,
+              abs(CAST(precio_c AS HUGEINT) * cantidad) > 999999999999 AS largo FROM j_items) GROUP BY 1"""),
         "j_over": (["j_items"], """SELECT DISTINCT cart_id FROM (SELECT cart_id, id_producto FROM j_items
             GROUP BY 1, 2 HAVING sum(cantidad) > max(stock))"""),
         "j_cart": ([carts, "clientes", "usuarios", "j_first", "j_sum", "j_over", "entregas"], f"""
             SELECT *, {pct_sql('bruto_c', 'total_items', 'id_cliente', 'n')} AS pct, CASE
-              WHEN total_items IS NULL THEN 1 WHEN NOT hay_cliente THEN 2 WHEN NOT hay_usuario THEN 3 WHEN falla IS NOT NULL THEN 4
-              WHEN sobra THEN 99 ELSE 0 END AS codigo, CASE
-              WHEN total_items IS NULL THEN 'El carrito está vacío. Debe incluir al menos un producto.'
+              WHEN lineas IS NULL THEN 1 WHEN NOT hay_cliente THEN 2 WHEN NOT hay_usuario THEN 3 WHEN falla IS NOT NULL THEN 4
+              WHEN sobra OR negado THEN 99 ELSE 0 END AS codigo, CASE
+              WHEN lineas IS NULL THEN 'El carrito está vacío. Debe incluir al menos un producto.'
               WHEN NOT hay_cliente THEN 'Cliente id=' || id_cliente || ' no encontrado.'
               WHEN NOT hay_usuario THEN 'Usuario id=' || id_usuario || ' no encontrado o inactivo.'
-              WHEN falla IS NOT NULL THEN texto WHEN sobra THEN 'Error inesperado de base de datos. Transacción revertida.'
+              WHEN falla IS NOT NULL THEN texto WHEN sobra OR negado THEN 'Error inesperado de base de datos. Transacción revertida.'
               ELSE '' END AS mensaje FROM (
-            SELECT c.*, s.bruto_c, s.total_items, f.falla, f.texto, o.cart_id IS NOT NULL AS sobra, e.n,
+            SELECT c.*, s.bruto_c, s.total_items, s.lineas, s.negado, f.falla, f.texto, o.cart_id IS NOT NULL AS sobra, e.n,
               c.id_cliente IN (SELECT id_cliente FROM clientes) AS hay_cliente,
               c.id_usuario IN (SELECT id_usuario FROM usuarios WHERE activo) AS hay_usuario
             FROM {carts} c LEFT JOIN j_sum s ON s.cart_id = c.cart_id LEFT JOIN j_first f ON f.cart_id = c.cart_id
@@ -381,13 +389,13 @@ ORACLE = {
           CASE WHEN rechazo IS NULL THEN 'warning' ELSE 'error' END FROM c_strict_v WHERE regla IS NOT NULL
         ORDER BY entidad DESC, fila""", "p_strict_v", "c_strict_v"),
     "v18_status_summary": sql("""
-        SELECT entidad, estado, CAST(sum(count(*)) OVER (PARTITION BY entidad, estado) AS BIGINT) AS cantidad, pagina,
-          string_agg(n, ' | ' ORDER BY fila) AS registros FROM (
-          SELECT 'Productos' AS entidad, estado, fila, CAST(fila // 10000 AS BIGINT) AS pagina,
-            coalesce(nombre, '(sin nombre)') AS n FROM p_strict_v
-          UNION ALL SELECT 'Clientes', estado, fila, fila // 10000, coalesce(nombre, '?') || ' ' ||
-            CASE WHEN f_apellido AND estado <> 'error' THEN '(sin apellido)' ELSE coalesce(nullif(trim(apellido), ''), '?') END
-            FROM c_strict_v) GROUP BY entidad, estado, pagina""", "p_strict_v", "c_strict_v"),
+        SELECT 'Productos' AS entidad, estado, count(*) AS cantidad FROM p_strict_v GROUP BY 2
+        UNION ALL SELECT 'Clientes', estado, count(*) FROM c_strict_v GROUP BY 2""", "p_strict_v", "c_strict_v"),
+    "v18_status_names": sql("""
+        SELECT 'Productos' AS entidad, estado, fila, coalesce(nombre, '(sin nombre)') AS registro FROM p_strict_v
+        UNION ALL SELECT 'Clientes', estado, fila, coalesce(nombre, '?') || ' ' ||
+          CASE WHEN f_apellido AND estado <> 'error' THEN '(sin apellido)' ELSE coalesce(nullif(trim(apellido), ''), '?') END
+          FROM c_strict_v""", "p_strict_v", "c_strict_v"),
     "v19_import_counters": sql("""
         SELECT 'Productos' AS entidad, count(*) AS leidos, count(*) FILTER (estado <> 'error') AS insertados,
           count(*) FILTER (estado = 'error') AS descartados, count(*) FILTER (estado = 'corregido') AS corregidos,
@@ -510,7 +518,7 @@ ORACLE = {
         FROM ventas v LEFT JOIN entregas e ON e.id_cliente = v.id_cliente)""", "ventas", "entregas"),
     "c5_price_carts": sql(f"""SELECT cart_id, id_cliente, {money('bruto_c', 'monto_bruto')}, {big('total_items', 'total_items')},
         CAST(pct AS DOUBLE) AS descuento_pct, {money(net_sql('bruto_c', 'pct'), 'total_neto')} FROM j_cart
-        WHERE total_items IS NOT NULL""", "j_cart", extra=CARTS),
+        WHERE lineas IS NOT NULL""", "j_cart", extra=CARTS),
     "c6_validate_carts": sql(f"""SELECT cart_id, id_cliente, id_usuario, codigo, mensaje,
         CASE WHEN codigo = 0 THEN {money('bruto_c')} END AS monto_bruto,
         CASE WHEN codigo = 0 THEN CAST(total_items AS BIGINT) END AS total_items,
@@ -532,12 +540,12 @@ ORACLE = {
     "c8_apply_stock": sql("""SELECT p.id_producto, CAST(stock - coalesce(n, 0) AS BIGINT) AS stock FROM productos p LEFT JOIN
         (SELECT id_producto, sum(cantidad) AS n FROM lineas JOIN ventas USING (id_venta) WHERE estado = 'confirmada'
          GROUP BY 1) m USING (id_producto)""", "productos", "lineas", "ventas"),
-    "c10_cancel_requests": sql("""SELECT id_venta, motivo, codigo, CASE codigo WHEN 1 THEN 'Venta id=' || id_venta || ' no encontrada.'
+    "c10_cancel_requests": sql("""SELECT id_venta, motivo, orden, codigo, CASE codigo WHEN 1 THEN 'Venta id=' || id_venta || ' no encontrada.'
         WHEN 2 THEN 'La venta id=' || id_venta || ' tiene estado "' || estado || '" y no puede cancelarse.'
         ELSE 'Venta id=' || id_venta || ' cancelada correctamente. Stock restaurado.' END AS mensaje FROM bajas_v""", "bajas_v"),
     "c10_sales_after_cancel": sql("""SELECT v.id_venta, CASE WHEN codigo = 0 THEN 'cancelada' ELSE v.estado END AS estado,
         CASE WHEN codigo = 0 THEN ' | CANCELADA: ' || motivo || ' (2025-06-01 00:00:00)' END AS observaciones
-        FROM ventas v LEFT JOIN bajas_v b USING (id_venta)""", "ventas", "bajas_v"),
+        FROM ventas v LEFT JOIN (SELECT * FROM bajas_v WHERE codigo = 0) b USING (id_venta)""", "ventas", "bajas_v"),
     "c10_stock_after_cancel": sql("""SELECT p.id_producto, CAST(stock + coalesce(n, 0) AS BIGINT) AS stock FROM productos p
         LEFT JOIN (SELECT id_producto, sum(cantidad) AS n FROM lineas JOIN bajas_v USING (id_venta) WHERE codigo = 0
         GROUP BY 1) m USING (id_producto)""", "productos", "lineas", "bajas_v"),
@@ -545,11 +553,13 @@ ORACLE = {
           WHEN 1 THEN 'Cliente id=' || id_cliente || ' no encontrado.'
           WHEN 2 THEN 'Usuario id=' || id_usuario || ' no encontrado o inactivo.'
           WHEN 3 THEN 'Producto id=' || id_producto || ' no existe o no está activo.'
-          WHEN 4 THEN 'Stock insuficiente para "' || nombre || '": solicitado=' || cantidad || ', disponible=' || stock || '.' END
+          WHEN 4 THEN 'Stock insuficiente para "' || nombre || '": solicitado=' || cantidad || ', disponible=' || stock || '.'
+          WHEN 99 THEN 'Error inesperado de base de datos. Transacción revertida.' END
           AS mensaje, CASE WHEN codigo = 0 THEN {money('precio_c * cantidad')} ELSE 0 END AS total
         FROM (SELECT o.*, p.nombre, p.stock, p.precio_c, CASE WHEN o.id_cliente NOT IN (SELECT id_cliente FROM clientes) THEN 1
           WHEN o.id_usuario NOT IN (SELECT id_usuario FROM usuarios WHERE activo) THEN 2
-          WHEN p.id_producto IS NULL THEN 3 WHEN p.stock < o.cantidad THEN 4 ELSE 0 END AS codigo
+          WHEN p.id_producto IS NULL THEN 3 WHEN p.stock < o.cantidad THEN 4
+          WHEN o.cantidad <= 0 THEN 99 ELSE 0 END AS codigo
           FROM pedidos o LEFT JOIN (SELECT * FROM productos WHERE activo) p USING (id_producto))""",
         "pedidos", "productos", "clientes", "usuarios"),
 
@@ -568,12 +578,11 @@ ORACLE = {
         WHERE precio_c <> antes""", "precios"),
     "a4_audit_deletes": sql(f"""SELECT id_evento, id_venta, id_cliente_ref, id_usuario_ref, {money('total_c', 'total_ref')},
         estado_ref, usuario_bd, host_origen, resultado, motivo_bloqueo, fecha_evento, datos_eliminados FROM borrados""", "borrados"),
-    "a5_protected_products": sql("""SELECT id_producto, id_producto IN (SELECT id_producto FROM lineas WHERE id_venta IN
-        (SELECT id_venta FROM ventas WHERE fecha_venta > TIMESTAMP '2001-07-01')) AS protegido FROM productos""",
-        "productos", "lineas", "ventas"),
-    "a6_audit_feed": sql("""SELECT * FROM feed WHERE fecha_evento BETWEEN TIMESTAMP '2000-01-01' AND TIMESTAMP '2024-01-20'""", "feed"),
+    "a5_protected_products": sql("""SELECT id_producto, id_producto IN (SELECT id_producto FROM lineas) AS protegido
+        FROM productos""", "productos", "lineas"),
+    "a6_audit_feed": sql("""SELECT * FROM feed WHERE fecha_evento BETWEEN TIMESTAMP '2000-01-01' AND TIMESTAMP '2030-01-01'""", "feed"),
     "a6_audit_feed_filtered": sql("""SELECT * FROM feed WHERE fecha_evento BETWEEN TIMESTAMP '2024-01-05'
-        AND TIMESTAMP '2024-01-20' AND contains(principal_name, 'user_1')""", "feed"),
+        AND TIMESTAMP '2030-01-01' AND contains(principal_name, 'user_1')""", "feed"),
     "a7_audit_summary": sql("""
         SELECT 'DELETE en Ventas' AS categoria, count(*) AS total_eventos, CAST(0 AS BIGINT) AS bloqueados,
           max(fecha_evento) AS ultimo_evento FROM borrados WHERE resultado = 'EXITOSO'
@@ -677,7 +686,7 @@ ORACLE = {
         total_compras FROM (SELECT CAST(rank() OVER (ORDER BY n DESC) AS BIGINT) AS ranking, * FROM (
         SELECT h.id_cliente_sk, nombre_completo, segmento, sum(neto_c) AS n, count(DISTINCT id_venta) AS total_compras
         FROM hecho h JOIN dim_c c ON c.id_cliente_sk = h.id_cliente_sk GROUP BY 1, 2, 3))
-        WHERE ranking <= 200 AND segmento = 'NUEVO'""", "hecho", "dim_c"),
+        WHERE ranking <= 2000 AND segmento = 'NUEVO'""", "hecho", "dim_c"),
 }
 
 _STOCK = "SELECT c.cart_id, coalesce(falla, 0) AS codigo, coalesce(texto, 'Stock verificado: disponibilidad suficiente en todos " \
@@ -696,8 +705,11 @@ ORACLE["c9_first_oversold"] = sql(f"""SELECT id_producto, cart_id, submitted_at,
     LEFT JOIN (SELECT * FROM productos WHERE activo) p ON p.id_producto = q.id_producto
     WHERE NOT coalesce(demanda_acumulada <= p.stock, false)) WHERE rn = 1""", "items", "carros", "productos")
 
-ORACLE["t1_import_stream"] = sql("""SELECT cat AS id_categoria, trim(nombre) || '/' || fila AS nombre, descripcion,
+# files by the rows' numbers; rows of a file in their order, files one after another
+ORACLE["t1_import_stream"] = sql("""SELECT cat AS id_categoria, trim(nombre) AS nombre, descripcion,
     CAST(greatest(d_lenient, 0) AS DOUBLE) AS precio, greatest(coalesce(n_stock, 0), 0) AS stock,
-    activo IS DISTINCT FROM 'FALSE' AS activo FROM p_flags
-    WHERE NOT f_nombre AND NOT f_clave AND NOT f_fk AND d_lenient IS NOT NULL""", "p_flags")
+    activo IS DISTINCT FROM 'FALSE' AS activo FROM (
+    SELECT *, row_number() OVER (PARTITION BY k ORDER BY fila // 7 % 4, fila) AS vez FROM p_flags
+    WHERE NOT f_nombre AND NOT f_clave AND NOT f_fk AND d_lenient IS NOT NULL
+      AND k NOT IN (SELECT k FROM catalogo)) WHERE vez = 1""", "p_flags", "catalogo")
 ORACLE["t2_price_stream"] = ORACLE["a3_price_history"]

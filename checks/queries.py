@@ -189,6 +189,11 @@ def _(t):
     return I.import_reports(_products(t, I.STRICT), _clients(t, I.STRICT))["resumen"]
 
 
+@query("v18_status_names")
+def _(t):
+    return I.import_reports(_products(t, I.STRICT), _clients(t, I.STRICT))["registros"]
+
+
 @query("v19_import_counters")
 def _(t):
     return I.import_reports(_products(t, I.LENIENT), _clients(t, I.LENIENT))["contadores"]
@@ -435,14 +440,13 @@ def _(t):
 
 @query("a5_protected_products")
 def _(t):
-    recent = t["detalle_ventas"].join(t["ventas"].where(F.col("fecha_venta") > at("2001-07-01")), "id_venta", "left_semi")
-    kept, free = A.protected_products(t["productos"], recent)
+    kept, free = A.protected_products(t["productos"], t["detalle_ventas"])
     pick = lambda df, v: df.select("id_producto", F.lit(v).alias("protegido"))
     return pick(kept, True).unionByName(pick(free, False))
 
 
 def _feed(t, **kw):
-    return A.audit_feed(Activity(t).trail(), until=at("2024-01-20"), **kw)
+    return A.audit_feed(Activity(t).trail(), until=at("2030-01-01"), **kw)
 
 
 @query("a6_audit_feed")
@@ -594,7 +598,7 @@ def _(t):
 @query("r11_segment_check")
 def _(t):
     s = Star(t)
-    return R.segment_check(R.customer_ranking(s.fact, s.dim_c), top=200)
+    return R.segment_check(R.customer_ranking(s.fact, s.dim_c), top=2000)
 
 
 # --- streaming -----------------------------------------------------------------------
@@ -602,11 +606,13 @@ def _(t):
 @query("t1_import_stream")
 def _(t):
     feeds, folder = DirtyFeeds(t), shared_folder(t.spark, "import")
-    # the part key makes every name its own, so the result does not hang on arrival order
-    rows = feeds.productos().withColumn("nombre", F.concat_ws("/", F.nullif(F.trim("nombre"), F.lit("")),
-                                                              F.when(F.trim("nombre") != "", F.col("fila").cast("string"))))
-    rows.drop("fila").write.option("header", True).csv(f"{folder}/in")
-    stream = incoming(t.spark, f"{folder}/in", S.STAGING_PRODUCTOS)
+    # four files that arrive one after another, each a trigger of its own, rows in file order
+    rows = feeds.productos()
+    for part in range(4):
+        (rows.where(F.pmod(F.call_function("div", F.col("fila"), F.lit(7)), F.lit(4)) == part).coalesce(1)
+         .sortWithinPartitions("fila").drop("fila").write.mode("append").option("header", True)
+         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(f"{folder}/in"))
+    stream = incoming(t.spark, f"{folder}/in", S.STAGING_PRODUCTOS, files_per_trigger=1)
     check = lambda batch, existing: I.validate_products(batch, t["categorias"], existing, I.LENIENT)
     existing = feeds.catalogo()
     writer = import_stream(stream, check, existing, "nombre", S.NUEVO_PRODUCTO, f"{folder}/out", f"{folder}/state")

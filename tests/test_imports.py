@@ -117,13 +117,13 @@ def test_reports(staged, seed):
     assert kinds[("Productos", "duplicado")] == 3 and kinds[("Clientes", "fecha_invalida")] == 1
 
 
-def test_summary_pages_keep_every_name(staged, seed):
+def test_summary_has_one_shape(staged, seed):
     v = I.validate_products(staged[0], seed["categorias"], seed["productos"])
-    pages = rows(V.status_summary(v, "Productos", I.product_label(), page_rows=5).where("estado = 'ok'"),
-                 "cantidad", "pagina", "registros")
-    assert [p for _, p, _ in pages] == sorted({p for _, p, _ in pages}) and len(pages) > 1
-    assert {n for n, _, _ in pages} == {6}
-    assert sum(len(names.split(" | ")) for _, _, names in pages) == 6
+    counts = dict(rows(V.status_counts(v, "Productos"), "estado", "cantidad"))
+    named = rows(V.status_names(v, "Productos", I.product_label()), "fila", "estado", "registro")
+    assert counts["ok"] == 6 and sum(counts.values()) == len(named) == 14
+    assert [f for f, _, _ in named] == sorted(f for f, _, _ in named)
+    assert sum(e == "ok" for _, e, _ in named) == 6
 
 
 def product(spark, *data):

@@ -19,11 +19,9 @@ def match_key(text: Column) -> Column:
 
 
 def accent_free_key(text: Column) -> Column:
-    """Key that ignores case and accents. Normalising once keeps the join a hash join,
-    which comparing under a collation would not."""
-    accented = "áàäâãåéèëêíìïîóòöôõúùüûñç"
-    plain = "aaaaaaeeeeiiiiooooouuuunc"
-    return F.translate(match_key(text), accented, plain)
+    """Key that ignores case and accents, whatever the letters: compared under the collation, it
+    still joins and groups by hash."""
+    return F.collate(match_key(text), "UNICODE_CI_AI")
 
 
 def full_name(first: Column, last: Column) -> Column:

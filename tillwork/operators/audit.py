@@ -119,9 +119,9 @@ def register_feed_function(spark: SparkSession, t: dict[str, DataFrame], name: s
     spark.sql(f"""
         CREATE OR REPLACE TEMPORARY FUNCTION {name}(
             category STRING, since TIMESTAMP_NTZ, until TIMESTAMP_NTZ, who STRING)
-        RETURNS TABLE ({", ".join(c + (" INT" if c == "id_evento" else " TIMESTAMP_NTZ" if c == "fecha_evento"
+        RETURNS TABLE ({", ".join(c + (" BIGINT" if c == "id_evento" else " TIMESTAMP_NTZ" if c == "fecha_evento"
                                        else " STRING") for c in FEED)})
-        RETURN SELECT {", ".join(("CAST(id_evento AS INT)" if c == "id_evento" else c) for c in FEED)}
+        RETURN SELECT {", ".join(("CAST(id_evento AS BIGINT)" if c == "id_evento" else c) for c in FEED)}
         FROM {name}_base
         WHERE (category = 'TODAS' OR categoria_evento LIKE
                CASE category WHEN 'DELETE' THEN 'DELETE%' WHEN 'GRANT' THEN 'PERMISO%' ELSE category END)

@@ -19,7 +19,8 @@ from tillwork.operators.skew import own_exchange
 STOCK_OK = "Stock verificado: disponibilidad suficiente en todos los productos."
 EMPTY_CART = "El carrito está vacío. Debe incluir al menos un producto."
 UNEXPECTED = "Error inesperado de base de datos. Transacción revertida."
-FACADE_NOTE = "Insertado vía fachada de pedidos completos"
+FACADE_NOTE = "Insertado vía sp_insertar_pedido_via_vista (fachada de vista_pedidos_completos)"
+FACADE_OK = "Pedido registrado vía vista_pedidos_completos. Venta id="
 OK, EMPTY, NO_CLIENT, NO_USER, NO_STOCK, OVERSOLD = 0, 1, 2, 3, 4, 99
 MISSING, SHORT = 1, 2
 
@@ -64,18 +65,26 @@ def _judged_items(items: DataFrame, productos: DataFrame) -> DataFrame:
             .withColumn("_fault", F.when(code > 0, F.struct("pos", code.alias("code"), text.alias("text")))))
 
 
+def _line_amount(price: str, quantity: str) -> Column:
+    """Price times quantity; NULL where that has more digits than an amount may have."""
+    return (F.col(price) * F.col(quantity)).try_cast(S.MONEY)
+
+
 def summarise_items(items: DataFrame, productos: DataFrame) -> DataFrame:
-    """Per cart: first failing item, gross, item count, and whether the demand for some
-    product over all its lines exceeds the stock."""
+    """Per cart: first failing item, gross, units, number of lines, whether the demand for some
+    product over all its lines exceeds the stock, and whether the tables would refuse a line:
+    no quantity, one of zero or less, or an amount of too many digits."""
     per_product = _judged_items(items, productos).groupBy("cart_id", "id_producto").agg(
         F.min("_fault").alias("fault"),
         F.sum("cantidad").alias("units"),
-        F.sum((F.col("_price") * F.col("cantidad")).cast(S.MONEY)).alias("gross"),
-        F.max("_stock").alias("stock"))
+        F.sum(_line_amount("_price", "cantidad")).alias("gross"),
+        F.max("_stock").alias("stock"), F.count("*").alias("lines"),
+        F.bool_or(F.coalesce(F.col("cantidad") <= 0, F.lit(True))
+                  | (F.col("_price").isNotNull() & _line_amount("_price", "cantidad").isNull())).alias("refused"))
     return per_product.groupBy("cart_id").agg(
         F.min("fault").alias("_fault"),
-        F.sum("gross").cast(S.WIDE).alias("monto_bruto"),
-        F.sum("units").alias("total_items"),
+        F.sum("gross").try_cast(S.WIDE).alias("monto_bruto"),
+        F.sum("units").alias("total_items"), F.sum("lines").alias("_lines"), F.bool_or("refused").alias("_refused"),
         F.coalesce(F.bool_or(F.col("units") > F.col("stock")), F.lit(False)).alias("_oversold"))
 
 
@@ -109,11 +118,15 @@ def discount_scenarios(scenarios: DataFrame, ventas: DataFrame) -> DataFrame:
 
 def price_carts(carts: DataFrame, productos: DataFrame, ventas: DataFrame,
                 items: DataFrame | None = None) -> DataFrame:
-    """Gross, item count, discount and net per cart at current prices."""
+    """Gross, item count, discount and net per cart at current prices.
+
+    A cart with a line amount, or a total, of too many digits has no gross and no net.
+    """
     items = parse_carts(carts) if items is None else items
     lines = items.join(productos.select("id_producto", "precio"), "id_producto", "left")
     sums = lines.groupBy("cart_id").agg(
-        F.sum((F.col("precio") * F.col("cantidad")).cast(S.MONEY)).cast(S.WIDE).alias("monto_bruto"),
+        F.when(~F.bool_or((F.col("precio") * F.col("cantidad")).isNotNull() & _line_amount("precio", "cantidad").isNull()),
+               F.sum(_line_amount("precio", "cantidad")).try_cast(S.WIDE)).alias("monto_bruto"),
         F.sum("cantidad").alias("total_items"))
     return with_discount(carts.select("cart_id", "id_cliente").join(sums, "cart_id"), delivered_counts(ventas))
 
@@ -122,8 +135,9 @@ def validate_carts(carts: DataFrame, clientes: DataFrame, usuarios: DataFrame, p
                    ventas: DataFrame, items: DataFrame | None = None) -> DataFrame:
     """Code, message and price of every cart; the first failing check decides.
 
-    Rejected carts carry zero total and discount. 99 is the cart whose lines pass one by
-    one but together ask for more of a product than there is.
+    Rejected carts carry zero total and discount. 99 is the cart whose lines pass the checks but
+    which the tables would refuse: together they ask for more of a product than there is,
+    a quantity is missing or not positive, or an amount has too many digits.
     """
     items = parse_carts(carts) if items is None else items
     customers = (clientes.select("id_cliente").distinct().join(delivered_counts(ventas), "id_cliente", "left")
@@ -133,12 +147,12 @@ def validate_carts(carts: DataFrame, clientes: DataFrame, usuarios: DataFrame, p
             .join(own_exchange(customers, "id_cliente"), "id_cliente", "left")
             .join(own_exchange(staff, "id_usuario"), "id_usuario", "left"))
     checks = [
-        (F.col("total_items").isNull() & F.col("monto_bruto").isNull() & F.col("_fault").isNull(),
-         EMPTY, F.lit(EMPTY_CART)),
+        (F.col("_lines").isNull(), EMPTY, F.lit(EMPTY_CART)),
         (F.col("entregas").isNull(), NO_CLIENT, _client_missing("id_cliente")),
         (F.col("_user").isNull(), NO_USER, _user_missing("id_usuario")),
         (F.col("_fault").isNotNull(), NO_STOCK, F.col("_fault.text")),
-        (F.col("_oversold"), OVERSOLD, F.lit(UNEXPECTED)),
+        (F.col("_oversold") | F.col("_refused") | F.col("monto_bruto").try_cast(S.MONEY).isNull(),
+         OVERSOLD, F.lit(UNEXPECTED)),
     ]
     code, text = F, F
     for failed, number, message in checks:
@@ -205,10 +219,19 @@ def first_oversold(allocated: DataFrame) -> DataFrame:
                     F.col("w.demanda_acumulada").alias("demanda_acumulada"), F.col("w.stock").alias("stock")))
 
 
-def cancel_requests(ventas: DataFrame, requests: DataFrame) -> DataFrame:
-    """Code and message per request (id_venta, motivo): 1 unknown, 2 too late, 0 cancelled."""
-    known = ventas.select("id_venta", F.col("estado").alias("_state")).withColumn("_known", F.lit(True))
-    seen = requests.join(known, "id_venta", "left")
+def cancel_requests(ventas: DataFrame, requests: DataFrame, order: str = "orden") -> DataFrame:
+    """Code and message per request (id_venta, motivo, orden): 1 unknown, 2 too late, 0 cancelled.
+
+    Requests for one sale are judged in ``order``, which no two of them share: the first cancels
+    an open sale, those after it find it cancelled. The first is folded per sale before it is
+    joined back, so a sale asked for very often is a split join.
+    """
+    first = requests.groupBy("id_venta").agg(F.min(order).alias("_first"))
+    known = (ventas.select("id_venta", F.col("estado").alias("_state")).withColumn("_known", F.lit(True))
+             .join(first, "id_venta"))
+    seen = requests.join(own_exchange(known, "id_venta"), "id_venta", "left")
+    again = F.col("_state").isin(S.PENDING, S.CONFIRMED) & (F.col(order) > F.col("_first"))
+    seen = seen.withColumn("_state", F.when(again, S.CANCELLED).otherwise(F.col("_state")))
     id_text = show(F.col("id_venta"))
     open_state = F.col("_state").isin(S.PENDING, S.CONFIRMED)
     code = F.when(F.col("_known").isNull(), 1).when(~open_state, 2).otherwise(0)
@@ -223,11 +246,10 @@ def cancel_sales(ventas: DataFrame, lines: DataFrame, productos: DataFrame, requ
                  run_ts: Column) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Request results, sales after cancellation, products after their stock came back.
 
-    A sale asked for twice is cancelled once: the requests are folded to one per sale.
+    A sale asked for twice is cancelled once, for the reason of the first request.
     """
     results = cancel_requests(ventas, requests)
-    done = (results.where(F.col("codigo") == 0).groupBy("id_venta")
-            .agg(F.min(F.coalesce("motivo", F.lit("sin motivo"))).alias("_why")))
+    done = results.where(F.col("codigo") == 0).select("id_venta", F.coalesce("motivo", F.lit("sin motivo")).alias("_why"))
     note = _text(F.coalesce("observaciones", F.lit("")), " | CANCELADA: ", F.col("_why"), " (",
                  run_ts.cast("string"), ")")
     after = (ventas.join(done, "id_venta", "left")
@@ -240,7 +262,11 @@ def cancel_sales(ventas: DataFrame, lines: DataFrame, productos: DataFrame, requ
 
 def validate_single_orders(orders: DataFrame, clientes: DataFrame, usuarios: DataFrame,
                            productos: DataFrame) -> DataFrame:
-    """One-product orders: 1 client, 2 user, 3 product, 4 stock, 0 taken. No discount applies."""
+    """One-product orders: 1 client, 2 user, 3 product, 4 stock, 0 taken. No discount applies.
+
+    99 is the order that the tables would refuse: no quantity, one of zero or less, or a total
+    of too many digits.
+    """
     customers = clientes.select("id_cliente").distinct().withColumn("_client", F.lit(True))
     staff = usuarios.where(F.col("activo")).select("id_usuario").distinct().withColumn("_user", F.lit(True))
     goods = productos.where(F.col("activo")).select(
@@ -252,23 +278,26 @@ def validate_single_orders(orders: DataFrame, clientes: DataFrame, usuarios: Dat
         (F.col("_user").isNull(), 2, _user_missing("id_usuario")),
         (F.col("_name").isNull(), 3, _product_missing("id_producto")),
         (F.col("_stock") < F.col("cantidad"), 4, _too_few("_name", "cantidad", "_stock")),
+        (F.coalesce(F.col("cantidad") <= 0, F.lit(True)) | _line_amount("_price", "cantidad").isNull(),
+         OVERSOLD, F.lit(UNEXPECTED)),
     ]
     code, text = F, F
     for failed, number, message in checks:
         code, text = code.when(failed, number), text.when(failed, message)
     return (seen.withColumn("codigo", code.otherwise(0)).withColumn("mensaje", text)
             .select(*orders.columns, "codigo", "mensaje",
-                    F.when(F.col("codigo") == 0, (F.col("_price") * F.col("cantidad")).cast(S.MONEY))
+                    F.when(F.col("codigo") == 0, _line_amount("_price", "cantidad"))
                     .otherwise(F.lit(0).cast(S.MONEY)).alias("total")))
 
 
 def single_orders_to_sales(judged: DataFrame, productos: DataFrame, run_ts: Column, order_id: str = "pedido_id",
                            last_id: int | Column = 0) -> tuple[DataFrame, DataFrame]:
-    """Accepted one-product orders as sale headers and lines."""
+    """Accepted one-product orders as sale headers and lines, with the message each order gets."""
     taken = number_rows(judged.where(F.col("codigo") == 0), order_id, "id_venta", last_id)
     headers = taken.select(
         "id_venta", "id_cliente", "id_usuario", run_ts.alias("fecha_venta"), "total",
-        F.lit(S.CONFIRMED).alias("estado"), F.lit(FACADE_NOTE).alias("observaciones"))
+        F.lit(S.CONFIRMED).alias("estado"), F.lit(FACADE_NOTE).alias("observaciones"),
+        _text(FACADE_OK, show(F.col("id_venta"))).alias("mensaje"))
     lines = (taken.join(productos.select("id_producto", F.col("precio").alias("precio_unitario")), "id_producto")
              .select("id_venta", "id_producto", "cantidad", "precio_unitario"))
     return headers, lines

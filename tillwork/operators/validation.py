@@ -132,24 +132,16 @@ def issue_log(validated: DataFrame, entity: str, row_id: str = "fila", label: Co
     ).select("entidad", row_id, "identificador", "estado", "i.*")
 
 
-def status_summary(validated: DataFrame, entity: str, label: Column, row_id: str = "fila",
-                   page_rows: int = 10_000) -> DataFrame:
-    """Rows per status and their names in row order.
-
-    A status can cover most of an import, so its names come in pages of consecutive row
-    numbers; ``cantidad`` is the count of the whole status. A small file has one page.
-    """
-    paged = validated.select("estado", F.col(row_id), label.alias("_name"),
-                             F.call_function("div", F.col(row_id), F.lit(page_rows)).alias("pagina"))
-    pages = paged.groupBy("estado", "pagina").agg(
-        F.count("*").alias("_n"),
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(row_id, "_name"))),
-                                 lambda x: x["_name"]), " | ").alias("registros"))
-    totals = pages.groupBy("estado").agg(F.sum("_n").alias("cantidad"))
+def status_counts(validated: DataFrame, entity: str) -> DataFrame:
+    """Rows per status, one row each, in the order of the statuses."""
     order = F.array_position(F.array(*[F.lit(s) for s in S.ROW_STATES]), F.col("estado"))
-    return (pages.join(totals, "estado")
-            .select(F.lit(entity).alias("entidad"), "estado", "cantidad", "pagina", "registros")
-            .orderBy(order, "pagina"))
+    return (validated.groupBy("estado").agg(F.count("*").alias("cantidad"))
+            .select(F.lit(entity).alias("entidad"), "estado", "cantidad").orderBy(order))
+
+
+def status_names(validated: DataFrame, entity: str, label: Column, row_id: str = "fila") -> DataFrame:
+    """The records behind the counts: one row each, with its status, in row order."""
+    return validated.select(F.lit(entity).alias("entidad"), "estado", F.col(row_id), label.alias("registro")).orderBy(row_id)
 
 
 def import_counters(validated: DataFrame, entity: str) -> DataFrame:

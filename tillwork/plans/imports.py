@@ -95,7 +95,8 @@ def import_reports(products: DataFrame, clients: DataFrame) -> dict[str, DataFra
     counters = both(V.import_counters)
     totals = counters.agg(F.sum("errores").alias("errores"), F.sum("advertencias").alias("advertencias"))
     return {
-        "resumen": both(lambda df, e: V.status_summary(df, e, names[e])),
+        "resumen": both(V.status_counts),
+        "registros": both(lambda df, e: V.status_names(df, e, names[e])),
         "contadores": counters,
         "totales": totals,
         "problemas": log.orderBy(F.desc("entidad"), "fila"),

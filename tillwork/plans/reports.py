@@ -11,7 +11,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tillwork import schema as S, settle
+from tillwork import schema as S
 from tillwork.functions import dates, money
 from tillwork.operators.sequence import rank_by, value_ladder
 from tillwork.plans.star import apportioned_lines
@@ -60,16 +60,16 @@ def monthly_sales(fact: DataFrame, calendar: DataFrame) -> DataFrame:
 def product_sales(fact: DataFrame, dim_p: DataFrame) -> DataFrame:
     """Every product that sold, with its share of the total over all products.
 
-    Lines are folded per product before the dimension is joined. Rows per product are stored,
-    since the total needs them a second time.
+    Lines are folded per product before the dimension is joined; the total reads one column.
     """
     folded = _live(fact).groupBy("id_producto_sk").agg(
         _sum("cantidad", "unidades_vendidas"), F.sum("monto_neto_linea").cast(S.TOTAL).alias("monto_neto_total"),
         F.sum("precio_unitario").alias("_p"), F.count("precio_unitario").alias("_n"),
         F.count_distinct("id_venta_nk").alias("apariciones_en_ventas"))
-    sold = settle(folded.join(dim_p.select("id_producto_sk", "nombre_producto", "nombre_categoria", "rango_precio"),
-                              "id_producto_sk"), "product-sales")
-    total = sold.agg(F.sum("monto_neto_total").cast(S.TOTAL)).scalar()
+    sold = folded.join(dim_p.select("id_producto_sk", "nombre_producto", "nombre_categoria", "rango_precio"),
+                       "id_producto_sk")
+    # every sold product has its row in the dimension, so the total needs neither the join nor the fold
+    total = _live(fact).agg(F.sum("monto_neto_linea").cast(S.TOTAL)).scalar()
     return sold.select(
         "id_producto_sk", "nombre_producto", "nombre_categoria", "rango_precio", "unidades_vendidas",
         "monto_neto_total", money.average(F.col("_p"), F.col("_n")).alias("precio_promedio_venta"),
@@ -107,8 +107,7 @@ def category_rollup(fact: DataFrame, dim_p: DataFrame) -> DataFrame:
 def customer_ranking(fact: DataFrame, dim_c: DataFrame, calendar: DataFrame | None = None) -> DataFrame:
     """Customers ranked by net spend.
 
-    Rows per customer are stored, then ranked over distinct amounts in chunks, so that the
-    fact is read once and no task sees every customer.
+    Customers are ranked over distinct amounts in chunks, so no task sees every customer.
     ``calendar`` narrows the report to days it contains; dates come from the day key.
     """
     rows = _live(fact)
@@ -122,7 +121,7 @@ def customer_ranking(fact: DataFrame, dim_c: DataFrame, calendar: DataFrame | No
         F.count("*").alias("total_compras"), _sum("total", "totales"), _sum("por_linea", "por_linea"),
         _sum("lineas", "lineas"), F.min("primero").alias("primero"), F.max("ultimo").alias("ultimo"),
         *[_sum(n, n) for n in _SUMS]).withColumn("gasto_total_neto", F.col("neto").cast(S.TOTAL))
-    ranked = rank_by(settle(folded, "customer-sales"), "gasto_total_neto", "ranking")
+    ranked = rank_by(folded, "gasto_total_neto", "ranking")
     who = dim_c.select("id_cliente_sk", "nombre_completo", "segmento", "ciudad", "anio_registro")
     as_date = lambda c: F.make_date(F.call_function("div", F.col(c), F.lit(10000)).cast("int"),
                                     (F.call_function("div", F.col(c), F.lit(100)) % 100).cast("int"),

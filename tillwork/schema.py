@@ -95,7 +95,7 @@ NUEVO_CLIENTE = _struct(
     ("direccion", _text), ("fecha_registro", _date),
 )
 
-CART_ITEMS = T.ArrayType(_struct(("id_producto", _int), ("cantidad", _int)))
+CART_ITEMS = T.ArrayType(_struct(("id_producto", T.LongType()), ("cantidad", _int)))
 CARTS = _struct(
     ("cart_id", _int, False), ("id_cliente", _int), ("id_usuario", _int), ("items_json", _text),
     ("observacion", _text), ("submitted_at", _ntz),

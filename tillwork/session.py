@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -38,10 +39,13 @@ def build_session(app: str = "tillwork", master: str | None = None, **conf: str)
 def shared_folder(spark: SparkSession, label: str) -> str:
     """A fresh folder below the checkpoint location the cluster names.
 
-    Only where no location is configured (tests, a laptop) is a temporary one set.
+    On one machine without such a location a temporary one is set. Elsewhere that would be
+    a different folder on every executor, so it is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         base = tempfile.mkdtemp(prefix="tillwork-")
         spark.sparkContext.setCheckpointDir(base)
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"

@@ -29,17 +29,31 @@ def read_products_csv(spark: SparkSession, path: str, row_id: str | None = None,
                       schema: T.StructType = S.STAGING_PRODUCTOS) -> DataFrame:
     """Headered UTF-8 CSV, every field text, empty means missing. The header counts as row 1.
 
+    A row with fewer fields than the header has its last ones missing, as the rules then say;
+    one with more fields is a malformed record.
+
     ``row_id`` names a column of the file to use as row number.
     """
     fields = [T.StructField(row_id, T.StringType()), *schema.fields] if row_id else schema.fields
     raw = (spark.read.schema(_with_corrupt(T.StructType(fields)))
            .option("header", True).option("encoding", "UTF-8").option("mode", "PERMISSIVE")
            .option("columnNameOfCorruptRecord", CORRUPT).csv(path))
+    raw = _short_rows_stay(raw)
     if row_id:
         return _own_number(raw, row_id)
     return _numbered(raw, 2)
 
 
+def _short_rows_stay(raw: DataFrame) -> DataFrame:
+    """The reader fills what fields it can and marks rows of any other length; short ones are no fault."""
+    fields = [c for c in raw.columns if c != CORRUPT]
+    # counted as the reader counts: a field may hold quoted commas
+    row = F.from_csv(F.col(CORRUPT), F.lit(", ".join(f"f{i} string" for i in range(len(fields) + 1))), {"mode": "PERMISSIVE"})
+    longer = row[f"f{len(fields)}"].isNotNull()
+    parsed = F.coalesce(*[F.col(c) for c in fields]).isNotNull()
+    return raw.withColumn(CORRUPT, F.when(longer | ~parsed, F.col(CORRUPT)))
+
+
 def read_clients_json(spark: SparkSession, path: str, lines: bool = False, row_id: str | None = None,
                       schema: T.StructType = S.STAGING_CLIENTES) -> DataFrame:
     """JSON arrays of customer objects, one array per file, or one object per line.

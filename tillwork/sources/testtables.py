@@ -101,6 +101,11 @@ def _desk() -> Column:
     return F.substring("o_orderpriority", 1, 1).cast("bigint")
 
 
+def _buyer() -> Column:
+    """The order's customer; one order in thirteen names a customer nobody knows."""
+    return F.col("o_custkey") + F.when(F.col("o_orderkey") % 13 == 0, 10_000_000).otherwise(0)
+
+
 class DirtyFeeds:
     """Import feeds made from whole tables: text columns, with faults that depend on a
     column of the row, so that every rule meets cases of its own."""
@@ -165,40 +170,49 @@ class Activity:
     def carts(self) -> DataFrame:
         """Every order as a cart; its lines are the items."""
         return self.t.raw("orders").select(
-            F.col("o_orderkey").alias("cart_id"), F.col("o_custkey").alias("id_cliente"), _desk().alias("id_usuario"),
+            F.col("o_orderkey").alias("cart_id"), _buyer().alias("id_cliente"), _desk().alias("id_usuario"),
             F.col("o_orderpriority").alias("observacion"), F.col("o_orderdate").alias("submitted_at"))
 
-    def items(self) -> DataFrame:
-        qty = F.col("l_quantity").cast("int")
+    @staticmethod
+    def _position() -> Column:
         # line numbers repeat within an order; the rest of the row settles the order
-        pos = F.col("l_linenumber").cast("bigint") * 10_000_000_000 + F.col("l_partkey") * 100 + qty
-        return self.t.raw("lineitem").select(F.col("l_orderkey").alias("cart_id"), pos.alias("pos"),
-                                             F.col("l_partkey").alias("id_producto"), qty.alias("cantidad"))
+        return (F.col("l_linenumber").cast("bigint") * 10_000_000_000 + F.col("l_partkey") * 100
+                + F.col("l_quantity").cast("int"))
+
+    def items(self) -> DataFrame:
+        """Lines as items; some parts come without a quantity, with none, a negative or a huge one."""
+        part = F.col("l_partkey")
+        qty = (F.when(part % 97 == 0, 0).when(part % 89 == 0, -3).when(part % 101 == 0, 2_000_000_000)
+               .when(part % 83 != 0, F.col("l_quantity").cast("int")))
+        return self.t.raw("lineitem").select(F.col("l_orderkey").alias("cart_id"), self._position().alias("pos"),
+                                             part.alias("id_producto"), qty.alias("cantidad"))
 
     def queued_items(self) -> DataFrame:
         when = self.carts().select("cart_id", "submitted_at")
         return self.items().join(when, "cart_id")
 
     def json_carts(self) -> DataFrame:
-        """Every order as a JSON cart of two items; low-priority ones are empty."""
-        item = lambda key, qty: F.concat(F.lit('{"id_producto":'), key.cast("string"), F.lit(',"cantidad":'),
-                                         qty.cast("string"), F.lit("}"))
-        text = F.concat(F.lit("["), item(F.col("o_custkey"), F.dayofmonth("o_orderdate")), F.lit(","),
-                        item(F.col("o_orderkey"), F.month("o_orderdate")), F.lit("]"))
-        return self.t.raw("orders").select(
-            F.col("o_orderkey").alias("cart_id"), F.col("o_custkey").alias("id_cliente"), _desk().alias("id_usuario"),
-            F.when(F.col("o_orderpriority") == "5-LOW", "[]").otherwise(text).alias("items_json"),
+        """Every order as a JSON cart of its lines; low-priority ones are empty."""
+        lines = self.items().groupBy("cart_id").agg(F.array_sort(F.collect_list(
+            F.struct("pos", "id_producto", "cantidad"))).alias("_l"))
+        text = F.to_json(F.transform("_l", lambda x: F.struct(x["id_producto"].alias("id_producto"),
+                                                              x["cantidad"].alias("cantidad"))))
+        return self.t.raw("orders").join(lines, F.col("o_orderkey") == F.col("cart_id"), "left").select(
+            F.col("o_orderkey").alias("cart_id"), _buyer().alias("id_cliente"), _desk().alias("id_usuario"),
+            F.when((F.col("o_orderpriority") == "5-LOW") | F.col("_l").isNull(), "[]").otherwise(text).alias("items_json"),
             F.col("o_orderpriority").alias("observacion"), F.col("o_orderdate").alias("submitted_at"))
 
     def single_orders(self) -> DataFrame:
         return self.t.raw("orders").select(
-            F.col("o_orderkey").alias("pedido_id"), F.col("o_custkey").alias("id_cliente"), _desk().alias("id_usuario"),
-            F.col("o_custkey").alias("id_producto"), F.dayofmonth("o_orderdate").alias("cantidad"))
+            F.col("o_orderkey").alias("pedido_id"), _buyer().alias("id_cliente"), _desk().alias("id_usuario"),
+            F.col("o_custkey").alias("id_producto"), (F.dayofmonth("o_orderdate") - 3).alias("cantidad"))
 
     def cancellations(self) -> DataFrame:
-        """A returned line asks for the cancellation of its order."""
-        return (self.t.raw("lineitem").where(F.col("l_returnflag") == "R").groupBy(F.col("l_orderkey").alias("id_venta"))
-                .agg(F.min("l_linestatus").alias("motivo")))
+        """Every returned line asks for the cancellation of its order; seventh lines name one that is unknown."""
+        unknown = F.when(F.col("l_linenumber") == 7, 1_000_000_000).otherwise(0)
+        reason = F.concat(F.lit("dev "), F.col("l_linenumber").cast("string"), F.lit("/"), F.col("l_partkey").cast("string"))
+        return self.t.raw("lineitem").where(F.col("l_returnflag") == "R").select(
+            (F.col("l_orderkey") + unknown).alias("id_venta"), reason.alias("motivo"), self._position().alias("orden"))
 
     def logins(self) -> DataFrame:
         """Errors are failed logins, everything else is a successful one."""

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import DataStreamWriter
 
@@ -23,11 +22,16 @@ def incoming(spark: SparkSession, folder: str, schema: T.StructType, fmt: str =
 
 def earlier(spark: SparkSession, path: str, batch_id: int, schema: T.StructType) -> DataFrame:
     """What batches before this one wrote below ``path``; nothing on the first."""
-    try:
-        return spark.read.schema(T.StructType([*schema.fields, T.StructField("batch", T.LongType())])).parquet(
-            path).where(F.col("batch") < batch_id)
-    except AnalysisException:
-        return spark.createDataFrame([], T.StructType([*schema.fields, T.StructField("batch", T.LongType())]))
+    kind = T.StructType([*schema.fields, T.StructField("batch", T.LongType())])
+    if not exists(spark, path):
+        return spark.createDataFrame([], kind)
+    return spark.read.schema(kind).parquet(path).where(F.col("batch") < batch_id)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is anything at ``path``; anything else that is wrong with it stays an error."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
 
 
 def import_stream(stream: DataFrame, validate: Callable[[DataFrame, DataFrame], DataFrame], target: DataFrame,
