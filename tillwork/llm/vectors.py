@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tillwork.llm import hnsw
 from tillwork.llm.common import settle
-from tillwork.llm.components import components
+from tillwork.llm.components import components, forest
 from tillwork.operators.skew import own_exchange
 
 
@@ -22,22 +22,6 @@ def _unit(vectors: pd.Series) -> np.ndarray:
     return v / np.sqrt((v * v).sum(axis=1, keepdims=True))
 
 
-def _forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The nodes of links a-b, and the smallest node each hangs together with by these links."""
-    nodes, flat = np.unique(np.concatenate([a, b]), return_inverse=True)
-    a, b = flat[:len(a)], flat[len(a):]
-    root = np.arange(len(nodes))
-    while True:
-        low = np.minimum(root[a], root[b])
-        new = root.copy()
-        np.minimum.at(new, a, low)
-        np.minimum.at(new, b, low)
-        new = new[new]
-        if (new == root).all():
-            return nodes, nodes[root]
-        root = new
-
-
 def shard_graphs(heads: DataFrame, shard_rows: int, least_shards: int) -> tuple[DataFrame, int]:
     """(dim, shard, keys, sizes, graph): one graph per shard of the distinct vectors, as stored rows."""
     shards = max(least_shards, math.ceil(heads.count() / shard_rows))
@@ -66,7 +50,7 @@ def _ask(least: float, recall: float):
                 other = mine[q] != keys[r]
                 q, r = q[other], r[other]
                 n = np.bincount(q, np.array(pair["sizes"], float)[r], len(mine)).astype(np.int64)
-                nodes, roots = _forest(mine[q], keys[r])
+                nodes, roots = forest(mine[q], keys[r])
                 tied = nodes != roots
                 some = n > 0
                 yield pa.RecordBatch.from_arrays(
