@@ -28,7 +28,7 @@ def trail(spark, seed):
          (4, 98, "otro", "h", at(9))],
         "id_evento int, id_venta int, usuario_bd string, host_origen string, fecha_evento timestamp_ntz")
     audited = A.audit_deletes(requests, seed["ventas"])
-    done, refused = A.split_deletes(audited)
+    done, refused = A.split_deletes(requests, seed["ventas"])
     return {"logins": spark.createDataFrame(logins, S.AUDIT_LOGINS), "grants": spark.createDataFrame(grants, S.AUDIT_GRANTS),
             "deletes": done, "blocked": refused, "audited": audited}
 

@@ -102,10 +102,14 @@ def test_share_rounds_like_exact_arithmetic(spark):
     import random
     rnd = random.Random(5)
     data = [(Decimal(rnd.randint(-10**e, 10**e)) / 100, Decimal(rnd.randint(-10**f, 10**f)) / 100,
-             Decimal(rnd.randint(1, 10**g)) / 100) for e in (4, 7, 10) for f in (4, 7, 10) for g in (2, 4, 8, 11)
+             Decimal(rnd.randint(1, 10**g)) / 100) for e in (4, 7, 12) for f in (4, 7, 12) for g in (2, 4, 8, 13, 17)
             for _ in range(25)] + [(Decimal("1"), Decimal("0.05"), Decimal("10")), (Decimal("-1"), Decimal("0.05"), Decimal("10")),
                                    (Decimal("1"), Decimal("1"), Decimal("0"))]
-    data = [d for d in data if d[2] == 0 or abs(d[0] * d[1] / d[2]) < 10**12]
+    # near halves of a cent, with a whole above two hundred thousand million
+    data += [(Decimal("9576782480.33"), Decimal("4905015075.89"), Decimal("213991339334.03"))]
+    limit = 10 ** 15
+    data = [d for d in data if d[2] == 0 or (abs(d[0] * d[1] / d[2]) < limit and abs(d[0] * (d[2] - d[1]) / d[2]) < limit
+                                             and abs((d[2] - d[1]) * 100 / d[2]) < limit)]
     df = spark.createDataFrame(data, "a decimal(12,2), p decimal(12,2), w decimal(18,2)")
     got = money.apportion(df, "a", "p", "w", "pct", "y", "x").collect()
 
@@ -133,11 +137,12 @@ def test_allocation(spark, seed):
 
 
 def test_cancel(spark, seed):
-    req = spark.createDataFrame([(7, "por teléfono"), (1, "tarde"), (99, None), (6, "ya"), (8, None), (8, None)],
-                                "id_venta int, motivo string")
+    req = spark.createDataFrame([(7, "por teléfono"), (1, "tarde"), (99, None), (6, "ya"), (8, None), (8, "a"), (8, "b"),
+                                 (7, "antes, pero después")], "id_venta int, motivo string")
+    req = req.coalesce(1).withColumn("orden", F.monotonically_increasing_id())
     results, after, stock = C.cancel_sales(seed["ventas"], seed["detalle_ventas"], seed["productos"], req,
                                            F.lit(NOW).cast("timestamp_ntz"))
-    assert sorted(rows(results, "id_venta", "codigo")) == [(1, 2), (6, 2), (7, 0), (8, 0), (8, 0), (99, 1)]
+    assert sorted(rows(results, "id_venta", "codigo")) == [(1, 2), (6, 2), (7, 0), (7, 2), (8, 0), (8, 2), (8, 2), (99, 1)]
     assert results.where("id_venta = 1").first().mensaje == (
         'La venta id=1 tiene estado "entregada" y no puede cancelarse.')
     sale = after.where("id_venta = 7").first()
@@ -148,9 +153,26 @@ def test_cancel(spark, seed):
 
 
 def test_single_orders(spark, seed):
-    o = spark.createDataFrame([(1, 2, 2, 3, 1), (2, 99, 2, 3, 1), (3, 2, 99, 3, 1), (4, 2, 2, 99, 1), (5, 2, 2, 3, 81)],
+    o = spark.createDataFrame([(1, 2, 2, 3, 1), (2, 99, 2, 3, 1), (3, 2, 99, 3, 1), (4, 2, 2, 99, 1), (5, 2, 2, 3, 81),
+                               (6, 2, 2, 3, 0), (7, 2, 2, 3, -4), (8, 2, 2, 3, None)],
                               "pedido_id int, id_cliente int, id_usuario int, id_producto int, cantidad int")
     judged = C.validate_single_orders(o, seed["clientes"], seed["usuarios"], seed["productos"])
-    assert sorted(rows(judged, "pedido_id", "codigo", "total")) == [(1, 0, 18500), (2, 1, 0), (3, 2, 0), (4, 3, 0), (5, 4, 0)]
+    assert sorted(rows(judged, "pedido_id", "codigo", "total")) == [(1, 0, 18500), (2, 1, 0), (3, 2, 0), (4, 3, 0), (5, 4, 0),
+                                                                  (6, 99, 0), (7, 99, 0), (8, 99, 0)]
     headers, lines = C.single_orders_to_sales(judged, seed["productos"], F.lit(NOW).cast("timestamp_ntz"), last_id=8)
     assert rows(headers, "id_venta", "total") == [(9, 18500)] and rows(lines) == [(9, 3, 1, 18500)]
+    assert headers.first().mensaje == "Pedido registrado vía vista_pedidos_completos. Venta id=9"
+
+
+def test_lines_the_tables_refuse(spark, seed):
+    """Zero, negative or no quantity, and amounts of too many digits: that cart alone gets 99."""
+    quantities = [1, 0, -3, None, 2_000_000_000]
+    carts = spark.createDataFrame([(i, 2, 2, None, NOW) for i in range(6)],
+                                  "cart_id int, id_cliente int, id_usuario int, observacion string, submitted_at timestamp_ntz")
+    items = spark.createDataFrame([(i, 0, 3, q) for i, q in enumerate(quantities)],
+                                  "cart_id int, pos int, id_producto int, cantidad int")
+    plenty = seed["productos"].withColumn("stock", F.lit(2_100_000_000))
+    judged = C.validate_carts(carts, seed["clientes"], seed["usuarios"], plenty, seed["ventas"], items)
+    assert sorted(rows(judged, "cart_id", "codigo")) == [(0, 0), (1, 99), (2, 99), (3, 99), (4, 99), (5, 1)]
+    priced = dict(rows(C.price_carts(carts, plenty, seed["ventas"], items), "cart_id", "monto_bruto"))
+    assert priced[0] == 18500 and priced[4] is None

@@ -104,10 +104,12 @@ def test_reports(staged, seed):
     p = I.validate_products(staged[0], seed["categorias"], seed["productos"])
     c = I.validate_clients(staged[1], seed["clientes"], RUN)
     out = I.import_reports(p, c)
-    summary = rows(out["resumen"].where("entidad = 'Clientes'"), "estado", "cantidad", "registros")
-    assert summary == [("ok", 4, "Roberto Sánchez | Daniela Moreno | Esteban Castro | Tomás Acosta"),
-                       ("corregido", 1, "Fernanda (sin apellido)"),
-                       ("error", 3, "Ana García | Gonzalo Vega | Marcela Ibáñez")]
+    assert rows(out["resumen"].where("entidad = 'Clientes'"), "estado", "cantidad") == [("ok", 4), ("corregido", 1), ("error", 3)]
+    named = {}
+    for state, name in rows(out["registros"].where("entidad = 'Clientes'"), "estado", "registro"):
+        named.setdefault(state, []).append(name)
+    assert named == {"ok": ["Roberto Sánchez", "Daniela Moreno", "Esteban Castro", "Tomás Acosta"],
+                     "corregido": ["Fernanda (sin apellido)"], "error": ["Ana García", "Gonzalo Vega", "Marcela Ibáñez"]}
     assert rows(out["contadores"], "entidad", "leidos", "insertados", "descartados", "corregidos") == [
         ("Productos", 14, 7, 7, 1), ("Clientes", 8, 5, 3, 1)]
     assert rows(out["totales"]) == [(10, 2)]
@@ -151,11 +153,24 @@ def test_batch_duplicates_first_accepted_wins(spark, seed):
                           6: "obligatorio"}
 
 
-def test_accents_count_unless_asked_otherwise(spark, seed):
+def test_accents_count_for_the_lenient_policy_only(spark, seed):
     raw = product(spark, (1, "3", "CAFE MOLIDO 500G", None, "1", "1", "1"), (2, "3", "CAFÉ molido 500g", None, "1", "1", "1"))
-    assert reasons(I.validate_products(raw, seed["categorias"], seed["productos"])) == {2: "duplicado"}
-    loose = I.validate_products(raw, seed["categorias"], seed["productos"], key=accent_free_key)
-    assert reasons(loose) == {1: "duplicado", 2: "duplicado"}
+    strict = I.validate_products(raw, seed["categorias"], seed["productos"])
+    assert reasons(strict) == {1: "duplicado", 2: "duplicado"}
+    lenient = I.validate_products(raw, seed["categorias"], seed["productos"], I.LENIENT)
+    assert reasons(lenient) == {2: "duplicado"}
+
+
+def test_key_folds_any_letter(spark):
+    df = spark.createDataFrame([("Škoda", " skoda"), ("Ýr", "yr"), ("Ñandú", "NANDU")], "a string, b string")
+    assert df.where(accent_free_key(F.col("a")) == accent_free_key(F.col("b"))).count() == 3
+
+
+def test_short_rows_are_read(spark, tmp_path):
+    (tmp_path / "p.csv").write_text(PRODUCTS.splitlines()[0] + '\n1,"Short, name",d,1.00\n1,Long,d,1.00,2,1,extra\n1,Full,d,1.00,2,0\n')
+    good, bad = files.split_corrupt(files.read_products_csv(spark, str(tmp_path / "p.csv")), "Productos")
+    assert sorted(rows(good, "nombre", "stock", "activo")) == [("Full", "2", "0"), ("Short, name", None, None)]
+    assert rows(bad, "valor") == [("1,Long,d,1.00,2,1,extra",)]
 
 
 def test_missing_price_is_rejected(spark, seed):

@@ -31,7 +31,7 @@ def audit_deletes(requests: DataFrame, ventas: DataFrame, admin: str = ADMIN) ->
     image = F.to_json(F.struct("id_venta", "id_cliente", "id_usuario", "total", "estado", "fecha_venta"),
                       {"ignoreNullFields": "false", "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss"})
     sale = ventas.select("id_venta", "id_cliente", "id_usuario", "total", "estado", "fecha_venta")
-    allowed = F.col("usuario_bd") == admin
+    allowed = F.coalesce(F.col("usuario_bd") == admin, F.lit(False))
     known = sale.withColumn("_known", F.lit(True))
     judged = requests.join(known, "id_venta", "left").where(F.col("_known").isNotNull() | ~allowed)
     return judged.select(
@@ -43,13 +43,16 @@ def audit_deletes(requests: DataFrame, ventas: DataFrame, admin: str = ADMIN) ->
         F.when(allowed, image).alias("datos_eliminados"))
 
 
-def split_deletes(audited: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The two tables the feed reads: deletions that happened, and refused ones."""
-    done = audited.where(F.col("resultado") == SUCCESS)
-    refused = audited.where(F.col("resultado") == BLOCKED).select(
+def split_deletes(requests: DataFrame, ventas: DataFrame, admin: str = ADMIN) -> tuple[DataFrame, DataFrame]:
+    """The two tables the feed reads: deletions that happened, and refused ones.
+
+    Who asks decides, so only the administrator's requests look up their sale.
+    """
+    allowed = F.coalesce(F.col("usuario_bd") == admin, F.lit(False))
+    refused = requests.where(~allowed).select(
         "id_evento", F.col("id_venta").alias("id_venta_ref"), "usuario_bd", "host_origen",
-        F.col("motivo_bloqueo").alias("motivo"), "fecha_evento")
-    return done, refused
+        F.lit(DENIED).alias("motivo"), "fecha_evento")
+    return audit_deletes(requests.where(allowed), ventas, admin), refused
 
 
 def protected_products(productos: DataFrame, lines: DataFrame) -> tuple[DataFrame, DataFrame]:

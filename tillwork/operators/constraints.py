@@ -12,6 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tillwork import schema as S
+from tillwork.functions.text import accent_free_key
 
 
 def duplicates(name: str, df: DataFrame, *keys: str | Column) -> DataFrame:
@@ -42,12 +43,12 @@ def constraint_audit(t: dict[str, DataFrame]) -> DataFrame:
     lines = t["detalle_ventas"]
     parts = [
         duplicates("pk_clientes", t["clientes"], "id_cliente"),
-        duplicates("uq_clientes_email", t["clientes"], F.lower("email")),
+        duplicates("uq_clientes_email", t["clientes"], accent_free_key(F.col("email"))),
         duplicates("pk_categorias", t["categorias"], "id_categoria"),
-        duplicates("uq_categorias_nombre", t["categorias"], F.lower("nombre")),
+        duplicates("uq_categorias_nombre", t["categorias"], accent_free_key(F.col("nombre"))),
         duplicates("pk_productos", t["productos"], "id_producto"),
         duplicates("pk_usuarios", t["usuarios"], "id_usuario"),
-        duplicates("uq_usuarios_uname", t["usuarios"], F.lower("username")),
+        duplicates("uq_usuarios_uname", t["usuarios"], accent_free_key(F.col("username"))),
         duplicates("pk_ventas", t["ventas"], "id_venta"),
         orphans("fk_prod_cat", t["productos"], "id_categoria", t["categorias"], "id_categoria"),
         orphans("fk_venta_cliente", t["ventas"], "id_cliente", t["clientes"], "id_cliente"),

@@ -18,6 +18,8 @@ def own_exchange(df: DataFrame, *keys: str) -> DataFrame:
     for key in keys:
         col = F.col(key)
         # expressions that leave the value alone and that the optimiser does not see through
-        same = F.concat(col, F.lit("")) if kinds[key].startswith("string") else col.bitwiseOR(F.lit(0).cast(kinds[key]))
+        kind, _, collation = kinds[key].partition(" collate ")
+        same = F.concat(col, F.lit("")) if kind == "string" else col.bitwiseOR(F.lit(0).cast(kind))
+        same = F.collate(same, collation) if collation else same
         df = df.withColumn(key, same)
     return df

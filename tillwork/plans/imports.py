@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tillwork import schema as S
 from tillwork.functions import dates, rules as R
-from tillwork.functions.text import blank_to_null, match_key
+from tillwork.functions.text import accent_free_key, blank_to_null, match_key
 from tillwork.operators import validation as V
 
 STRICT, LENIENT = "strict", "lenient"
@@ -31,11 +31,15 @@ def product_rules(policy: str) -> list[R.Rule]:
             *R.fix_int_default("stock"), R.fix_bool_default("activo")]
 
 
+def _key_of(policy: str) -> Callable[[Column], Column]:
+    return accent_free_key if policy == STRICT else match_key
+
+
 def validate_products(raw: DataFrame, categorias: DataFrame, productos: DataFrame, policy: str = STRICT,
-                      key: Callable[[Column], Column] = match_key) -> DataFrame:
+                      key: Callable[[Column], Column] | None = None) -> DataFrame:
     """``key`` decides which names are the same: ``match_key`` ignores case, ``accent_free_key``
-    accents as well, as a database collation may."""
-    ruleset = product_rules(policy)
+    accents as well. The strict policy is the database's, whose collation ignores both."""
+    ruleset, key = product_rules(policy), key or _key_of(policy)
     marked = V.mark_parent(raw, R.to_int(F.col("id_categoria")), categorias, "id_categoria", "_categoria")
     alone = [r for r in ruleset if r.name not in ("duplicado", "duplicado_lote")]
     marked = V.mark_key(marked, key(F.col("nombre")), productos, key(F.col("nombre")), "fila",
@@ -61,8 +65,9 @@ def client_rules(policy: str, run_date: Column) -> list[R.Rule]:
 
 
 def validate_clients(raw: DataFrame, clientes: DataFrame, run_date: dt.date, policy: str = STRICT,
-                     key: Callable[[Column], Column] = match_key) -> DataFrame:
+                     key: Callable[[Column], Column] | None = None) -> DataFrame:
     """``run_date`` stands for today, so a run can be repeated with the same result."""
+    key = key or _key_of(policy)
     ruleset = client_rules(policy, F.lit(run_date).cast("date"))
     alone = [r for r in ruleset if r.name not in ("duplicado", "duplicado_lote")]
     marked = V.mark_key(raw, key(F.col("email")), clientes, key(F.col("email")), "fila",

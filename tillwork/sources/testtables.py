@@ -238,7 +238,7 @@ class Activity:
         return rows.withColumn("sentencia_sql", statement)
 
     def trail(self) -> dict[str, DataFrame]:
-        done, refused = audit.split_deletes(audit.audit_deletes(self.delete_requests(), self.t["ventas"]))
+        done, refused = audit.split_deletes(self.delete_requests(), self.t["ventas"])
         streaks = audit.failure_streaks(self.logins(), hour_slice(F.col("fecha_evento")))
         failed = streaks.select("id_evento", F.col("usuario").alias("usuario_intento"),
                                 F.concat(F.lit("10.0.0."), F.substring_index("usuario", "_", -1)).alias("host_origen"),
