@@ -453,9 +453,17 @@ ORACLE = {
         UNION ALL SELECT 'fk_det_venta', count(*) FROM lineas WHERE id_venta NOT IN (SELECT id_venta FROM ventas)
         UNION ALL SELECT 'fk_det_producto', count(*) FROM lineas WHERE id_producto NOT IN (SELECT id_producto FROM productos)
         UNION ALL SELECT 'nn_clientes', count(*) FROM clientes WHERE nombre IS NULL OR apellido IS NULL OR email IS NULL
+        UNION ALL SELECT 'nn_categorias', count(*) FROM categorias WHERE id_categoria IS NULL OR nombre IS NULL
+        UNION ALL SELECT 'nn_usuarios', count(*) FROM usuarios WHERE id_usuario IS NULL OR username IS NULL OR rol IS NULL
+          OR activo IS NULL
+        UNION ALL SELECT 'nn_ventas', count(*) FROM ventas WHERE id_venta IS NULL OR id_cliente IS NULL OR id_usuario IS NULL
+          OR fecha_venta IS NULL OR total_c IS NULL OR estado IS NULL
+        UNION ALL SELECT 'nn_detalle', count(*) FROM lineas WHERE id_venta IS NULL OR id_producto IS NULL OR cantidad IS NULL
+          OR precio_c IS NULL
         UNION ALL SELECT 'chk_precio', count(*) FROM productos WHERE precio_c < 0
         UNION ALL SELECT 'chk_stock', count(*) FROM productos WHERE stock < 0
-        UNION ALL SELECT 'nn_productos', count(*) FROM productos WHERE nombre IS NULL OR precio_c IS NULL
+        UNION ALL SELECT 'nn_productos', count(*) FROM productos WHERE id_producto IS NULL
+          OR id_categoria IS NULL OR nombre IS NULL OR precio_c IS NULL OR stock IS NULL OR activo IS NULL
         UNION ALL SELECT 'enum_rol', count(*) FROM usuarios WHERE rol NOT IN ('admin', 'vendedor', 'supervisor')
         UNION ALL SELECT 'chk_total', count(*) FROM ventas WHERE total_c < 0
         UNION ALL SELECT 'enum_estado', count(*) FROM ventas

@@ -93,5 +93,5 @@ def test_constraint_audit(spark, seed):
     bad["detalle_ventas"] = seed["detalle_ventas"].withColumn("cantidad", F.when(F.col("id_detalle") > 2, F.col("cantidad")).otherwise(0))
     bad["clientes"] = seed["clientes"].withColumn("email", F.lit("X@y.com"))
     got = {k: n for k, n in rows(K.constraint_audit(bad)) if n}
-    assert got == {"pk_ventas": 1, "fk_venta_cliente": 1, "chk_total": 1, "enum_estado": 1, "chk_cantidad": 2,
+    assert got == {"pk_ventas": 1, "fk_venta_cliente": 1, "nn_ventas": 1, "chk_total": 1, "enum_estado": 1, "chk_cantidad": 2,
                    "uq_clientes_email": 6}

@@ -28,14 +28,15 @@ def _texts(df: DataFrame, change) -> DataFrame:
         if kinds[c] == "string" else F.col(c) for c in df.columns])
 
 
-def snapshot_full(df: DataFrame, path: str, fmt: str = "csv") -> None:
-    """Writes the whole table, one file per partition. Note the time before calling: it is
-    the watermark of the snapshot, so that changes made meanwhile fall into the next one."""
+def snapshot_full(df: DataFrame, path: str, fmt: str = "csv", rows_per_file: int = 1_000_000) -> None:
+    """Writes the whole table in files of at most ``rows_per_file`` rows: a delimited file is read
+    back by one task, since its records may hold line breaks. Note the time before calling: it
+    is the watermark of the snapshot, so that changes made meanwhile fall into the next one."""
     if fmt != "csv":
         df.write.parquet(path)
         return
     marked = _texts(df, lambda text: F.concat(F.lit("\\"), text))
-    marked.write.options(**_CSV).option("emptyValue", '""').csv(path)
+    marked.write.options(**_CSV).option("emptyValue", '""').option("maxRecordsPerFile", rows_per_file).csv(path)
 
 
 def read_snapshot(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "csv") -> DataFrame:
