@@ -55,3 +55,12 @@ def test_pipeline_runs(spark, documents):
 
 def test_names():
     assert [n.split("_")[0] for n in queries.QUERIES] == [f"op{i}" for i in range(1, 11)]
+
+
+def test_sql_of_shards(spark, documents):
+    import duckdb
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
+    want = db.execute(queries.ORACLE["op8_hash_tree"])
+    names = [c[0] for c in want.description]
+    assert sorted(map(tuple, want.fetchall())) == sorted(map(tuple, sharding.place(documents).select(*names).collect()))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tillwork.llm import bpe, langid, licenses, lines, lm, mixing, quality, sharding, simhash, vectors
 from tillwork.llm.common import table
+from tillwork.llm.oracle import ORACLE  # noqa: F401  (registered beside the queries)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -54,4 +55,4 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_source_mix, op2_divergence, op3_license_scan, op4_line_templates, op5_byte_bpe, op6_vector_graphs, op7_backoff_automaton, op8_hash_tree, op9_simhash, op10_language_id)}
-ORACLE: dict[str, str] = {}
+
