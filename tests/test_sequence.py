@@ -75,3 +75,14 @@ def test_no_whole_table_window(spark):
     plan = Q.rank_by(df, "v", "r")._jdf.queryExecution().executedPlan().toString()
     before_single = plan.split("SinglePartition")
     assert "Window [rank" not in plan and len(before_single) >= 2
+
+
+def test_numbers_of_sparse_and_dense_keys(spark):
+    """Random 64-bit ids, a dense run and an outlier: dense numbers, and no window above a few blocks."""
+    import random
+    rnd = random.Random(3)
+    ids = {rnd.getrandbits(64) - 2 ** 63 for _ in range(3000)} | set(range(10 ** 6, 10 ** 6 + 2000)) | {2 ** 63 - 1, -2 ** 63}
+    df = spark.createDataFrame([(i,) for i in ids], "id bigint")
+    got = Q.number_rows(df, "id", "n", start=5, block=100)
+    assert [n for _, n in sorted(map(tuple, got.collect()))] == list(range(6, 6 + len(ids)))
+    assert Q.number_rows(df.limit(0), "id", "n").count() == 0

@@ -22,16 +22,26 @@ def _before(df: DataFrame, keys: list[str], amount: str) -> DataFrame:
 def number_rows(df: DataFrame, key: str, name: str, start: int | Column = 0, block: int = 100_000) -> DataFrame:
     """Dense numbers from start+1 in the order of a unique integer key.
 
-    A chunk is a block of key values, so it holds at most ``block`` rows; only one
-    count per block is ever ordered globally.
+    Rows are cut twice: into stretches of the key's range, one for every ``block`` rows, and
+    within a stretch into blocks of key values, of at most ``block`` rows each. Dense keys fill
+    the blocks, sparse ones (hashes) the stretches. What is counted per block is ordered within
+    its stretch, and only one count per stretch is ordered globally.
     """
-    cut = df.withColumn(_CHUNK, F.call_function("div", F.col(key), F.lit(block)))
-    carry = _before(cut.groupBy(_CHUNK).agg(F.count("*").alias("_n")), [], "_n")
-    local = F.row_number().over(Window.partitionBy(_CHUNK).orderBy(key))
+    seen = df.agg(F.struct(F.count("*").alias("n"), F.min(key).cast("double").alias("lo"),
+                           F.max(key).cast("double").alias("hi")).alias("s")).scalar()
+    width = F.greatest(F.lit(1.0), (seen["hi"] - seen["lo"] + 1) / F.ceil(seen["n"] / block))
+    cut = (df.withColumn("_stretch", F.floor((F.col(key).cast("double") - seen["lo"]) / width).cast("bigint"))
+           .withColumn(_CHUNK, F.call_function("div", F.col(key), F.lit(block))))
+    counts = cut.groupBy("_stretch", _CHUNK).agg(F.count("*").alias("_n"))
+    far = (counts.groupBy("_stretch").agg(F.sum("_n").alias("_n")).withColumn(
+        "_far", F.coalesce(F.sum("_n").over(Window.orderBy("_stretch").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+        .drop("_n"))
+    carry = _before(counts, ["_stretch"], "_n").join(far, "_stretch")
+    local = F.row_number().over(Window.partitionBy("_stretch", _CHUNK).orderBy(key))
     first = start if isinstance(start, Column) else F.lit(start)
-    return (cut.withColumn("_local", local).join(carry, _CHUNK)
-            .withColumn(name, (F.col("_local") + F.col("_carry") + first).cast("bigint"))
-            .drop(_CHUNK, "_local", "_carry"))
+    return (cut.withColumn("_local", local).join(carry, ["_stretch", _CHUNK])
+            .withColumn(name, (F.col("_local") + F.col("_carry") + F.col("_far") + first).cast("bigint"))
+            .drop(_CHUNK, "_stretch", "_local", "_carry", "_far"))
 
 
 def _descending_chunk(value: Column) -> Column:
