@@ -229,7 +229,8 @@ def score(docs: DataFrame, order: int = 3, share: float = 2e-5, block_bytes: int
                          "n_known": pa.array(seen, pa.int64()), "base_score": pa.array(base, pa.float64()),
                          "score": pa.array(full, pa.float64())})
 
-    words = rows.select("block", "text").mapInArrow(distinct_words, "block long, word binary")
+    # all columns of ``rows``, so that both uses of it read one exchange
+    words = rows.mapInArrow(distinct_words, "block long, word binary")
     known = words.join(counts, "word", "left").select("block", "word", F.coalesce("c", F.lit(0)).alias("c"))
     scored = rows.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(
         one, f"doc_id {kind}, n_tokens long, n_known long, base_score double, score double")
