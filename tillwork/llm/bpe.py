@@ -9,7 +9,6 @@ import re
 import unicodedata
 from collections import defaultdict
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -17,15 +16,14 @@ import public_tokenizers
 import regex
 from pyspark.sql import DataFrame
 
-from tillwork.llm.common import texts
+from tillwork.llm.common import blocks, held, texts
 
 #: Pieces a worker remembers before it forgets all of them and starts anew.
-REMEMBERED = 600_000
+REMEMBERED = 250_000
 #: Characters of one block of the replay, about; a text is never cut.
-BLOCK_CHARS = 16_000_000
+BLOCK_CHARS = 6_000_000
 
 
-@lru_cache(maxsize=2)
 def ranks(path: str) -> dict[bytes, int]:
     """Token bytes to rank, from a tiktoken rank file. Workers and driver read their installed copy."""
     with open(path, "rb") as lines:
@@ -231,23 +229,6 @@ class Encoder:
             yield " ".join(map(ids, ps)), b"".join(map(out, ps))
 
 
-@lru_cache(maxsize=2)
-def encoder(path: str, pattern: str) -> Encoder:
-    """One per worker, so that a later task finds what earlier ones have replayed."""
-    return Encoder(path, pattern)
-
-
-def _blocks(found: list[str]) -> Iterator[tuple[int, int]]:
-    start = size = 0
-    for k, t in enumerate(found):
-        size += len(t)
-        if size >= BLOCK_CHARS:
-            yield start, k + 1
-            start, size = k + 1, 0
-    if start < len(found):
-        yield start, len(found)
-
-
 def tokenize(docs: DataFrame, path: str | None = None, pattern: str = public_tokenizers.PATTERN,
              keep_ids: bool = False) -> DataFrame:
     """Encodes and decodes every text: doc_id, n_tokens, ids_sha256, decoded_sha256[, ids].
@@ -262,10 +243,10 @@ def tokenize(docs: DataFrame, path: str | None = None, pattern: str = public_tok
     kind = dict(docs.dtypes)["doc_id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = encoder(path, pattern)
+        coder = held(f"bpe {path} {pattern}", lambda: Encoder(path, pattern))
         for batch in batches:
             found = texts(batch)
-            for start, end in _blocks(found):
+            for start, end in blocks(found, BLOCK_CHARS):
                 coded = list(coder.encode(found[start:end]))
                 columns = [batch.column("doc_id").slice(start, end - start),
                            pa.array([ids.count(" ") + 1 if ids else 0 for ids, _ in coded], pa.int64()),

@@ -22,11 +22,37 @@ def per_batch(work: Callable[[pa.RecordBatch], pa.RecordBatch]):
     return run
 
 
+_held: dict[str, object] = {}
+
+
+def held(key: str, make: Callable[[], object]):
+    """What a worker process keeps from one task to the next: one thing at a time, the latest asked for.
+
+    Workers are used again by later stages; what an earlier one remembered must not stay beside.
+    """
+    if key not in _held:
+        _held.clear()
+        _held[key] = make()
+    return _held[key]
+
+
 def texts(batch: pa.RecordBatch, name: str = "text") -> list[str]:
     """The batch's texts, a missing one as the empty text."""
     return [t or "" for t in batch.column(name).to_pylist()]
 
 
+def blocks(found: list[str], chars: int) -> Iterator[tuple[int, int]]:
+    """Runs of texts, as start and end, of about so many characters; a text is never cut."""
+    start = size = 0
+    for k, t in enumerate(found):
+        size += len(t)
+        if size >= chars:
+            yield start, k + 1
+            start, size = k + 1, 0
+    if start < len(found):
+        yield start, len(found)
+
+
 def packed(docs: DataFrame) -> DataFrame:
     """All columns as one, ``row``, so that whatever an operator adds beside it has a name of its own."""
     return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))

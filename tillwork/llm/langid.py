@@ -14,7 +14,7 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tillwork.llm.common import packed, texts, unpacked
+from tillwork.llm.common import blocks, held, packed, texts, unpacked
 
 #: A piece that begins a word carries this mark in the public vocabulary.
 START = "▁"
@@ -23,7 +23,9 @@ words_of = re.compile(r"[^\W\d_]{1,40}").findall
 #: A letter that no piece covers, in every language alike.
 UNSEEN = 1e-7
 #: Words a worker remembers the scores of before it starts anew.
-REMEMBERED = 800_000
+REMEMBERED = 400_000
+#: Characters of one block of texts, about.
+BLOCK_CHARS = 3_000_000
 
 
 def vocabulary(path: str, longest: int = 6) -> list[str]:
@@ -172,25 +174,24 @@ class Scorer:
                 self.logs[base + at] = np.log(forward(ids, spans, self.prob)[:, -1])
         self.row.update(zip(new, range(base, base + len(new))))
 
-    def score(self, block: list[str]) -> np.ndarray:
+    def score(self, found: list[str]) -> np.ndarray:
         """Log probability of each text by language; texts without a letter get nan."""
-        if len(self.row) > REMEMBERED:
-            self.clear()
-        found = [words_of(t.lower()) for t in block]
-        new: set[str] = set()
-        for ws in found:
-            new.update(ws)
-        self.learn(list(new.difference(self.row)))
-        row, out = self.row.__getitem__, np.full((len(block), self.prob.shape[1]), np.nan)
-        for k, ws in enumerate(found):
-            if ws:
-                out[k] = self.logs[np.fromiter(map(row, ws), np.int64, len(ws))].sum(axis=0, dtype=float)
+        out = np.full((len(found), self.prob.shape[1]), np.nan)
+        for start, end in blocks(found, BLOCK_CHARS):
+            if len(self.row) > REMEMBERED:
+                self.clear()
+            words = [words_of(t.lower()) for t in found[start:end]]
+            new: set[str] = set()
+            for ws in words:
+                new.update(ws)
+            self.learn(list(new.difference(self.row)))
+            row = self.row.__getitem__
+            for k, ws in enumerate(words, start):
+                if ws:
+                    out[k] = self.logs[np.fromiter(map(row, ws), np.int64, len(ws))].sum(axis=0, dtype=float)
         return out
 
 
-_scorers: dict[str, Scorer] = {}
-
-
 def predict(rows: DataFrame, model: tuple[list[str], list[str], np.ndarray]) -> DataFrame:
     """``packed`` rows with ``lang_pred`` and ``score``: the likeliest language and its share.
 
@@ -203,10 +204,7 @@ def predict(rows: DataFrame, model: tuple[list[str], list[str], np.ndarray]) ->
     name = uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if name not in _scorers:
-            _scorers.clear()
-            _scorers[name] = Scorer(*shared.value)
-        scorer = _scorers[name]
+        scorer = held(name, lambda: Scorer(*shared.value))
         for batch in batches:
             row = batch.column("row")
             lang, score = ["und"] * batch.num_rows, np.zeros(batch.num_rows)
