@@ -313,6 +313,24 @@ def test_automaton_is_a_distribution(documents):
         assert sorted(n.tolist()) == sorted(x for x in grams.values() if x >= least)
 
 
+def test_scores_know_all_ngrams_seen_twice(table):
+    """Against the automaton in one place that has every n-gram seen twice, walked token by token."""
+    _, total, distinct, model = lm.learn(table.where(~lm.held_out(table["doc_id"])), share=0)
+    automaton = lm.Automaton(model, total, distinct)
+    number = {lm.END: lm.END_ID} | {w: i + 2 for i, w in enumerate(model.words)}
+    learned = Counter(w for i, t in texts_of(table.where(~lm.held_out(table["doc_id"]))) for w in lm.tokens_of(t or ""))
+    want = []
+    for i, text in texts_of(table):
+        tokens = lm.tokens_of(text or "")
+        logs = [math.log10((learned[w] + 0.1) / (total + 0.1 * (distinct + 1))) for w in tokens]
+        want.append((i is not None, i, automaton.score([number.get(w, -1) for w in tokens], logs)))
+    got = [(r["doc_id"] is not None, r["doc_id"], r["score"]) for r in lm.score(table, block_bytes=20_000).collect()]
+    key = lambda r: (r[0], r[1] or 0, r[2])
+    want, got = sorted(want, key=key), sorted(got, key=key)
+    assert [r[:2] for r in got] == [r[:2] for r in want]
+    assert [r[2] for r in got] == pytest.approx([r[2] for r in want], rel=1e-9)
+
+
 def test_recurring_lines(spark):
     rng = np.random.default_rng(2)
     words = ["".join(rng.choice(list("abcdefgh"), 6)) for _ in range(3000)]

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import itertools
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tillwork.llm.common import LOWER, settle, texts
@@ -83,9 +86,9 @@ def _sequence(batch: pa.RecordBatch, number: dict[bytes, int]) -> np.ndarray:
 
 
 def learn(docs: DataFrame, order: int = 3, share: float = 2e-5) -> tuple[DataFrame, int, int, Model]:
-    """Counts of all words (stored), tokens, distinct tokens, and the n-grams worth a state.
+    """Counts of all words (stored), tokens, distinct tokens, and the n-grams of a model in one place.
 
-    An n-gram is kept if it makes up at least ``share`` of all tokens (and occurs twice), at any
+    For small corpora, and to hold ``score`` against, which keeps no n-gram back. An n-gram is kept if it makes up at least ``share`` of all tokens (and occurs twice), at any
     size of the corpus, so there are 1 / share of an order at most, and what tasks are sent is
     bounded. Nothing is missed by building order on order: an n-gram is no more frequent than
     its parts. Counting covers all training documents.
@@ -181,58 +184,299 @@ class Automaton:
         return sum_
 
 
-def score(docs: DataFrame, order: int = 3, share: float = 2e-5, block_bytes: int = 8_000_000) -> DataFrame:
+# Scoring at any size. Texts lie in stored blocks. Each block asks for its distinct n-grams, with its own
+# training counts, at parts of the key space, and parts answer with the corpus counts: one exchange
+# counts and looks up. Contexts' backoff weights are summed up and looked up in the same way.
+
+_ODD, _FURTHER = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
+_START_KEY = np.uint64(0x5851F42D4C957F2D)
+
+
+def _pack(values: np.ndarray) -> bytes:
+    """Eight-byte values, byte by byte of all, compressed."""
+    return pa.compress(np.ascontiguousarray(values.view(np.uint8).reshape(-1, 8).T).tobytes(), codec="zstd", asbytes=True)
+
+
+def _unpack(data: bytes, n: int, kind: type) -> np.ndarray:
+    raw = np.frombuffer(pa.decompress(data, decompressed_size=8 * n, codec="zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(raw.reshape(8, n).T).view(kind).ravel()
+
+
+def _apart(keys: np.ndarray) -> np.ndarray:
+    return np.diff(keys, prepend=np.uint64(0))  # of sorted keys: smaller numbers
+
+
+def stored_blocks(docs: DataFrame, block_bytes: int) -> DataFrame:
+    """Rows of (block, ids, held, sizes, data): texts of about ``block_bytes`` each, as they come, compressed."""
+    kind = dict(docs.dtypes)["doc_id"]
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first, n = TaskContext.get().partitionId() << 32, 0
+        ids: list = []
+        held: list[bool] = []
+        found: list[bytes] = []
+        size = 0
+
+        def out() -> pa.RecordBatch:
+            sizes = pa.array([[len(t) for t in found]], pa.list_(pa.int64()))
+            return pa.RecordBatch.from_arrays(
+                [pa.array([first + n], pa.int64()), pa.array([ids], pa.list_(id_type)), pa.array([held], pa.list_(pa.bool_())),
+                 sizes, pa.array([pa.compress(b"".join(found), codec="zstd", asbytes=True)], pa.binary())],
+                names=["block", "ids", "held", "sizes", "data"])
+
+        for batch in batches:
+            id_type = batch.schema.field("doc_id").type
+            rows = zip(batch.column("doc_id").to_pylist(), batch.column("held").to_pylist(), texts(batch), strict=True)
+            for i, h, text in rows:
+                ids.append(i)
+                held.append(h)
+                found.append(text.encode())
+                size += len(found[-1])
+                if size >= block_bytes:
+                    yield out()
+                    ids, held, found, size, n = [], [], [], 0, n + 1
+        if found:
+            yield out()
+
+    rows = docs.select("doc_id", "text", held_out(F.col("doc_id")).alias("held"))
+    return rows.mapInArrow(work, f"block long, ids array<{kind}>, held array<boolean>, sizes array<long>, data binary")
+
+
+class Block:
+    """A block's n-grams. ``keys[n - 1]`` are the sorted distinct 64-bit keys of order n; ``at[n - 1]``
+    has each place's index among them, -1 where fewer than n tokens end; ``where`` one place of each."""
+
+    def __init__(self, sizes: list[int], held: list[bool], data: bytes, order: int):
+        joined = pa.decompress(data, decompressed_size=sum(sizes), codec="zstd", asbytes=True)
+        number: dict[bytes, int] = {}
+        ids: list[int] = []
+        start, lengths = 0, []
+        for size in sizes:
+            tokens = joined[start:start + size].translate(LOWER).split()
+            start += size
+            tokens.append(END)
+            lengths.append(len(tokens))
+            ids.append(-1)  # the last of ``hashes``: what stands before a text
+            ids.extend([number.setdefault(w, len(number)) for w in tokens])
+        hashes = np.array([*map(xxhash.xxh64_intdigest, number), 0], np.uint64)
+        hashes[-1] = _START_KEY
+        words = hashes[np.array(ids, np.int64)]
+        self.lengths = np.array(lengths, np.int64)
+        self.firsts = np.cumsum(self.lengths + 1) - self.lengths - 1  # the places before texts
+        self.place = np.arange(len(words)) - np.repeat(self.firsts, self.lengths + 1)
+        learned = np.repeat(~np.array(held, bool), self.lengths + 1)
+        self.keys, self.at, self.where, self.counts = [], [], [], []
+        key = words
+        for n in range(1, order + 1):
+            if n > 1:
+                key = np.concatenate([key[:1], key[:-1]]) * _ODD + words
+                key = (key ^ (key >> np.uint64(31))) * _FURTHER
+                key ^= key >> np.uint64(29)
+            some = np.flatnonzero(self.place >= n - 1)
+            distinct, one, back = np.unique(key[some], return_index=True, return_inverse=True)
+            at = np.full(len(words), -1, np.int64)
+            at[some] = back
+            self.keys.append(distinct)
+            self.at.append(at)
+            self.where.append(some[one])
+            self.counts.append(np.bincount(back[learned[some]], minlength=len(distinct)))
+
+    def parts(self, n: int, parts: int, some: np.ndarray | slice = slice(None)) -> Iterator[tuple[int, int, int]]:
+        """(part, start, end) of the sorted keys of order n: stretches of the key space."""
+        part = ((self.keys[n - 1][some] >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
+        if len(part):
+            cuts = np.flatnonzero(np.diff(part)) + 1
+            for a, b in zip([0, *cuts], [*cuts, len(part)]):
+                yield int(part[a]), int(a), int(b)
+
+    def answers(self, rows: list[dict], k: int = 1) -> list[np.ndarray]:
+        """The ``k`` numbers that parts answered, by order: k rows in the order of the keys asked for."""
+        out = []
+        for n in range(1, len(self.keys) + 1):
+            found = sorted((r["part"], r["size"], r["data"]) for r in rows if r["n"] == n)
+            out.append(np.concatenate([np.zeros((k, 0), np.int64), *(
+                _unpack(data, k * size, np.int64).reshape(k, size) for _, size, data in found)], axis=1))
+        return out
+
+
+class Known:
+    """A block's n-grams with their corpus counts (0: no arc) and arcs' probabilities."""
+
+    def __init__(self, block: Block, rows: list[dict], least: int, total: int, distinct: int):
+        told = [t[0] for t in block.answers(rows)]
+        self.block, self.counts, self.mine = block, [t >> 1 for t in told], [(t & 1).astype(bool) for t in told]
+        self.norm = total + ADDED * (distinct + 1)
+        self.p = [(self.counts[0] + ADDED) / self.norm]
+        self.prefix, self.suffix = [], []
+        for n in range(2, len(told) + 1):
+            where, shorter = block.where[n - 1], block.at[n - 2]
+            self.prefix.append(shorter[where - 1])
+            self.suffix.append(shorter[where])
+            c = self.counts[n - 1]
+            self.p.append(np.where(c > 0, (c - DISCOUNT) / np.maximum(self.counts[n - 2][self.prefix[-1]], 1), 0.0))
+        # by order, contexts that some place of the block falls back from, and those that it sees to
+        self.falls, self.contexts = [], []
+        for n, c in enumerate(self.counts[:-1], start=1):
+            places = np.flatnonzero(block.place >= n)
+            places = places[self.counts[n][block.at[n][places]] == 0]
+            falls = np.zeros(len(c), bool)
+            falls[block.at[n - 1][places - 1]] = True
+            asks = falls.copy()
+            asks[self.prefix[n - 1][self.mine[n]]] = True
+            self.falls.append(falls)
+            self.contexts.append(np.flatnonzero(asks & (c >= least)))
+
+    def weights(self, n: int, sums: np.ndarray) -> np.ndarray:
+        """Backoff weights (log10) of all n-grams, from sums over what follows ``contexts``: how many
+        tokens do, their counts after the context, and their counts after the context without its
+        first word, which is the same for all of them."""
+        some = self.contexts[n - 1]
+        many, here, shorter = sums.astype(np.float64)
+        left = 1 - (here - DISCOUNT * many) / np.maximum(self.counts[n - 1][some], 1)
+        if n == 1:
+            rest = 1 - (shorter + ADDED * many) / self.norm
+        else:
+            context = self.counts[n - 2][self.suffix[n - 2][some]]
+            rest = 1 - (shorter - DISCOUNT * many) / np.maximum(context, 1)
+        out = np.zeros(len(self.counts[n - 1]))
+        out[some] = np.log10(np.maximum(left, 1e-12) / np.maximum(rest, 1e-12))
+        return out
+
+
+def score(docs: DataFrame, order: int = 3, least: int = 2, block_bytes: int = 8_000_000) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every document.
 
     Tokens are the words in lower case (A-Z) and one end. ``base_score`` adds the words' own log10
-    probabilities, ``score`` is the automaton's. Documents are dealt to blocks of about
-    ``block_bytes``; a block's distinct words are joined with the corpus counts, so the vocabulary,
-    which grows with the corpus, is never in one place. A null or empty text is one end. A null
-    doc_id is held out; repeated rows are scored each, and learned from each, if not held out.
-    Without training documents every probability is that of a corpus without tokens.
+    probabilities, ``score`` is that of the automaton whose states are all n-grams seen ``least``
+    times or more. What has been read before a token decides its state, so all places of a block
+    follow their arcs and failure arcs at once. Neither words nor n-grams, which grow with the
+    corpus, are ever in one place: a block is told of those it meets. They go by 64-bit hashes,
+    so of N distinct n-grams about N * N / 2 ** 65 pairs are taken for one. A null or empty text is
+    one end. A null doc_id is held out; repeated rows are scored each, and learned from each, if
+    not held out. Without training documents every probability is that of a corpus without tokens.
     """
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    counts, total, distinct, model = learn(rows.where(~held_out(F.col("doc_id"))), order, share)
-    shared = docs.sparkSession.sparkContext.broadcast((model.words, Automaton(model, total, distinct)))
-    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    block = F.pmod(F.xxhash64("doc_id", "text"), F.lit(size // block_bytes + 1))
-    rows = rows.withColumn("block", block).repartition("block")
-    kind = dict(rows.dtypes)["doc_id"]
-
-    def distinct_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[int, set[bytes]] = {}
+    stored = settle(stored_blocks(docs, block_bytes), "lm-blocks")
+    size = stored.agg(F.sum(F.aggregate("sizes", F.lit(0).cast("bigint"), lambda a, b: a + b))).first()[0] or 0
+    parts = size // (2 * block_bytes) + 1
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for b, text in zip(batch.column("block").to_pylist(), texts(batch), strict=True):
-                seen.setdefault(b, {END}).update(text.encode().translate(LOWER).split())
-        for b, words in seen.items():
-            yield pa.RecordBatch.from_arrays([pa.array([b] * len(words), pa.int64()), pa.array(list(words), pa.binary())],
-                                             names=["block", "word"])
-
-    def one(part: pa.Table, known: pa.Table) -> pa.Table:
-        frequent, automaton = shared.value
-        words = known.column("word").to_pylist()
-        c = known.column("c").to_numpy()
-        at = {w: i for i, w in enumerate(words)}
-        numbers = {END: END_ID} | {w: i + 2 for i, w in enumerate(frequent)}
-        number = np.array([numbers.get(w, -1) for w in words], np.int64)
-        logs = np.log10((c + ADDED) / (total + ADDED * (distinct + 1)))
-        n, seen, base, full = [], [], [], []
-        for text in part.column("text").to_pylist():
-            tokens = tokens_of(text)
-            ids = np.fromiter(map(at.__getitem__, tokens), np.int64, len(tokens))
-            own = logs[ids]
-            n.append(len(ids))
-            seen.append(int((c[ids] > 0).sum()))
-            base.append(float(own.sum()))
-            full.append(automaton.score(number[ids].tolist(), own.tolist()))
-        return pa.table({"doc_id": part.column("doc_id"), "n_tokens": pa.array(n, pa.int64()),
-                         "n_known": pa.array(seen, pa.int64()), "base_score": pa.array(base, pa.float64()),
-                         "score": pa.array(full, pa.float64())})
-
-    # all columns of ``rows``, so that both uses of it read one exchange
-    words = rows.mapInArrow(distinct_words, "block long, word binary")
-    known = words.join(counts, "word", "left").select("block", "word", F.coalesce("c", F.lit(0)).alias("c"))
-    scored = rows.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(
-        one, f"doc_id {kind}, n_tokens long, n_known long, base_score double, score double")
+            for row in range(len(batch)):
+                b, sizes, held, data = (batch.column(c)[row].as_py() for c in ("block", "sizes", "held", "data"))
+                block = Block(sizes, held, data, order)
+                for n in range(1, order + 1):
+                    cut = list(block.parts(n, parts))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([p for p, _, _ in cut], pa.int64()), pa.array([b] * len(cut), pa.int64()),
+                         pa.array([n] * len(cut), pa.int64()), pa.array([j - i for _, i, j in cut], pa.int64()),
+                         pa.array([_pack(_apart(block.keys[n - 1][i:j])) for _, i, j in cut], pa.binary()),
+                         pa.array([_pack(block.counts[n - 1][i:j]) for _, i, j in cut], pa.binary())],
+                        names=["part", "block", "n", "size", "keys", "counts"])
+
+    def in_part(asked: pa.Table) -> Iterator[tuple[int, list[dict], np.ndarray, np.ndarray, np.ndarray]]:
+        """By order: the rows, by block; all keys asked for: distinct ones, a first place and index of each."""
+        rows = sorted(asked.to_pylist(), key=lambda r: (r["n"], r["block"]))
+        for n, of_n in itertools.groupby(rows, key=lambda r: r["n"]):
+            of_n = list(of_n)
+            keys = np.concatenate([np.cumsum(_unpack(r["keys"], r["size"], np.uint64), dtype=np.uint64) for r in of_n])
+            yield n, of_n, *np.unique(keys, return_index=True, return_inverse=True)
+
+    def told(rows: list[dict], values: np.ndarray) -> list[dict]:
+        ends = np.cumsum([r["size"] for r in rows])
+        return [{"block": r["block"], "n": r["n"], "part": r["part"], "size": r["size"], "data": _pack(np.ascontiguousarray(values[..., e - r["size"]:e]).ravel()),
+                 "total": 0, "distinct": 0} for r, e in zip(rows, ends, strict=True)]
+
+    as_told = "block long, n long, part long, size long, data binary, total long, distinct long"
+    told_type = pa.schema([(c, pa.binary() if c == "data" else pa.int64())
+                           for c in ("block", "n", "part", "size", "data", "total", "distinct")])
+
+    def add_up(asked: pa.Table) -> pa.Table:
+        """Corpus counts, twice, and one more for the first block that asks: it sees to the n-gram's context."""
+        out = []
+        for n, rows, distinct, first, back in in_part(asked):
+            own = np.concatenate([_unpack(r["counts"], r["size"], np.int64) for r in rows])
+            c = np.bincount(back, own, len(distinct)).astype(np.int64)
+            if n == 1:
+                words = c[distinct != _START_KEY]
+                out.append({"block": -1, "n": 0, "part": rows[0]["part"], "size": 0, "data": b"",
+                            "total": int(words.sum()), "distinct": int((words > 0).sum())})
+            else:
+                c[c < least] = 0
+            values = 2 * c[back]
+            values[first] += c > 0
+            out += told(rows, values)
+        return pa.Table.from_pylist(out, told_type)
+
+    asked = stored.select("block", "sizes", "held", "data").mapInArrow(
+        ask, "part long, block long, n long, size long, keys binary, counts binary")
+    counted = settle(asked.groupBy("part").applyInArrow(add_up, as_told), "lm-counts")
+    total, distinct = (x or 0 for x in counted.where("block < 0").agg(F.sum("total"), F.sum("distinct")).first())
+    counted = counted.where("block >= 0").select("block", "n", "part", "size", "data")
+
+    def block_of(texts_: pa.Table) -> tuple[dict, Block]:
+        row = texts_.to_pylist()[0]
+        return row, Block(row["sizes"], row["held"], row["data"], order)
+
+    def contexts(texts_: pa.Table, answers: pa.Table) -> pa.Table:
+        """Asks for contexts' weights; brings what this block's own n-grams add to them."""
+        row, block = block_of(texts_)
+        known = Known(block, answers.to_pylist(), least, total, distinct)
+        out = []
+        for n in range(1, order):
+            some, keys = known.contexts[n - 1], block.keys[n - 1]
+            mine = known.mine[n]
+            prefix = known.prefix[n - 1][mine]
+            here, shorter = known.counts[n][mine], known.counts[n - 1][known.suffix[n - 1][mine]]
+            sums = np.stack([np.bincount(prefix, w, len(keys))[some].astype(np.int64) for w in (None, here, shorter)])
+            sums[0] = 2 * sums[0] + known.falls[n - 1][some]
+            for part, i, j in block.parts(n, parts, some):
+                out.append({"part": part, "block": row["block"], "n": n, "size": j - i, "keys": _pack(_apart(keys[some][i:j])),
+                            "sums": _pack(np.ascontiguousarray(sums[:, i:j]).ravel())})
+        return pa.Table.from_pylist(out, pa.schema([
+            (c, pa.int64() if c in ("part", "block", "n", "size") else pa.binary())
+            for c in ("part", "block", "n", "size", "keys", "sums")]))
+
+    def weigh(asked: pa.Table) -> pa.Table:
+        out = []
+        for _, rows, keys, _, back in in_part(asked):
+            sums = np.concatenate([_unpack(r["sums"], 3 * r["size"], np.int64).reshape(3, -1) for r in rows], axis=1)
+            falls = sums[0] & 1
+            sums[0] >>= 1
+            out += told(rows, np.stack([np.bincount(back, x, len(keys)).astype(np.int64)[back] * falls for x in sums]))
+        return pa.Table.from_pylist(out, told_type)
+
+    by_block = stored.groupBy("block")
+    weights = by_block.cogroup(counted.groupBy("block")).applyInArrow(
+        contexts, "part long, block long, n long, size long, keys binary, sums binary")
+    weights = weights.groupBy("part").applyInArrow(weigh, as_told).select("block", "n", "part", "size", "data")
+    answers = counted.withColumn("weight", F.lit(False)).union(weights.withColumn("weight", F.lit(True)))
+    id_kind = dict(docs.dtypes)["doc_id"]
+
+    def one(texts_: pa.Table, answers: pa.Table) -> pa.Table:
+        row, block = block_of(texts_)
+        rows = answers.to_pylist()
+        known = Known(block, [r for r in rows if not r["weight"]], least, total, distinct)
+        sums = block.answers([r for r in rows if r["weight"]], 3)
+        own = np.log10(known.p[0])[block.at[0]]
+        own[block.firsts] = 0.0
+        full = own
+        for n in range(2, order + 1):
+            weight = known.weights(n - 1, sums[n - 2])
+            places = np.flatnonzero(block.place >= n - 1)  # with a context of n - 1 tokens
+            gram = block.at[n - 1][places]
+            arc = known.counts[n - 1][gram] > 0
+            step = weight[block.at[n - 2][places - 1]] + full[places]
+            step[arc] = np.log10(known.p[n - 1][gram[arc]])
+            full = full.copy()
+            full[places] = step
+        seen = known.counts[0][block.at[0]] > 0
+        seen[block.firsts] = False
+        of_texts = lambda x: np.add.reduceat(x, block.firsts)
+        return pa.table({"doc_id": texts_.column("ids").combine_chunks().flatten(), "n_tokens": pa.array(block.lengths),
+                         "n_known": pa.array(of_texts(seen.astype(np.int64))), "base_score": pa.array(of_texts(own)),
+                         "score": pa.array(of_texts(full))})
+
+    scored = by_block.cogroup(answers.groupBy("block")).applyInArrow(
+        one, f"doc_id {id_kind}, n_tokens long, n_known long, base_score double, score double")
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "n_tokens", "n_known",
                          F.lit(total).cast("bigint").alias("train_tokens"), "base_score", "score")
