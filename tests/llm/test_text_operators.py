@@ -331,6 +331,20 @@ def test_scores_know_all_ngrams_seen_twice(table):
     assert [r[2] for r in got] == pytest.approx([r[2] for r in want], rel=1e-9)
 
 
+def test_every_language_is_known(spark):
+    """70 made-up languages; the last ones have a document each."""
+    rng = np.random.default_rng(5)
+    ids = iter(i for i in range(1000) if zlib.crc32(str(i).encode()) % 4 != 2)
+    docs = []
+    for k in range(70):
+        words = ["".join(rng.choice(list("abcdefghijklmnoprstuvz"), 7)) for _ in range(30)]
+        docs += [(next(ids), " ".join(rng.choice(words, 60)), f"l{k:02}") for _ in range(2 if k < 64 else 1)]
+    table = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    told = {r["doc_id"]: r["lang_pred"] for r in langid.identify(table).collect()}
+    assert told == {i: lang for i, _, lang in docs}
+    assert quality.references(table).langs == sorted({lang for _, _, lang in docs})
+
+
 def test_recurring_lines(spark):
     rng = np.random.default_rng(2)
     words = ["".join(rng.choice(list("abcdefgh"), 6)) for _ in range(3000)]

@@ -22,10 +22,12 @@ START = "▁"
 words_of = re.compile(r"[^\W\d_]{1,40}").findall
 #: A letter that no piece covers, in every language alike.
 UNSEEN = 1e-7
-#: Words a worker remembers the scores of before it starts anew.
+#: Words a worker remembers the scores of before it starts anew, with up to ``AT_ONCE`` languages; fewer with more.
 REMEMBERED = 400_000
-#: Characters of one block of texts, about.
+#: Characters of one block of texts, about; likewise.
 BLOCK_CHARS = 3_000_000
+#: Languages scored at once.
+AT_ONCE = 16
 
 
 def vocabulary(path: str, longest: int = 6) -> list[str]:
@@ -110,19 +112,18 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % 4 == 2
 
 
-def learn(docs: DataFrame, path: str | None = None, sample: int = 1000, languages: int = 64,
+def learn(docs: DataFrame, path: str | None = None, sample: int = 1000,
           longest: int = 6) -> tuple[list[str], list[str], np.ndarray]:
     """Languages, pieces and their probabilities (piece x language) from labelled documents.
 
     The classifier is fitted on about ``sample`` documents of each language, drawn by a hash of
-    the id, and knows the ``languages`` most frequent ones; both bounds are parameters of the
-    model. Words are counted by Spark, each language is fitted in its own task, and the model
+    the id, a parameter of the model, and knows every language that has any. Words are counted by Spark, each language is fitted in its own task, and the model
     that reaches the driver has a row per piece of the fixed vocabulary and language at most.
     """
     pieces = vocabulary(path or public_tokenizers.path("piece_bpe_32k.model"), longest)
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id"))).select(
         "doc_id", "lang", "text")
-    found = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).collect()
+    found = known.groupBy("lang").count().collect()
     langs = sorted(r["lang"] for r in found)
     if not langs:
         return [], pieces, np.zeros((len(pieces) + 2, 0))
@@ -142,7 +143,9 @@ def learn(docs: DataFrame, path: str | None = None, sample: int = 1000, language
 
     def fit_one(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         prob = fit(rows["word"].tolist(), rows["n"].to_numpy(float), pieces)
-        return pd.DataFrame({"lang": key[0], "piece": np.arange(len(pieces)), "p": prob})
+        some = prob > 0
+        some[:1] = True  # a language without any known piece stays one
+        return pd.DataFrame({"lang": key[0], "piece": np.flatnonzero(some), "p": prob[some]})
 
     counts = (drawn.select("lang", "text").mapInArrow(count, "lang string, word string, n long")
               .groupBy("lang", "word").agg(F.sum("n").alias("n")))
@@ -159,26 +162,28 @@ class Scorer:
 
     def __init__(self, pieces: list[str], prob: np.ndarray):
         self.lattice, self.prob = Lattice(pieces), prob
+        self.share = AT_ONCE / max(AT_ONCE, prob.shape[1])
         self.clear()
 
     def clear(self) -> None:
         self.row: dict[str, int] = {}
-        self.logs = np.empty((1 << 16, self.prob.shape[1]), np.float32)
+        self.logs = np.empty((int((1 << 16) * self.share), self.prob.shape[1]), np.float32)
 
     def learn(self, new: list[str]) -> None:
         base = len(self.row)
         while base + len(new) > len(self.logs):
-            self.logs = np.concatenate([self.logs, np.empty_like(self.logs)])
+            self.logs = np.concatenate([self.logs, np.empty((len(self.logs) + 1, self.logs.shape[1]), np.float32)])
         for at, ids, spans in self.lattice.by_length(new):
-            with np.errstate(divide="ignore"):
-                self.logs[base + at] = np.log(forward(ids, spans, self.prob)[:, -1])
+            for k in range(0, self.prob.shape[1], AT_ONCE):
+                with np.errstate(divide="ignore"):
+                    self.logs[base + at, k:k + AT_ONCE] = np.log(forward(ids, spans, self.prob[:, k:k + AT_ONCE])[:, -1])
         self.row.update(zip(new, range(base, base + len(new))))
 
     def score(self, found: list[str]) -> np.ndarray:
         """Log probability of each text by language; texts without a letter get nan."""
         out = np.full((len(found), self.prob.shape[1]), np.nan)
-        for start, end in blocks(found, BLOCK_CHARS):
-            if len(self.row) > REMEMBERED:
+        for start, end in blocks(found, int(BLOCK_CHARS * self.share)):
+            if len(self.row) > REMEMBERED * self.share:
                 self.clear()
             words = [words_of(t.lower()) for t in found[start:end]]
             new: set[str] = set()

@@ -104,11 +104,11 @@ def divergence(p: np.ndarray, q: np.ndarray) -> np.ndarray:
         return np.sqrt(np.clip((part(p) + part(q)) / 2, 0, 1))
 
 
-def references(docs: DataFrame, common: float = 0.002, languages: int = 64) -> References:
+def references(docs: DataFrame, common: float = 0.002) -> References:
     """Class and word shares of each language, over all its documents that pass the base rules.
 
     A word is common if it makes up at least the share ``common`` of its language's words, so
-    a language has at most 1 / common of them. The ``languages`` with the most documents get a
+    a language has at most 1 / common of them. Every language with such a document gets a
     reference. Counts are summed in the tasks, then by Spark; a task forgets its word counts
     whenever they reach a quarter million and sends them on.
     """
@@ -142,7 +142,7 @@ def references(docs: DataFrame, common: float = 0.002, languages: int = 64) -> R
     counts = settle(counts, "quality-counts")
     is_total = F.substring("key", 1, 1) == F.lit(b" ")
     totals = counts.where(is_total)
-    top = totals.where(F.col("key") == F.lit(b" documents")).orderBy(F.desc("n"), "lang").limit(languages)
+    top = totals.where(F.col("key") == F.lit(b" documents"))
     langs = sorted(r["lang"] for r in top.collect())
     words = totals.where(F.col("key") == F.lit(b" words")).select("lang", F.col("n").alias("all"))
     frequent = (counts.where(~is_total).join(F.broadcast(words.where(F.col("lang").isin(langs))), "lang")
