@@ -86,7 +86,7 @@ class StoredStar:
 def _(t):
     path = shared_folder(t.spark, "productos-csv")
     (DirtyFeeds(t).productos().write.option("header", True).option("ignoreLeadingWhiteSpace", False)
-     .option("ignoreTrailingWhiteSpace", False).csv(path))
+     .option("ignoreTrailingWhiteSpace", False).option("escape", '"').csv(path))
     good, _bad = files.split_corrupt(files.read_products_csv(t.spark, path, row_id="fila"), "Productos")
     return good
 
@@ -629,7 +629,7 @@ def _(t):
     for part in range(4):
         (rows.where(F.pmod(F.call_function("div", F.col("fila"), F.lit(7)), F.lit(4)) == part).coalesce(1)
          .sortWithinPartitions("fila").drop("fila").write.mode("append").option("header", True)
-         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(f"{folder}/in"))
+         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).option("escape", '"').csv(f"{folder}/in"))
     stream = incoming(t.spark, f"{folder}/in", S.STAGING_PRODUCTOS, files_per_trigger=1)
     check = lambda batch, existing: I.validate_products(batch, t["categorias"], existing, I.LENIENT)
     existing = feeds.catalogo()

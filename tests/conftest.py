@@ -30,7 +30,10 @@ def rows(df, *cols):
 
 @pytest.fixture(scope="session")
 def seed(spark):
-    """A hand-sized shop with known totals."""
+    """A hand-sized shop with known totals.
+
+    Fixed values: the reports' golden results are stated for exactly these rows. Telephones are empty.
+    """
     D, ts, day = Decimal, dt.datetime, dt.date
     frame = lambda data, kind: spark.createDataFrame(data, kind)
     categorias = [(1, "Electrónica"), (2, "Ropa"), (3, "Alimentos"), (4, "Hogar"), (5, "Deportes")]
@@ -67,7 +70,7 @@ def seed(spark):
     return {
         "categorias": frame([(i, n, None) for i, n in categorias], S.CATEGORIAS),
         "productos": frame([(i, c, n, None, D(p), s, True) for i, c, n, p, s in productos], S.PRODUCTOS),
-        "clientes": frame([(i, f, l, e, f"351-111-000{i}", a, d) for i, f, l, e, a, d in clientes], S.CLIENTES),
+        "clientes": frame([(i, f, l, e, None, a, d) for i, f, l, e, a, d in clientes], S.CLIENTES),
         "usuarios": frame([(i, u, "x" * 64, r, True, None) for i, u, r in usuarios], S.USUARIOS),
         "ventas": frame([(i, c, u, t, D(a), e, None) for i, c, u, t, a, e in ventas], S.VENTAS),
         "detalle_ventas": frame([(n, v, p, q, D(a)) for n, (v, p, q, a) in enumerate(lines, 1)], S.DETALLE_VENTAS),

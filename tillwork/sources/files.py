@@ -8,8 +8,11 @@ from tillwork import schema as S
 
 CORRUPT = "_corrupt"
 
+#: Headered UTF-8; a quote inside a quoted field is doubled.
+CSV = {"header": "true", "encoding": "UTF-8", "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
 
-def _with_corrupt(kind: T.StructType) -> T.StructType:
+
+def with_corrupt(kind: T.StructType) -> T.StructType:
     return T.StructType([*kind.fields, T.StructField(CORRUPT, T.StringType())])
 
 
@@ -35,20 +38,17 @@ def read_products_csv(spark: SparkSession, path: str, row_id: str | None = None,
     ``row_id`` names a column of the file to use as row number.
     """
     fields = [T.StructField(row_id, T.StringType()), *schema.fields] if row_id else schema.fields
-    raw = (spark.read.schema(_with_corrupt(T.StructType(fields)))
-           .option("header", True).option("encoding", "UTF-8").option("mode", "PERMISSIVE")
-           .option("columnNameOfCorruptRecord", CORRUPT).csv(path))
-    raw = _short_rows_stay(raw)
+    raw = short_rows_stay(spark.read.schema(with_corrupt(T.StructType(fields))).options(**CSV).csv(path))
     if row_id:
         return _own_number(raw, row_id)
     return _numbered(raw, 2)
 
 
-def _short_rows_stay(raw: DataFrame) -> DataFrame:
+def short_rows_stay(raw: DataFrame) -> DataFrame:
     """The reader fills what fields it can and marks rows of any other length; short ones are no fault."""
     fields = [c for c in raw.columns if c != CORRUPT]
     # counted as the reader counts: a field may hold quoted commas
-    row = F.from_csv(F.col(CORRUPT), F.lit(", ".join(f"f{i} string" for i in range(len(fields) + 1))), {"mode": "PERMISSIVE"})
+    row = F.from_csv(F.col(CORRUPT), F.lit(", ".join(f"f{i} string" for i in range(len(fields) + 1))), {"mode": "PERMISSIVE", "escape": '"'})
     longer = row[f"f{len(fields)}"].isNotNull()
     parsed = F.coalesce(*[F.col(c) for c in fields]).isNotNull()
     return raw.withColumn(CORRUPT, F.when(longer | ~parsed, F.col(CORRUPT)))
@@ -62,7 +62,7 @@ def read_clients_json(spark: SparkSession, path: str, lines: bool = False, row_i
     ``lines``, which splits. A malformed file or line becomes a row with ``_corrupt`` set.
     """
     fields = [T.StructField(row_id, T.StringType()), *schema.fields] if row_id else schema.fields
-    raw = (spark.read.schema(_with_corrupt(T.StructType(fields))).option("multiLine", not lines)
+    raw = (spark.read.schema(with_corrupt(T.StructType(fields))).option("multiLine", not lines)
            .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).json(path))
     if row_id:
         return _own_number(raw, row_id)
