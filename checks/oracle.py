@@ -713,11 +713,23 @@ ORACLE["c9_first_oversold"] = sql(f"""SELECT id_producto, cart_id, submitted_at,
     LEFT JOIN (SELECT * FROM productos WHERE activo) p ON p.id_producto = q.id_producto
     WHERE NOT coalesce(demanda_acumulada <= p.stock, false)) WHERE rn = 1""", "items", "carros", "productos")
 
-# files by the rows' numbers; rows of a file in their order, files one after another
-ORACLE["t1_import_stream"] = sql("""SELECT cat AS id_categoria, trim(nombre) AS nombre, descripcion,
+# files by the rows' numbers; rows of a file in their order, files one after another; one size has a field too many
+_ARRIVED = """SELECT *, row_number() OVER (PARTITION BY k, apta ORDER BY lote, fila) AS vez FROM (
+    SELECT *, NOT (f_nombre OR f_clave OR f_fk OR d_lenient IS NULL OR larga) AS apta FROM (
+    SELECT *, fila // 7 % 4 AS lote, fila IN (SELECT p_partkey FROM part WHERE p_size = 15) AS larga FROM p_flags))"""
+ORACLE["t1_import_stream"] = sql(f"""SELECT cat AS id_categoria, trim(nombre) AS nombre, descripcion,
     CAST(greatest(d_lenient, 0) AS DOUBLE) AS precio, greatest(coalesce(n_stock, 0), 0) AS stock,
-    activo IS DISTINCT FROM 'FALSE' AS activo FROM (
-    SELECT *, row_number() OVER (PARTITION BY k ORDER BY fila // 7 % 4, fila) AS vez FROM p_flags
-    WHERE NOT f_nombre AND NOT f_clave AND NOT f_fk AND d_lenient IS NOT NULL
-      AND k NOT IN (SELECT k FROM catalogo)) WHERE vez = 1""", "p_flags", "catalogo")
+    activo IS DISTINCT FROM 'FALSE' AS activo FROM ({_ARRIVED})
+    WHERE apta AND vez = 1 AND k NOT IN (SELECT k FROM catalogo)""", "p_flags", "catalogo")
+ORACLE["t1_rejected_rows"] = sql(f"""SELECT CASE WHEN NOT larga THEN nombre END AS nombre,
+    CASE WHEN NOT larga THEN descripcion END AS descripcion, CASE WHEN NOT larga THEN precio END AS precio, regla,
+    CASE regla WHEN 'archivo_malformado' THEN concat_ws(',', coalesce(id_categoria, ''), nombre, descripcion, coalesce(precio, ''),
+        coalesce(stock, ''), coalesce(activo, ''), 'x')
+      WHEN 'clave_invalida' THEN id_categoria WHEN 'clave_foranea' THEN id_categoria WHEN 'no_numerico' THEN precio
+      ELSE nombre END AS valor
+    FROM (SELECT r.*, CASE WHEN larga THEN 'archivo_malformado' WHEN f_nombre THEN 'obligatorio'
+        WHEN f_existe OR r.lote > a.lote THEN 'duplicado' WHEN r.lote = a.lote AND r.fila > a.fila THEN 'duplicado_lote'
+        WHEN f_clave THEN 'clave_invalida' WHEN f_fk THEN 'clave_foranea' WHEN d_lenient IS NULL THEN 'no_numerico' END AS regla
+      FROM ({_ARRIVED}) r LEFT JOIN (SELECT k, lote, fila FROM ({_ARRIVED}) WHERE apta AND vez = 1 AND NOT f_existe) a ON a.k = r.k)
+    WHERE regla IS NOT NULL""", "p_flags", "catalogo")
 ORACLE["t2_price_stream"] = ORACLE["a3_price_history"]

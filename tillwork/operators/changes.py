@@ -26,7 +26,7 @@ def sale_audit(new_sales: DataFrame, actor: str, run_ts: Column) -> DataFrame:
                             detail.alias("detalle"), run_ts.alias("fecha_evento"))
 
 
-def _change(old: Column, new: Column) -> list[Column]:
+def change_columns(old: Column, new: Column) -> list[Column]:
     return [old.alias("precio_anterior"), new.alias("precio_nuevo"),
             (new - old).cast(S.PRICE).alias("diferencia"),
             # no percentage where the old price was zero
@@ -40,7 +40,7 @@ def price_changes(old: DataFrame, new: DataFrame, actor: str | None = None,
     changed = new.join(before, "id_producto").where(F.col("precio") != F.col("_old"))
     extra = [] if actor is None else [F.lit(actor).alias("usuario_bd"), run_ts.alias("fecha_cambio")]
     return changed.select("id_producto", F.col("nombre").alias("nombre_producto"),
-                          *_change(F.col("_old"), F.col("precio")), *extra)
+                          *change_columns(F.col("_old"), F.col("precio")), *extra)
 
 
 def price_history(events: DataFrame, key: str, order: list[str], chunk: Column,
@@ -51,4 +51,4 @@ def price_history(events: DataFrame, key: str, order: list[str], chunk: Column,
     """
     seen = previous_value(events, [key], order, chunk, price, "_old")
     return (seen.where(F.col(price) != F.col("_old"))
-            .select(key, *order, *_change(F.col("_old"), F.col(price))))
+            .select(key, *order, *change_columns(F.col("_old"), F.col(price))))
