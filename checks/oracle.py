@@ -314,6 +314,16 @@ ORACLE = {
     "s3_snapshot_full": sql(f"SELECT {SALE_OUT} FROM ventas", "ventas"),
     "s4_snapshot_diff": sql(f"SELECT {SALE_OUT} FROM ventas WHERE fecha_venta > {MARK}", "ventas"),
     "s5_restore": sql(f"SELECT {SALE_OUT} FROM ventas", "ventas"),
+    "s4_snapshot_changes": sql(f"""SELECT {SALE_OUT}, false AS borrada FROM ventas
+        WHERE estado <> 'cancelada' AND (fecha_venta > {MARK} OR (estado = 'confirmada' AND total_c <> 0))
+        UNION ALL SELECT id_venta, NULL, NULL, NULL, NULL, NULL, NULL, true FROM ventas
+        WHERE estado = 'cancelada' AND fecha_venta <= {MARK}""", "ventas"),
+    "s5_restore_changes": sql(f"SELECT {SALE_OUT} FROM ventas WHERE estado <> 'cancelada'", "ventas"),
+    "s7_differing_buckets": sql(f"""
+        SELECT 'solo_a' AS tabla, count(*) AS filas FROM ventas WHERE fecha_venta <= {MARK}
+          AND (estado = 'cancelada' OR (estado = 'confirmada' AND total_c <> 0)) UNION ALL
+        SELECT 'solo_b', count(*) FROM ventas WHERE estado <> 'cancelada'
+          AND (fecha_venta > {MARK} OR (estado = 'confirmada' AND total_c <> 0))""", "ventas"),
     "s6_snapshot_log": sql(f"""
         SELECT 'FULL' AS tipo, 'Ventas' AS tabla_afectada, 'ventas_FULL' AS archivo, count(*) AS filas_respaldadas,
           {MARK} AS fecha_inicio FROM ventas WHERE fecha_venta <= {MARK}

@@ -16,6 +16,7 @@ from tillwork.functions.dates import hour_slice
 from tillwork.operators import audit as A, carts as C, changes as G, constraints as K, validation as V, views as Q
 from tillwork.plans import imports as I, reports as R, star as D
 from tillwork.sources import files, snapshots as N
+from tillwork.sources.checksums import BucketSnapshot
 from tillwork.sources.testtables import Activity, DirtyFeeds, TestTables
 from tillwork.streaming.imports import import_stream, incoming
 from tillwork.streaming.prices import STATE_STORE, price_change_stream
@@ -126,6 +127,47 @@ def _(t):
     return N.restore(full, diff, "id_venta")
 
 
+def _bucketed(t, label, df):
+    found = BucketSnapshot(t.spark, shared_folder(t.spark, label), "id_venta", t["ventas"].schema, buckets=16)
+    found.write(df)
+    return found
+
+
+def _then_and_now(t):
+    """Sales up to the mark with the confirmed ones unpriced, and all sales without the cancelled ones."""
+    v = t["ventas"]
+    unpriced = F.when(F.col("estado") == S.CONFIRMED, F.lit(0).cast(S.MONEY)).otherwise(F.col("total"))
+    return v.where(F.col("fecha_venta") <= ntz(MARK)).withColumn("total", unpriced), v.where(F.col("estado") != S.CANCELLED)
+
+
+@query("s4_snapshot_changes")
+def _(t):
+    then, now = _then_and_now(t)
+    return _bucketed(t, "ventas-cubos", then).changes_to(now).withColumnRenamed("_borrada", "borrada")
+
+
+@query("s5_restore_changes")
+def _(t):
+    """Three differentials over a snapshot: new sales, some unpriced; deletions; prices, and sales since."""
+    then, now = _then_and_now(t)
+    v, later = t["ventas"], F.col("fecha_venta") > ntz(MARK)
+    kept = lambda df: df.withColumn("_borrada", F.lit(False))
+    soon = F.col("fecha_venta") <= ntz(MARK + dt.timedelta(days=90))
+    blank = v.limit(0)
+    gone = kept(blank).unionByName(v.where((F.col("estado") == S.CANCELLED) & (~later | soon)).select(
+        "id_venta", F.lit(True).alias("_borrada")), allowMissingColumns=True)
+    snapshot = _bucketed(t, "ventas-cubos", then)
+    snapshot.apply([kept(v.where(later & soon).withColumn("total", F.lit(0).cast(S.MONEY))), gone,
+                    kept(now.where(later | (F.col("estado") == S.CONFIRMED)))])
+    return snapshot.rows()
+
+
+@query("s7_differing_buckets")
+def _(t):
+    then, now = _then_and_now(t)
+    return _bucketed(t, "ventas-antes", then).differing_rows(_bucketed(t, "ventas-ahora", now))
+
+
 @query("s6_snapshot_log")
 def _(t):
     log = _full_log(t)

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
+
+from tillwork.sources.checksums import totals
+from tillwork.sources.storage import exists, files_below
 
 FULL, DIFFERENTIAL, LOG_MARK = "FULL", "DIFERENCIAL", "LOG_TRANSACCIONES"
 
@@ -28,23 +31,55 @@ def _texts(df: DataFrame, change) -> DataFrame:
         if kinds[c] == "string" else F.col(c) for c in df.columns])
 
 
+class IncompleteSnapshot(ValueError):
+    """A snapshot lacks files or rows that its manifest names, or was never finished."""
+
+
+_MANIFEST = "archivo string, bytes long, filas long, suma_a long, suma_b long, mezcla long"
+
+
 def snapshot_full(df: DataFrame, path: str, fmt: str = "csv", rows_per_file: int = 1_000_000) -> None:
     """Writes the whole table in files of at most ``rows_per_file`` rows: a delimited file is read
     back by one task, since its records may hold line breaks. Note the time before calling: it
-    is the watermark of the snapshot, so that changes made meanwhile fall into the next one."""
-    if fmt != "csv":
-        df.write.parquet(path)
-        return
-    marked = _texts(df, lambda text: F.concat(F.lit("\\"), text))
-    marked.write.options(**_CSV).option("emptyValue", '""').option("maxRecordsPerFile", rows_per_file).csv(path)
+    is the watermark of the snapshot, so that changes made meanwhile fall into the next one.
 
-
-def read_snapshot(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "csv") -> DataFrame:
+    Last of all comes the manifest: every file with its size, and rows and checksum of the whole,
+    taken while the rows were written.
+    """
+    spark, seen = df.sparkSession, Observation()
+    watched = df.observe(seen, *totals(df.columns))
+    if fmt == "csv":
+        marked = _texts(watched, lambda text: F.concat(F.lit("\\"), text))
+        marked.write.options(**_CSV).option("emptyValue", '""').option("maxRecordsPerFile", rows_per_file).csv(path)
+    else:
+        watched.write.parquet(path)
+    found = seen.get
+    rows = [(name, size, None, None, None, None) for name, size in files_below(spark, path).items()]
+    rows.append((None, None, *[found[c] for c in ("filas", "suma_a", "suma_b", "mezcla")]))
+    spark.createDataFrame(rows, _MANIFEST).coalesce(1).write.json(f"{path}/_manifest")
+
+
+def read_snapshot(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "csv", verify: bool = False) -> DataFrame:
+    """The table as it was saved. A snapshot without its manifest, or with files missing or of another
+    size, is refused; ``verify`` also reads it all and compares rows and checksum."""
+    if not exists(spark, f"{path}/_manifest/_SUCCESS"):
+        raise IncompleteSnapshot(f"{path} has no manifest")
+    manifest = spark.read.schema(_MANIFEST).json(f"{path}/_manifest").collect()
+    named = {r["archivo"]: r["bytes"] for r in manifest if r["archivo"] is not None}
+    there = files_below(spark, path)
+    wrong = sorted(n for n in named.keys() | there.keys() if named.get(n) != there.get(n))
+    if wrong:
+        raise IncompleteSnapshot(f"{path}: {len(wrong)} files differ from the manifest, the first is {wrong[0]}")
     if fmt != "csv":
-        return spark.read.schema(schema).parquet(path)
-    # records may hold line breaks inside quotes
-    raw = spark.read.schema(schema).options(**_CSV).option("emptyValue", "").option("multiLine", True).csv(path)
-    return _texts(raw, lambda text: F.substring(text, 2, 2 ** 31 - 1))
+        found = spark.read.schema(schema).parquet(path)
+    else:  # records may hold line breaks inside quotes
+        raw = spark.read.schema(schema).options(**_CSV).option("emptyValue", "").option("multiLine", True).csv(path)
+        found = _texts(raw, lambda text: F.substring(text, 2, 2 ** 31 - 1))
+    if verify:
+        whole = next(r for r in manifest if r["archivo"] is None)
+        if found.agg(*totals(found.columns)).first() != tuple(whole[c] for c in ("filas", "suma_a", "suma_b", "mezcla")):
+            raise IncompleteSnapshot(f"{path}: rows differ from the manifest")
+    return found
 
 
 def last_full(log: DataFrame, table: str) -> Column:

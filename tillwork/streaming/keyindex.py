@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tillwork.functions.text import match_key
+from tillwork.sources.storage import exists, remove
 
 Segment = tuple[int, int]  # batches from, up to but without
 BASE: Segment = (-1, 0)    # what was there before the first batch
@@ -140,19 +141,3 @@ class KeyIndex:
             for old in self._there((a, a + step)):
                 remove(self.spark, f"{self.path}/{old[0]}-{old[1]}")
                 self._words.pop(old, None)
-
-
-def _file(spark: SparkSession, path: str):
-    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return where, where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-
-def exists(spark: SparkSession, path: str) -> bool:
-    """Whether there is anything at ``path``; anything else that is wrong with it stays an error."""
-    where, system = _file(spark, path)
-    return system.exists(where)
-
-
-def remove(spark: SparkSession, path: str) -> None:
-    where, system = _file(spark, path)
-    system.delete(where, True)

@@ -9,7 +9,7 @@ from pyspark.sql.streaming import DataStreamWriter, StatefulProcessor, StatefulP
 
 from tillwork.functions.dates import hour_slice
 from tillwork.operators.changes import change_columns, price_history
-from tillwork.streaming.keyindex import exists
+from tillwork.sources.storage import exists
 
 #: Where the value state of ``price_change_stream`` lives: on the executors' disks, not in their heaps,
 #: changes alone uploaded to the checkpoint. A session setting, read when the query starts.
