@@ -148,3 +148,34 @@ def test_run_etl(spark, seed, tmp_path):
     stored = spark.read.parquet(f"{tmp_path}/HechoVentas")
     plan = stored.where(F.col("anio_venta") == 2024)._jdf.queryExecution().toString()
     assert "PartitionFilters: [isnotnull(anio_venta" in plan
+
+
+def test_an_amount_of_too_many_digits_stops_nothing(spark, seed):
+    from tillwork.plans import star
+    huge = spark.createDataFrame([(99, 1, 1, 2_000_000_000, Decimal("99999999.99"))], seed["detalle_ventas"].schema)
+    lines = star.apportioned_lines(seed["ventas"], seed["detalle_ventas"].unionByName(huge))
+    got = dict(rows(lines.where("id_venta = 1"), "cantidad", "monto_bruto_linea"))
+    assert got[2_000_000_000] is None and got[1] is not None
+
+
+def test_bucketed_lines_stay_where_they_are(spark, seed, tmp_path):
+    from tillwork.plans import star
+    from tillwork.sources import layout
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS cubos LOCATION '{tmp_path}'")
+    layout.write_bucketed(seed["detalle_ventas"], "cubos.lineas", "id_venta", 4)
+    layout.write_bucketed(seed["ventas"], "cubos.ventas", "id_venta", 4)
+    t = layout.read_tables(spark, {"l": "cubos.lineas", "v": "cubos.ventas"})
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        found = star.apportioned_lines(t["v"], t["l"])
+        plan = found._jdf.queryExecution().sparkPlan().toString()
+        executed = found._jdf.queryExecution().executedPlan().toString()
+        # headers alone are exchanged; of lines, neither the sums per sale nor the join moves one
+        moved = [part for part in executed.split("Exchange hashpartitioning")[1:]]
+        assert len(moved) <= 1 and plan.count("cubos.lineas") == 2
+        want = star.apportioned_lines(seed["ventas"], seed["detalle_ventas"])
+        assert sorted(rows(found, "id_venta", "id_producto", "monto_neto_linea")) == sorted(
+            rows(want, "id_venta", "id_producto", "monto_neto_linea"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("DROP DATABASE cubos CASCADE")

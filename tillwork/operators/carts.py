@@ -14,6 +14,7 @@ from tillwork.functions import money
 from tillwork.functions.text import money_text, show
 from tillwork.operators.sequence import number_rows, running_total
 from tillwork.operators.skew import own_exchange
+from tillwork.session import settle
 
 # --- Fixed values: result codes and their texts --------------------------------------
 STOCK_OK = "Stock verificado: disponibilidad suficiente en todos los productos."
@@ -172,7 +173,11 @@ def validate_carts(carts: DataFrame, clientes: DataFrame, usuarios: DataFrame, p
 
 def to_sales(priced: DataFrame, productos: DataFrame, run_ts: Column, last_id: int | Column = 0,
              items: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """Accepted carts as sale headers and lines; ids continue after ``last_id`` in cart order."""
+    """Accepted carts as sale headers and lines; ids continue after ``last_id`` in cart order.
+
+    Carts are judged once, here: numbering, headers and lines read what is stored of that.
+    """
+    priced = settle(priced, "judged-carts")
     items = parse_carts(priced) if items is None else items
     accepted = number_rows(priced.where(F.col("codigo") == OK), "cart_id", "id_venta", last_id)
     headers = accepted.select(

@@ -28,7 +28,7 @@ def sale_audit(new_sales: DataFrame, actor: str, run_ts: Column) -> DataFrame:
 
 def change_columns(old: Column, new: Column) -> list[Column]:
     return [old.alias("precio_anterior"), new.alias("precio_nuevo"),
-            (new - old).cast(S.PRICE).alias("diferencia"),
+            (new - old).try_cast(S.PRICE).alias("diferencia"),
             # no percentage where the old price was zero
             money.percent(new - old, old).alias("porcentaje_cambio")]
 

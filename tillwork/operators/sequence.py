@@ -25,12 +25,12 @@ def number_rows(df: DataFrame, key: str, name: str, start: int | Column = 0, blo
     Rows are cut twice: into stretches of the key's range, one for every ``block`` rows, and
     within a stretch into blocks of key values, of at most ``block`` rows each. Dense keys fill
     the blocks, sparse ones (hashes) the stretches. What is counted per block is ordered within
-    its stretch, and only one count per stretch is ordered globally.
+    its stretch, and only one count per stretch is ordered globally. Rows and key range are asked for
+    once, when this is called: as part of the plan they would be computed wherever it uses them.
     """
-    seen = df.agg(F.struct(F.count("*").alias("n"), F.min(key).cast("double").alias("lo"),
-                           F.max(key).cast("double").alias("hi")).alias("s")).scalar()
-    width = F.greatest(F.lit(1.0), (seen["hi"] - seen["lo"] + 1) / F.ceil(seen["n"] / block))
-    cut = (df.withColumn("_stretch", F.floor((F.col(key).cast("double") - seen["lo"]) / width).cast("bigint"))
+    rows, lo, hi = df.agg(F.count("*"), F.min(key).cast("double"), F.max(key).cast("double")).first()
+    width = max(1.0, ((hi or 0.0) - (lo or 0.0) + 1) / max(1, -(-rows // block)))
+    cut = (df.withColumn("_stretch", F.floor((F.col(key).cast("double") - F.lit(lo or 0.0)) / F.lit(width)).cast("bigint"))
            .withColumn(_CHUNK, F.call_function("div", F.col(key), F.lit(block))))
     counts = cut.groupBy("_stretch", _CHUNK).agg(F.count("*").alias("_n"))
     far = (counts.groupBy("_stretch").agg(F.sum("_n").alias("_n")).withColumn(

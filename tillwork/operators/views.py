@@ -20,7 +20,7 @@ def _not_cancelled(sales: DataFrame) -> DataFrame:
 
 
 def with_subtotal(lines: DataFrame) -> DataFrame:
-    return lines.withColumn("subtotal", (F.col("cantidad") * F.col("precio_unitario")).cast(S.MONEY))
+    return lines.withColumn("subtotal", (F.col("cantidad") * F.col("precio_unitario")).try_cast(S.MONEY))
 
 
 def active_products(productos: DataFrame, categorias: DataFrame) -> DataFrame:

@@ -80,9 +80,11 @@ def apportioned_lines(ventas: DataFrame, lines: DataFrame) -> DataFrame:
     Sums per sale come from an aggregate that combines before it shuffles, joined back on
     the sale; a window per sale would hold the largest sale in one task. Headers are
     shuffled once more before lines join them, which lets a sale with very many lines be split.
+    Over tables bucketed on the sale (``sources.layout``) lines are not shuffled at all. A line
+    whose amount has too many digits has none, and no part of the total.
     """
     line = lines.select("id_venta", "id_producto", "cantidad", "precio_unitario",
-                        (F.col("cantidad") * F.col("precio_unitario")).cast(S.MONEY).alias("monto_bruto_linea"))
+                        (F.col("cantidad") * F.col("precio_unitario")).try_cast(S.MONEY).alias("monto_bruto_linea"))
     gross = line.groupBy("id_venta").agg(F.sum("monto_bruto_linea").cast(S.WIDE).alias("_gross"))
     header = ventas.where(F.col("estado") != S.CANCELLED).join(gross, "id_venta")
     # the discount is what the sale total leaves off; negative where the total is higher
