@@ -1,5 +1,6 @@
 """Small-world graphs against all cosines."""
 import numpy as np
+import pytest
 
 from tests.llm.conftest import SF, by_id
 from tillwork.llm import common, hnsw, vectors
@@ -54,15 +55,62 @@ def test_test_table(spark):
     assert found >= 0.97 * want.sum() and all(got[v] <= n for (v, _), n in zip(rows, want))
 
 
-def test_beams_widen_over_a_dense_group():
-    rng = np.random.default_rng(6)
-    one = rng.normal(size=32)
-    v = np.concatenate([one + rng.normal(size=(700, 32)) * 0.1, rng.normal(size=(800, 32))])
-    v /= np.linalg.norm(v, axis=1, keepdims=True)
-    graph = hnsw.Graph.load(hnsw.build(v, seed=1).dump())
-    q, r, recall, _ = hnsw.linked(graph, v, 0.9, width=16)
-    truth = int((v @ v.T >= 0.9).sum())
-    assert recall >= 0.99 and 0.99 * truth <= len(q) <= truth
+def planted(groups, sparse, dim, seed):
+    """Dense groups, as many vectors by themselves, and pairs at about the threshold."""
+    rng = np.random.default_rng(seed)
+    parts = [rng.normal(size=dim) + rng.normal(size=(g, dim)) * 0.2 for g in groups]
+    alone = rng.normal(size=(sparse, dim))
+    mates = alone[:sparse // 4]
+    close = mates + rng.normal(size=mates.shape) * 0.45
+    v = np.concatenate([*parts, alone, close])
+    return v / np.linalg.norm(v, axis=1, keepdims=True)
+
+
+def true_links(v, least=0.9):
+    links = v @ v.T >= least
+    np.fill_diagonal(links, False)
+    return links
+
+
+@pytest.mark.parametrize("groups, sparse", [((700,), 800), ((40, 60, 90), 1000), ((1500,), 300), ((), 600)])
+def test_links_of_dense_groups_and_sparse_pairs(groups, sparse):
+    v = planted(groups, sparse, 32, 6)
+    graph = hnsw.Graph.load(v, hnsw.build(v, seed=1).dump())
+    truth = true_links(v)
+    got = np.zeros_like(truth)
+    for q, r in hnsw.links_within(graph, 0.9):
+        assert not got[q, r].any()  # each once
+        got[q, r] = True
+    assert (got == got.T).all() and not (got & ~truth).any()
+    assert got.sum() >= 0.99 * truth.sum() and truth.sum() > 0
+    half = len(v) // 2
+    other = hnsw.Graph.load(v[half:], hnsw.build(v[half:], seed=2).dump())
+    between = sum(len(q) for q, _ in hnsw.links_between(other, v[:half], 0.9))
+    assert 0.99 * truth[:half, half:].sum() <= between <= truth[:half, half:].sum()
+
+
+def test_the_audit_sees_true_pairs():
+    v = planted((), 1000, 32, 3)
+    graph = hnsw.build(v, seed=1)
+    width, recall, pairs = hnsw.audited_width(graph, v, 0.9, True)
+    assert pairs >= 50 and recall >= 0.99 and width < len(v)
+    # a graph that has lost its links is noticed, and all vectors are gone through
+    broken = hnsw.Graph(v, [(n, np.full_like(a, -1)) for n, a in graph.levels])
+    assert hnsw.audited_width(broken, v, 0.9, True)[:2] == (max(w for w in [32 * 2 ** k for k in range(9)] if w < 2 * len(v)), 1.0)
+
+
+def test_planted_groups_at_the_threshold(spark):
+    """A group of a third of all, one of 300, pairs at the threshold: nearly every link, and both ends agree."""
+    v = planted((2000, 300), 3000, 32, 8).astype(np.float32)
+    order = np.random.default_rng(1).permutation(len(v))
+    df = spark.createDataFrame([(int(i), v[k].tolist()) for i, k in enumerate(order)], "vec_id long, embedding array<float>")
+    got = by_id(vectors.near(df, least_shards=3), "vec_id", "n_links", "component_id")
+    exact = v[order].astype(np.float64)
+    exact /= np.linalg.norm(exact, axis=1, keepdims=True)
+    truth = true_links(exact)
+    assert 0.99 * truth.sum() <= sum(n for _, n, _ in got) <= truth.sum()
+    assert all(n <= truth[i].sum() for i, n, _ in got) and sum(n for _, n, _ in got) % 2 == 0
+    assert len({c for i, _, c in got if truth[i].sum() > 500}) == 1
 
 
 def test_components_of_chains_and_hubs(spark):

@@ -7,6 +7,7 @@ of its own, so that a step costs a few array operations rather than one per vect
 from __future__ import annotations
 
 import io
+from collections.abc import Iterator
 
 import numpy as np
 
@@ -22,14 +23,15 @@ class Graph:
         self.levels = levels
 
     def dump(self) -> bytes:
+        """The links alone; the vectors are kept beside them."""
         out = io.BytesIO()
-        np.savez(out, exact=self.exact, **{f"{k}{i}": x for i, lv in enumerate(self.levels) for k, x in zip("na", lv)})
+        np.savez(out, **{f"{k}{i}": x.astype(np.int32) for i, lv in enumerate(self.levels) for k, x in zip("na", lv)})
         return out.getvalue()
 
     @classmethod
-    def load(cls, blob: bytes) -> Graph:
+    def load(cls, exact: np.ndarray, blob: bytes) -> Graph:
         z = np.load(io.BytesIO(blob))
-        return cls(z["exact"], [(z[f"n{i}"], z[f"a{i}"]) for i in range((len(z.files) - 1) // 2)])
+        return cls(exact, [(z[f"n{i}"].astype(np.int64), z[f"a{i}"].astype(np.int64)) for i in range(len(z.files) // 2)])
 
     def _beam(self, queries: np.ndarray, entry: np.ndarray, level: int, width: int) -> tuple[np.ndarray, np.ndarray]:
         """The ``width`` closest nodes a beam of that width reaches from ``entry``: rows and cosines, closest first."""
@@ -180,49 +182,126 @@ def build(vectors: np.ndarray, seed: int, links: int = 12, width: int = 48, batc
     return graph
 
 
-def linked(graph: Graph, queries: np.ndarray, least: float, width: int = 32, recall: float = 0.99,
-           audited: int = 32, block: int = 1024) -> tuple[np.ndarray, np.ndarray, float, int]:
-    """(query, node) pairs with cosine >= least that the graph gives, verified in double precision.
+def _spread(graph: Graph, queries: np.ndarray, rows: np.ndarray, loose: np.float32, expand: np.float32,
+            most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """From what beams found, along all links of nodes at ``expand`` or more: (query, node) at ``loose``
+    or more, and the queries that met over ``most`` such nodes, whose pairs are left out."""
+    near, n, many = graph.levels[0][1], len(graph.vectors), len(queries)
+    seen = np.zeros(many * n, bool)
+    met, wide = np.zeros(many, np.int64), np.zeros(many, bool)
+    q, k = np.nonzero(rows >= 0)
+    new = np.unique(q * n + rows[q, k])
+    pairs = []
+    while len(new):
+        seen[new] = True
+        q, r = np.divmod(new, n)
+        sims = np.concatenate([np.einsum("nd,nd->n", queries[q[a:a + 200_000]], graph.vectors[r[a:a + 200_000]])
+                               for a in range(0, len(q), 200_000)])
+        pairs.append(new[sims >= loose])
+        q, r = q[sims >= expand], r[sims >= expand]
+        met += np.bincount(q, minlength=many)
+        wide = met > most
+        q, r = q[~wide[q]], r[~wide[q]]
+        ahead = []
+        for a in range(0, len(q), 100_000):
+            there = near[r[a:a + 100_000]]
+            keys = (q[a:a + 100_000, None] * n + there)[there >= 0]
+            ahead.append(np.unique(keys[~seen[keys]]))
+        new = np.unique(np.concatenate(ahead)) if ahead else np.array([], np.int64)
+    q, r = np.divmod(np.concatenate(pairs) if pairs else np.array([], np.int64), n)
+    return q[~wide[q]], r[~wide[q]], np.flatnonzero(wide)
 
-    A beam that ends above ``least`` may have been too narrow: those queries go again with four
-    times the width. Then ``audited`` queries are held against all nodes; while the share of
-    true pairs found is under ``recall`` all go again with twice the width, until a beam is as
-    wide as the shard, which is a comparison with all nodes. Also returns the audit's last
-    recall and the width it passed with.
+
+def search_links(graph: Graph, exact: np.ndarray, least: float, width: int,
+                 block: int = 1024) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(query, node) pairs with cosine >= least that the graph gives, verified in double precision, by
+    blocks of queries; and which queries of the block were held against all nodes.
+
+    Where a beam ends above ``least`` the verified neighbourhood is larger than the beam: it is followed
+    along the graph, over nodes a little below ``least`` too. A query with over a 32nd of all
+    nodes around it goes through all of them, which is then less work.
     """
     n, loose = len(graph.vectors), np.float32(least - 1e-3)
-    exact, queries = queries, queries.astype(np.float32)
-    sample = np.unique(np.linspace(0, len(queries) - 1, audited).astype(int))
-    cos = exact[sample] @ graph.exact.T
-    truth = {(int(sample[i]), int(j)) for i, j in zip(*np.nonzero(cos >= least))}
+    expand = np.float32(max(least - 0.02 * width / 16, -1.0))
+    size = max(1, min(block, 32_000_000 // max(n, 16 * width)))
+    for at in range(0, len(exact), size):
+        queries = exact[at:at + size].astype(np.float32)
+        through = np.arange(len(queries))
+        parts = []
+        if width < n:
+            rows, sims = graph.search(queries, width)
+            full = np.flatnonzero(sims[:, -1] >= loose)
+            q, k = np.nonzero(sims >= loose)
+            alone = ~np.isin(q, full)
+            parts.append((q[alone], rows[q[alone], k[alone]]))
+            q, r, wide = _spread(graph, queries[full], rows[full], loose, expand, max(n // 32, width))
+            parts.append((full[q], r))
+            through = full[wide]
+        step = max(1, 16_000_000 // n)
+        for a in range(0, len(through), step):  # a few at a time: a dense group has very many pairs
+            q, r = np.nonzero(queries[through[a:a + step]] @ graph.vectors.T >= loose)
+            q = through[a:a + step][q]
+            sure = np.einsum("nd,nd->n", exact[at + q], graph.exact[r]) >= least
+            yield at + q[sure], r[sure], at + through[a:a + step]
+        for q, r in parts:
+            sure = np.einsum("nd,nd->n", exact[at + q], graph.exact[r]) >= least
+            yield at + q[sure], r[sure], np.array([], np.int64)
+
+
+def audited_width(graph: Graph, exact: np.ndarray, least: float, same: bool, width: int = 32, recall: float = 0.99,
+                  pairs: int = 50, most: int = 2048) -> tuple[int, float, int]:
+    """The beam width at which an audit passes, its recall, and the true pairs it was judged on.
+
+    Queries spread over all are held against all nodes, ever more of them until ``pairs`` true pairs
+    of two vectors are seen or ``most`` queries were held; of these pairs the graph has to give the share ``recall``, else beams
+    are doubled, up to the width of the shard, which is a comparison with all nodes.
+    """
+    count, truth = 32, set()
+    while True:
+        sample = np.unique(np.linspace(0, len(exact) - 1, min(count, len(exact))).astype(int))
+        truth = set()
+        for a in range(0, len(sample), 256):
+            q, r = np.nonzero(exact[sample[a:a + 256]] @ graph.exact.T >= least)
+            q = q + a
+            other = sample[q] != r if same else np.ones(len(q), bool)
+            truth.update(zip(q[other].tolist(), r[other].tolist()))
+        if len(truth) >= pairs or len(sample) == len(exact) or count >= most:
+            break
+        count *= 4
     while True:
-        found: list[tuple[np.ndarray, np.ndarray]] = []
-        todo, w = np.arange(len(queries)), width
-        while len(todo):
-            again = []
-            size = max(1, min(block, 32_000_000 // max(n, 16 * w)))
-            for at in range(0, len(todo), size):
-                part = todo[at:at + size]
-                if w >= n:
-                    sims = queries[part] @ graph.vectors.T
-                    q, r = np.nonzero(sims >= loose)
-                else:
-                    rows, sims = graph.search(queries[part], w)
-                    full = sims[:, -1] >= loose
-                    again.append(part[full])
-                    q, k = np.nonzero((sims >= loose) & ~full[:, None])
-                    r = rows[q, k]
-                found.append((part[q], r))
-            todo = np.concatenate(again) if again else np.array([], int)
-            w *= 4
-        q = np.concatenate([f[0] for f in found]) if found else np.array([], int)
-        r = np.concatenate([f[1] for f in found]) if found else np.array([], int)
-        q, r = np.divmod(np.unique(q.astype(np.int64) * n + r), n)
-        sure = np.einsum("nd,nd->n", exact[q], graph.exact[r]) >= least
-        q, r = q[sure], r[sure]
-        audit = np.isin(q, sample)
-        got = set(zip(q[audit].tolist(), r[audit].tolist()))
-        reached = len(got & truth) / len(truth) if truth else 1.0
-        if reached >= recall or width >= n:
-            return q, r, reached, width
+        found = {p for q, r, _ in search_links(graph, exact[sample], least, width) for p in zip(q.tolist(), r.tolist())}
+        reached = len(found & truth) / len(truth) if truth else 1.0
+        if reached >= recall or width >= len(graph.vectors):
+            return width, reached, len(truth)
         width *= 2
+
+
+def links_between(graph: Graph, exact: np.ndarray, least: float, recall: float = 0.99) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Verified pairs (asking vector, node) of two shards, each once."""
+    width, _, _ = audited_width(graph, exact, least, False, recall=recall)
+    for q, r, _ in search_links(graph, exact, least, width):
+        yield q, r
+
+
+def links_within(graph: Graph, least: float, recall: float = 0.99) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Verified pairs of a shard's own vectors, in both directions whichever end found them.
+
+    Vectors held against all nodes are certain of their pairs, which pass at once; of the others'
+    pairs both directions are kept until the end, each once.
+    """
+    n = len(graph.vectors)
+    width, _, _ = audited_width(graph, graph.exact, least, True, recall=recall)
+    certain, kept, size = np.zeros(n, bool), [], 0
+    for q, r, through in search_links(graph, graph.exact, least, width):
+        q, r = q[q != r], r[q != r]
+        certain[through] = True
+        if len(through):
+            yield q, r
+        kept.append(np.concatenate([r * n + q, q * n + r] if not len(through) else [r * n + q]))
+        size += len(kept[-1])
+        if size > 4_000_000:
+            kept = [np.unique(np.concatenate(kept))]
+            kept[0] = kept[0][~certain[kept[0] // n]]
+            size = len(kept[0])
+    q, r = np.divmod(np.unique(np.concatenate(kept)) if kept else np.array([], np.int64), n)
+    yield q[~certain[q]], r[~certain[q]]

@@ -16,47 +16,56 @@ from tillwork.llm.components import components, forest
 from tillwork.operators.skew import own_exchange
 
 
-def _unit(vectors: pd.Series) -> np.ndarray:
-    v = np.stack(vectors.to_numpy()).astype(np.float64)
+def _unit(v: np.ndarray) -> np.ndarray:
+    v = v.astype(np.float64)
     v /= np.abs(v).max(axis=1, keepdims=True)  # so that no square runs out of range
     return v / np.sqrt((v * v).sum(axis=1, keepdims=True))
 
 
 def shard_graphs(heads: DataFrame, shard_rows: int, least_shards: int) -> tuple[DataFrame, int]:
-    """(dim, shard, keys, sizes, graph): one graph per shard of the distinct vectors, as stored rows."""
+    """(dim, shard, keys, sizes, vectors, graph): the distinct vectors of a shard and its graph, as stored rows."""
     shards = max(least_shards, math.ceil(heads.count() / shard_rows))
+    single = heads.schema["embedding"].dataType.elementType.typeName() == "float"
 
     def one(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("_key", ignore_index=True)
-        graph = hnsw.build(_unit(rows["embedding"]), seed=int(key[1]))
+        given = np.stack(rows["embedding"].to_numpy()).astype(np.float32 if single else np.float64)
+        graph = hnsw.build(_unit(given), seed=int(key[1]))
         return pd.DataFrame({"dim": [key[0]], "shard": [key[1]], "keys": [rows["_key"].tolist()],
-                             "sizes": [rows["_size"].tolist()], "graph": [graph.dump()]})
+                             "sizes": [rows["_size"].tolist()], "vectors": [given.tobytes()], "graph": [graph.dump()]})
 
     cut = heads.select("_key", "_size", "embedding", F.size("embedding").alias("dim"),
                        F.pmod(F.xxhash64(F.lit("shard"), "_key"), F.lit(shards)).cast("int").alias("shard"))
     return settle(cut.groupBy("dim", "shard").applyInPandas(
-        one, "dim int, shard int, keys array<bigint>, sizes array<bigint>, graph binary"), "graphs"), shards
+        one, "dim int, shard int, keys array<bigint>, sizes array<bigint>, vectors binary, graph binary"), "graphs"), shards
 
 
-def _ask(least: float, recall: float):
-    """Rows of two shards to (node, n, root): how many vectors the first shard's nodes link with in the
-    second, and a spanning forest of these links."""
+def _ask(least: float, recall: float, single: bool):
+    """Rows of two shards, each two once, to (node, n, root): how many vectors a node of either links with
+    in the other, and a spanning forest of these links. Links are folded as they are found."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for pair in batch.to_pylist():
-                asking, asked = hnsw.Graph.load(pair["asking"]), hnsw.Graph.load(pair["graph"])
+                unit = lambda raw: _unit(np.frombuffer(raw, np.float32 if single else np.float64).reshape(-1, pair["dim"]))
                 mine, keys = np.array(pair["asking_keys"]), np.array(pair["keys"])
-                q, r, reached, width = hnsw.linked(asked, asking.exact, least, recall=recall)
-                other = mine[q] != keys[r]
-                q, r = q[other], r[other]
-                n = np.bincount(q, np.array(pair["sizes"], float)[r], len(mine)).astype(np.int64)
-                nodes, roots = forest(mine[q], keys[r])
-                tied = nodes != roots
-                some = n > 0
+                my_sizes, sizes = np.array(pair["asking_sizes"], np.int64), np.array(pair["sizes"], np.int64)
+                same = pair["asking_shard"] == pair["shard"]
+                graph = hnsw.Graph.load(unit(pair["vectors"]), pair["graph"])
+                found = (hnsw.links_within(graph, least, recall) if same
+                         else hnsw.links_between(graph, unit(pair["asking"]), least, recall))
+                mine_n, n = np.zeros(len(mine), np.int64), np.zeros(len(keys), np.int64)
+                tree = np.array([], np.int64), np.array([], np.int64)
+                for q, r in found:
+                    np.add.at(mine_n, q, sizes[r])
+                    if not same:
+                        np.add.at(n, r, my_sizes[q])
+                    nodes, roots = forest(np.concatenate([tree[0], mine[q]]), np.concatenate([tree[1], keys[r]]))
+                    tree = nodes[nodes != roots], roots[nodes != roots]
+                counted = [(mine[mine_n > 0], mine_n[mine_n > 0]), (keys[n > 0], n[n > 0])]
+                node = np.concatenate([*[k for k, _ in counted], tree[0]])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate([mine[some], nodes[tied]])),
-                     pa.array(np.concatenate([n[some], np.zeros(int(tied.sum()), np.int64)])),
-                     pa.array(np.concatenate([mine[some], roots[tied]]))], names=["node", "n", "root"])
+                    [pa.array(node), pa.array(np.concatenate([*[c for _, c in counted], np.zeros(len(tree[0]), np.int64)])),
+                     pa.array(np.concatenate([*[k for k, _ in counted], tree[1]]))], names=["node", "n", "root"])
     return run
 
 
@@ -65,9 +74,10 @@ def near(vectors: DataFrame, least: float = 0.9, recall: float = 0.99, shard_row
     """vec_id, n_links, component_id and kept of every vector, linked at a cosine of ``least`` or more.
 
     Equal vectors are one node with a size, so a group of copies is one node. Nodes are dealt to
-    shards by hash; each shard's graph is built in a task and stored. Then every shard asks every
-    shard: beams widen until an audit of each pair of shards against all its nodes reaches
-    ``recall``, and each pair of vectors is verified in double precision. A task hands on counts
+    shards by hash; each shard's graph is built in a task and stored. Then every two shards meet once,
+    the vectors of one asking the other's graph: beams widen until an audit against all its nodes reaches
+    ``recall``, and where a neighbourhood fills the beam it is followed along the graph. Each pair of vectors is
+    verified in double precision and counts for both ends. A task hands on counts
     and a spanning forest of its links, not the links, so a dense group costs a row per vector.
 
     Vectors that are null, empty, zero, or hold null or non-finite components link with nothing,
@@ -83,10 +93,16 @@ def near(vectors: DataFrame, least: float = 0.9, recall: float = 0.99, shard_row
     heads = settle(rows.where("_fine").groupBy("embedding").agg(
         F.count("*").alias("_size"), F.min("vec_id").alias("_first")).withColumn("_key", F.xxhash64("embedding")), "vectors")
     graphs, shards = shard_graphs(heads, shard_rows, least_shards)
-    asking = graphs.select("dim", F.col("keys").alias("asking_keys"), F.col("graph").alias("asking"),
-                           F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"))
-    pairs = asking.join(graphs, ["dim", "shard"]).repartition(shards * shards)
-    found = settle(pairs.mapInArrow(_ask(least, recall), "node bigint, n bigint, root bigint"), "vector-links")
+    # a shard asks itself and half of the others, counted on from it, so that all have the same to ask
+    ahead = F.sequence(F.lit(0), F.lit(shards // 2))
+    asking = graphs.select("dim", F.col("shard").alias("asking_shard"), F.col("keys").alias("asking_keys"),
+                           F.col("sizes").alias("asking_sizes"), F.col("vectors").alias("asking"), F.explode(ahead).alias("_on"))
+    if shards % 2 == 0:  # two that are half a round apart would meet twice
+        asking = asking.where((F.col("_on") < shards // 2) | (F.col("asking_shard") < shards // 2))
+    asking = asking.withColumn("shard", F.pmod(F.col("asking_shard") + F.col("_on"), F.lit(shards))).drop("_on")
+    pairs = asking.join(graphs, ["dim", "shard"]).repartition(shards * (shards // 2 + 1))
+    single = heads.schema["embedding"].dataType.elementType.typeName() == "float"
+    found = settle(pairs.mapInArrow(_ask(least, recall, single), "node bigint, n bigint, root bigint"), "vector-links")
 
     counts = found.groupBy("node").agg(F.sum("n").alias("_others"))
     roots = components(found.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b")))
