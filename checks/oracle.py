@@ -723,6 +723,24 @@ ORACLE["c9_first_oversold"] = sql(f"""SELECT id_producto, cart_id, submitted_at,
     LEFT JOIN (SELECT * FROM productos WHERE activo) p ON p.id_producto = q.id_producto
     WHERE NOT coalesce(demanda_acumulada <= p.stock, false)) WHERE rn = 1""", "items", "carros", "productos")
 
+# the same rounds: certain acceptances and refusals, until no cart is undecided
+ORACLE["c9_replay_stock"] = "WITH RECURSIVE" + sql(f"""SELECT cart_id, CAST(bool_and(st) AS BOOLEAN) AS aceptado, max(rd) AS ronda FROM rondas
+    WHERE it = (SELECT max(it) FROM rondas) GROUP BY cart_id""", "rondas", extra={"rondas": (["items", "carros", "productos"], """
+    SELECT 0 AS it, cart_id, id_producto, submitted_at, q, stock, CASE WHEN NOT bool_and(ok) OVER (PARTITION BY cart_id) THEN false END AS st,
+      CASE WHEN NOT bool_and(ok) OVER (PARTITION BY cart_id) THEN 0 END AS rd FROM (
+        SELECT i.cart_id, i.id_producto, min(c.submitted_at) AS submitted_at, CAST(sum(i.cantidad) AS BIGINT) AS q, min(p.stock) AS stock,
+          bool_and(coalesce(i.cantidad > 0 AND p.stock IS NOT NULL, false)) AS ok
+        FROM items i JOIN carros c USING (cart_id) LEFT JOIN (SELECT * FROM productos WHERE activo) p ON p.id_producto = i.id_producto
+        GROUP BY i.cart_id, i.id_producto)
+    UNION ALL
+    SELECT it + 1, cart_id, id_producto, submitted_at, q, stock, coalesce(st, CASE WHEN cabe THEN true WHEN rompe THEN false END),
+      CASE WHEN st IS NOT NULL THEN rd WHEN cabe OR rompe THEN it + 1 END FROM (
+        SELECT *, bool_and(todo <= stock) OVER (PARTITION BY cart_id) AS cabe, bool_or(cierto + q > stock) OVER (PARTITION BY cart_id) AS rompe,
+          bool_or(st IS NULL) OVER () AS abierto FROM (
+            SELECT *, sum(CASE WHEN st IS DISTINCT FROM false THEN q ELSE 0 END) OVER cola AS todo,
+              sum(CASE WHEN st THEN q ELSE 0 END) OVER cola AS cierto FROM rondas
+            WINDOW cola AS (PARTITION BY id_producto ORDER BY submitted_at, cart_id ROWS UNBOUNDED PRECEDING))) WHERE abierto""")}).removeprefix("WITH")
+
 # files by the rows' numbers; rows of a file in their order, files one after another; one size has a field too many
 _ARRIVED = """SELECT *, row_number() OVER (PARTITION BY k, apta ORDER BY lote, fila) AS vez FROM (
     SELECT *, NOT (f_nombre OR f_clave OR f_fk OR d_lenient IS NULL OR larga) AS apta FROM (

@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tillwork import schema as S, settle, shared_folder, tune
 from tillwork.functions import money
-from tillwork.functions.dates import hour_slice
 from tillwork.operators import audit as A, carts as C, changes as G, constraints as K, validation as V, views as Q
 from tillwork.plans import imports as I, reports as R, star as D
 from tillwork.sources import files, snapshots as N
@@ -433,14 +432,18 @@ def _(t):
 
 @query("c9_allocate_stock")
 def _(t):
-    got = C.allocate_stock(Activity(t).queued_items(), t["productos"], hour_slice(F.col("submitted_at")))
+    got = C.allocate_stock(Activity(t).queued_items(), t["productos"])
     return got.select("cart_id", "pos", "id_producto", "cantidad", "demanda_acumulada", "stock", "asignado")
 
 
 @query("c9_first_oversold")
 def _(t):
-    return C.first_oversold(C.allocate_stock(Activity(t).queued_items(), t["productos"],
-                                             hour_slice(F.col("submitted_at"))))
+    return C.first_oversold(C.allocate_stock(Activity(t).queued_items(), t["productos"]))
+
+
+@query("c9_replay_stock")
+def _(t):
+    return C.replay_stock(Activity(t).queued_items(), t["productos"])
 
 
 def _cancelled(t):
@@ -489,7 +492,7 @@ def _prices(t):
 
 @query("a3_price_history")
 def _(t):
-    return G.price_history(_prices(t), "user_id", ["ts", "event_id"], hour_slice(F.col("ts")))
+    return G.price_history(_prices(t), "user_id", ["ts", "event_id"])
 
 
 @query("a4_audit_deletes")
@@ -551,7 +554,7 @@ def _(t):
 
 @query("a12_failure_streaks")
 def _(t):
-    return A.failure_streaks(Activity(t).logins(), hour_slice(F.col("fecha_evento"))).drop("exitoso")
+    return A.failure_streaks(Activity(t).logins()).drop("exitoso")
 
 
 # --- star schema ---------------------------------------------------------------------

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from tests.conftest import rows
 from tillwork import schema as S
-from tillwork.functions.dates import hour_slice
 from tillwork.operators import audit as A, changes as G
 
 T0 = dt.datetime(2025, 1, 1, 10)
@@ -119,7 +118,7 @@ def test_failure_streaks(spark):
             (7, "a", False), (8, "a", False), (9, "b", True)]
     df = spark.createDataFrame([(i, u, s, T0 + dt.timedelta(hours=i)) for i, u, s in data],
                                "id_evento int, usuario string, exitoso boolean, fecha_evento timestamp_ntz")
-    got = rows(A.failure_streaks(df, hour_slice(F.col("fecha_evento"))).orderBy("id_evento"), "id_evento",
+    got = rows(A.failure_streaks(df).orderBy("id_evento"), "id_evento",
                "intentos_cuenta", "bloqueado")
     assert got == [(1, 1, False), (2, 2, False), (4, 1, False), (5, 1, False), (6, 2, False), (7, 3, True), (8, 4, True)]
 
@@ -144,6 +143,6 @@ def test_price_history(spark):
     data = [(1, 1, 10), (2, 1, 10), (3, 1, 12), (4, 2, 5), (5, 1, 0), (6, 1, 3)]
     df = spark.createDataFrame([(i, k, Decimal(p), T0 + dt.timedelta(hours=i)) for i, k, p in data],
                                "id int, k int, precio decimal(10,2), ts timestamp_ntz")
-    got = rows(G.price_history(df, "k", ["ts", "id"], hour_slice(F.col("ts"))).orderBy("id"), "id", "precio_anterior",
+    got = rows(G.price_history(df, "k", ["ts", "id"]).orderBy("id"), "id", "precio_anterior",
                "precio_nuevo", "diferencia", "porcentaje_cambio")
     assert got == [(3, 10, 12, 2, 20), (5, 12, 0, -12, -100), (6, 0, 3, 3, None)]

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from tests.conftest import rows
 from tillwork import schema as S
 from tillwork.functions import money
-from tillwork.functions.dates import hour_slice
 from tillwork.operators import carts as C
 
 NOW = dt.datetime(2025, 1, 1, 12)
@@ -130,12 +129,39 @@ def test_allocation(spark, seed):
     items = spark.createDataFrame(
         [(i, 0, 8, q, NOW + dt.timedelta(hours=h)) for i, (q, h) in enumerate([(10, 0), (10, 0), (10, 1), (4, 30)], 1)],
         "cart_id int, pos int, id_producto int, cantidad int, submitted_at timestamp_ntz")
-    got = C.allocate_stock(items, seed["productos"], hour_slice(F.col("submitted_at")))
+    got = C.allocate_stock(items, seed["productos"])
     assert rows(got.orderBy("cart_id"), "demanda_acumulada", "asignado") == [
         (10, True), (20, True), (30, False), (34, False)]
     assert rows(C.first_oversold(got), "id_producto", "cart_id", "demanda_acumulada") == [(8, 3, 30)]
 
 
+def test_replay_is_what_one_after_another_gives(spark, seed):
+    import random
+    rnd, lines = random.Random(4), []
+    for cart in range(1, 120):
+        for pos in range(rnd.randint(1, 4)):
+            lines.append((cart, pos, rnd.choice([1, 2, 8, 11, 99 if cart % 40 == 0 else 8]),
+                          rnd.choice([1, 2, 5, 9, 30, None if cart % 30 == 0 else 3, 0 if cart % 35 == 0 else 4]),
+                          NOW + dt.timedelta(hours=rnd.randint(0, 9))))
+    stock = {r.id_producto: r.stock for r in seed["productos"].collect()}
+    want = {}
+    first = {c: min(t for k, _, _, _, t in lines if k == c) for c, *_ in lines}
+    lines = [(c, p, i, q, first[c]) for c, p, i, q, _ in lines]
+    for cart in sorted(first, key=lambda c: (first[c], c)):
+        own = [(i, q) for c, _, i, q, _ in lines if c == cart]
+        need = {}
+        for i, q in own:
+            need[i] = need.get(i, 0) + (q or 0)
+        want[cart] = all(q is not None and q > 0 and i in stock for i, q in own) and all(n <= stock[i] for i, n in need.items())
+        if want[cart]:
+            for i, n in need.items():
+                stock[i] -= n
+    df = spark.createDataFrame(lines, "cart_id int, pos int, id_producto int, cantidad int, submitted_at timestamp_ntz")
+    got = C.replay_stock(df, seed["productos"]).collect()
+    assert {r.cart_id: r.aceptado for r in got} == want and len(got) == len(want)
+    assert 1 < max(r.ronda for r in got) < 20 and {r.ronda == 0 for r in got} == {True, False}
+
+
 def test_cancel(spark, seed):
     req = spark.createDataFrame([(7, "por teléfono"), (1, "tarde"), (99, None), (6, "ya"), (8, None), (8, "a"), (8, "b"),
                                  (7, "antes, pero después")], "id_venta int, motivo string")

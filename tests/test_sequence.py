@@ -1,4 +1,5 @@
 """The chunked forms against the plain windows they stand for."""
+import pytest
 from pyspark.sql import Window, functions as F
 
 from tests.conftest import rows
@@ -19,24 +20,29 @@ def chunk():
     return hour_slice(F.col("ts"))
 
 
-def test_running_total(spark):
+@pytest.fixture(params=["hour", "stretch"])
+def cut(request):
+    return chunk() if request.param == "hour" else None
+
+
+def test_running_total(spark, cut):
     df = events(spark)
     w = Window.partitionBy("k").orderBy("ts", "id").rowsBetween(Window.unboundedPreceding, 0)
-    got = Q.running_total(df, ["k"], ["ts", "id"], chunk(), F.col("v"), "t").select("id", "t")
+    got = Q.running_total(df, ["k"], ["ts", "id"], cut, F.col("v"), "t").select("id", "t")
     want = df.withColumn("t", F.sum("v").over(w)).select("id", "t")
     assert sorted(rows(got)) == sorted(rows(want))
 
 
-def test_previous_value(spark):
+def test_previous_value(spark, cut):
     df = events(spark).withColumn("v", F.when(F.col("v") != 2, F.col("v")))
     want = df.withColumn("p", F.lag("v").over(Window.partitionBy("k").orderBy("ts", "id"))).select("id", "p")
-    got = Q.previous_value(df, ["k"], ["ts", "id"], chunk(), "v", "p").select("id", "p")
+    got = Q.previous_value(df, ["k"], ["ts", "id"], cut, "v", "p").select("id", "p")
     assert sorted(rows(got), key=str) == sorted(rows(want), key=str)
 
 
-def test_streak(spark):
+def test_streak(spark, cut):
     df = events(spark).withColumn("bad", F.abs("v") < 3)
-    got = dict(rows(Q.streak(df, ["k"], ["ts", "id"], chunk(), F.col("bad"), ~F.col("bad"), "s").select("id", "s")))
+    got = dict(rows(Q.streak(df, ["k"], ["ts", "id"], cut, F.col("bad"), ~F.col("bad"), "s").select("id", "s")))
     run, want = {}, {}
     for r in sorted(df.collect(), key=lambda r: (r.ts, r.id)):
         run[r.k] = run.get(r.k, 0) + 1 if r.bad else 0
@@ -44,6 +50,24 @@ def test_streak(spark):
     assert got == want
 
 
+def test_a_hot_key_at_one_moment_is_cut_evenly(spark):
+    """A third of the rows have one key and one time; no stretch is much larger than the others."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = spark.range(30_000).select("id", F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"),
+                                        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("ts"))
+        spark.conf.set("spark.sql.shuffle.partitions", "12")
+        cut = Q.in_stretches(df, ["k"], ["ts", "id"])
+        sizes = [n for _, n in rows(cut.groupBy("_chunk").count())]
+        hot = [n for _, n in rows(cut.where("k = -1").groupBy("_chunk").count())]
+        assert len(sizes) == 12 and max(sizes) < 1.5 * 30_000 / 12 and len(hot) >= 4
+        got = Q.running_total(df, ["k"], ["ts", "id"], None, F.lit(1), "n").where("k = -1 AND n <> id / 3 + 1")
+        assert got.count() == 0
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
 def test_rank(spark):
     df = spark.range(500).select("id", F.when(F.col("id") % 3 == 0, 0).otherwise(F.hash("id") % 1000 * 17)
                                  .cast("decimal(18,2)").alias("v"))

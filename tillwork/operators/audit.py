@@ -184,7 +184,7 @@ def categorise(feed: DataFrame, config: DataFrame) -> DataFrame:
     return feed.withColumn("_a", action).join(target, "_a", "left").drop("_a")
 
 
-def failure_streaks(logins: DataFrame, chunk: Column, limit: int = 3, user: str = "usuario",
+def failure_streaks(logins: DataFrame, chunk: Column | None = None, limit: int = 3, user: str = "usuario",
                     order: tuple[str, ...] = ("fecha_evento", "id_evento"), success: str = "exitoso") -> DataFrame:
     """Failed attempts counted since the user's last success, and the lock at ``limit``."""
     counted = streak(logins, [user], list(order), chunk, ~F.col(success), F.col(success), "intentos_cuenta")

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tillwork import schema as S
 from tillwork.functions import money
 from tillwork.functions.text import money_text, show
-from tillwork.operators.sequence import number_rows, running_total
+from tillwork.operators.sequence import in_stretches, number_rows, running_total, running_totals
 from tillwork.operators.skew import own_exchange
 from tillwork.session import settle
 
@@ -201,12 +201,12 @@ def apply_stock(productos: DataFrame, lines: DataFrame, sign: int = -1) -> DataF
             .drop("_moved").select(*productos.columns))
 
 
-def allocate_stock(items: DataFrame, productos: DataFrame, chunk: Column) -> DataFrame:
+def allocate_stock(items: DataFrame, productos: DataFrame, chunk: Column | None = None) -> DataFrame:
     """Running demand per product in the order of submission, against its stock.
 
-    Conservative: a refused item still counts towards the demand of those after it.
-    Exact replay of competing carts is sequential by nature and is not promised.
-    ``items`` carries submitted_at, cart_id and pos; ``chunk`` splits a best-seller's queue.
+    Conservative: a refused item still counts towards the demand of those after it; ``replay_stock``
+    counts those alone that got theirs. ``items`` carries submitted_at, cart_id and pos. A
+    best-seller's queue is cut into stretches of equal size, or by ``chunk``.
     """
     demand = running_total(items, ["id_producto"], ["submitted_at", "cart_id", "pos"], chunk,
                            F.col("cantidad").cast("bigint"), "demanda_acumulada")
@@ -215,6 +215,44 @@ def allocate_stock(items: DataFrame, productos: DataFrame, chunk: Column) -> Dat
             .withColumn("asignado", F.coalesce(F.col("demanda_acumulada") <= F.col("stock"), F.lit(False))))
 
 
+def replay_stock(items: DataFrame, productos: DataFrame) -> DataFrame:
+    """cart_id, aceptado, ronda: what taking the carts one after another, whole or not at all, would give.
+
+    Decided in rounds over all carts at once. One whose items fit even if every undecided cart before it
+    is served is accepted; one that has an item that does not fit after the accepted ones alone is
+    refused; both are certain. The earliest undecided cart is always decided, so rounds end, and most
+    carts need few of them. A cart with a missing product, or a quantity that is missing or not
+    above zero, is refused at once (round 0). The queue is stored in stretches once; a round moves the
+    carts' states and sums of stretches.
+    """
+    stock = productos.where(F.col("activo")).select("id_producto", F.col("stock").alias("_stock"))
+    lines = items.join(stock, "id_producto", "left")
+    sound = F.coalesce((F.col("cantidad") > 0) & F.col("_stock").isNotNull(), F.lit(False))
+    per = lines.groupBy("cart_id", "id_producto").agg(
+        F.min("submitted_at").alias("submitted_at"), F.sum(F.col("cantidad").cast("bigint")).alias("_q"), F.min("_stock").alias("_stock"),
+        F.bool_and(sound).alias("_sound"))
+    queue = in_stretches(per, ["id_producto"], ["submitted_at", "cart_id"])
+    state = queue.groupBy("cart_id").agg(F.bool_and("_sound").alias("_ok"))
+    state = settle(state.select("cart_id", F.when(~F.col("_ok"), F.lit(False)).alias("aceptado"),
+                                F.when(~F.col("_ok"), F.lit(0)).alias("ronda")), "replay")
+    number = 0
+    while state.where("aceptado IS NULL").limit(1).count():
+        number += 1
+        rows = queue.join(own_exchange(state, "cart_id"), "cart_id").where("aceptado IS NULL OR aceptado")
+        taken = F.coalesce("aceptado", F.lit(False))
+        demand = running_totals(rows, ["id_producto"], ["submitted_at", "cart_id"],
+                                {"_all": F.col("_q"), "_sure": F.when(taken, F.col("_q")).otherwise(0)})
+        seen = demand.where("aceptado IS NULL").groupBy("cart_id").agg(
+            F.bool_and(F.col("_all") <= F.col("_stock")).alias("_fits"),
+            F.bool_or(F.col("_sure") + F.col("_q") > F.col("_stock")).alias("_breaks"))
+        now = F.when(F.col("_fits"), True).when(F.col("_breaks"), False)
+        decided = seen.select("cart_id", now.alias("_now")).where("_now IS NOT NULL")
+        state = settle(state.join(decided, "cart_id", "left").select(
+            "cart_id", F.coalesce("aceptado", "_now").alias("aceptado"),
+            F.coalesce("ronda", F.when(F.col("_now").isNotNull(), F.lit(number))).alias("ronda")), "replay")
+    return state
+
+
 def first_oversold(allocated: DataFrame) -> DataFrame:
     """Per product, the first cart whose demand no longer fits."""
     when = F.struct("submitted_at", "cart_id", "pos", "demanda_acumulada", "stock")

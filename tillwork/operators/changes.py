@@ -43,11 +43,12 @@ def price_changes(old: DataFrame, new: DataFrame, actor: str | None = None,
                           *change_columns(F.col("_old"), F.col("precio")), *extra)
 
 
-def price_history(events: DataFrame, key: str, order: list[str], chunk: Column,
+def price_history(events: DataFrame, key: str, order: list[str], chunk: Column | None = None,
                   price: str = "precio") -> DataFrame:
     """Price changes along an event series: each event against the one before it.
 
-    ``chunk`` must not fall along ``order``; it splits the series of a busy key.
+    The series of a busy key is cut into stretches of equal size; ``chunk``, which must not fall along
+    ``order``, cuts it without storing the events first.
     """
     seen = previous_value(events, [key], order, chunk, price, "_old")
     return (seen.where(F.col(price) != F.col("_old"))

@@ -10,9 +10,26 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tillwork.session import settle
+
 _CHUNK = "_chunk"
 
 
+def in_stretches(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """Stores the rows cut into stretches of about equal size along keys and order: ``_chunk``, ascending.
+
+    The cuts are quantiles of a sample of (keys, order), so a key of any share is cut as often as its
+    rows need, even if all of them have the same time; only rows that agree in the whole
+    order stay together. Stored, because what reads it twice has to see the same cuts.
+    """
+    cut = df.repartitionByRange(*keys, *order).withColumn(_CHUNK, F.spark_partition_id())
+    return settle(cut, "stretches")
+
+
+def _cut(df: DataFrame, keys: list[str], order: list[str], chunk: Column | None) -> DataFrame:
+    return in_stretches(df, keys, order) if chunk is None else df.withColumn(_CHUNK, chunk)
+
+
 def _before(df: DataFrame, keys: list[str], amount: str) -> DataFrame:
     """Per (keys, chunk), what all earlier chunks of the same keys add up to."""
     w = Window.partitionBy(*keys).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
@@ -83,24 +100,33 @@ def rank_by(df: DataFrame, value: str, name: str = "ranking") -> DataFrame:
     return df.join(ladder, value, "left").withColumn(name, rank.cast("bigint")).drop("_above")
 
 
-def running_total(df: DataFrame, keys: list[str], order: list, chunk: Column, value: Column,
+def running_total(df: DataFrame, keys: list[str], order: list[str], chunk: Column | None, value: Column,
                   name: str) -> DataFrame:
     """SUM(value) OVER (PARTITION BY keys ORDER BY order ROWS UNBOUNDED PRECEDING).
 
-    ``chunk`` must not fall along ``order`` (an hour number for a timestamp order, say).
+    ``chunk`` must not fall along ``order`` (an hour number for a timestamp order, say); without it
+    rows are cut into stretches of equal size.
     """
-    cut = df.withColumn(_CHUNK, chunk).withColumn("_v", value)
-    carry = _before(cut.groupBy(*keys, _CHUNK).agg(F.sum("_v").alias("_t")), keys, "_t")
+    return running_totals(_cut(df, keys, order, chunk), keys, order, {name: value}).drop(_CHUNK)
+
+
+def running_totals(cut: DataFrame, keys: list[str], order: list[str], values: dict[str, Column]) -> DataFrame:
+    """Several running totals over rows that ``in_stretches`` stored."""
+    cut = cut.withColumns({f"_v_{n}": v for n, v in values.items()})
+    totals = cut.groupBy(*keys, _CHUNK).agg(*[F.sum(f"_v_{n}").alias(f"_t_{n}") for n in values])
+    w = Window.partitionBy(*keys).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    carry = totals.select(*keys, _CHUNK, *[F.coalesce(F.sum(f"_t_{n}").over(w), F.lit(0)).alias(f"_t_{n}") for n in values])
     local = (Window.partitionBy(*keys, _CHUNK).orderBy(*order)
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return (cut.withColumn("_local", F.sum("_v").over(local)).join(carry, [*keys, _CHUNK])
-            .withColumn(name, F.col("_local") + F.col("_carry")).drop(_CHUNK, "_v", "_local", "_carry"))
+    inside = cut.withColumns({f"_v_{n}": F.sum(f"_v_{n}").over(local) for n in values})
+    return (inside.join(carry, [*keys, _CHUNK]).withColumns({n: F.col(f"_v_{n}") + F.col(f"_t_{n}") for n in values})
+            .drop(*[f"_{x}_{n}" for n in values for x in "vt"]))
 
 
-def previous_value(df: DataFrame, keys: list[str], order: list[str], chunk: Column, value: str,
+def previous_value(df: DataFrame, keys: list[str], order: list[str], chunk: Column | None, value: str,
                    name: str) -> DataFrame:
     """LAG(value) OVER (PARTITION BY keys ORDER BY order), keys split by chunk."""
-    cut = df.withColumn(_CHUNK, chunk)
+    cut = _cut(df, keys, order, chunk)
     last = cut.groupBy(*keys, _CHUNK).agg(
         F.max_by(F.struct(F.col(value).alias("v")), F.struct(*order)).alias("_last"))
     by_key = Window.partitionBy(*keys).orderBy(_CHUNK)
@@ -111,10 +137,10 @@ def previous_value(df: DataFrame, keys: list[str], order: list[str], chunk: Colu
             .withColumn(name, F.coalesce("_inside", "_carry")["v"]).drop(_CHUNK, "_inside", "_carry"))
 
 
-def streak(df: DataFrame, keys: list[str], order: list[str], chunk: Column, counts: Column, resets: Column,
+def streak(df: DataFrame, keys: list[str], order: list[str], chunk: Column | None, counts: Column, resets: Column,
            name: str) -> DataFrame:
     """How many rows matched ``counts`` since the last row that matched ``resets``."""
-    cut = (df.withColumn(_CHUNK, chunk)
+    cut = (_cut(df, keys, order, chunk)
            .withColumn("_c", F.coalesce(counts, F.lit(False)).cast("int"))
            .withColumn("_r", F.coalesce(resets, F.lit(False)).cast("int")))
     local = (Window.partitionBy(*keys, _CHUNK).orderBy(*order)

@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tillwork import schema as S
-from tillwork.functions.dates import hour_slice
 from tillwork.operators import audit
 
 # Order status to sale state.
@@ -239,7 +238,7 @@ class Activity:
 
     def trail(self) -> dict[str, DataFrame]:
         done, refused = audit.split_deletes(self.delete_requests(), self.t["ventas"])
-        streaks = audit.failure_streaks(self.logins(), hour_slice(F.col("fecha_evento")))
+        streaks = audit.failure_streaks(self.logins())
         failed = streaks.select("id_evento", F.col("usuario").alias("usuario_intento"),
                                 F.concat(F.lit("10.0.0."), F.substring_index("usuario", "_", -1)).alias("host_origen"),
                                 "intentos_cuenta", "bloqueado", F.lit(None).cast("string").alias("descripcion"),
