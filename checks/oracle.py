@@ -308,6 +308,40 @@ MARK = "TIMESTAMP '1998-01-01'"
 SALE_OUT = f"id_venta, id_cliente, id_usuario, fecha_venta, {money('total_c', 'total')}, estado, observaciones"
 P_OUT = "id_categoria, nombre, precio, stock, activo"
 
+_TABLE_FK = "'id_categoria=' || id_categoria || ' no existe en tabla Categorias – FK violation'"
+STRICT_P = f"""CASE regla WHEN 'obligatorio' THEN 'nombre vacío o NULL – campo NOT NULL obligatorio'
+            WHEN 'no_numerico' THEN 'precio="' || coalesce(precio, 'NULL') || '" no es un valor numérico válido'
+            WHEN 'clave_invalida' THEN CASE WHEN coalesce(trim(id_categoria), '') = ''
+              THEN 'id_categoria NULL – campo NOT NULL y FK requerida' ELSE {_TABLE_FK} END
+            WHEN 'clave_foranea' THEN {_TABLE_FK}
+            WHEN 'duplicado' THEN 'nombre="' || nombre || '" ya existe en Productos – registro duplicado'
+            WHEN 'precio_negativo' THEN 'precio negativo (' || precio || ') corregido a 0.00 – viola CHECK (precio >= 0)' END"""
+STRICT_C = """CASE regla WHEN 'obligatorio' THEN 'nombre vacío o NULL – NOT NULL obligatorio'
+            WHEN 'texto_vacio' THEN 'apellido NULL corregido a "(sin apellido)" – NOT NULL obligatorio'
+            WHEN 'formato_email' THEN 'email="' || coalesce(email, 'NULL') || '" formato inválido – no contiene @'
+            WHEN 'duplicado' THEN 'email="' || email || '" ya existe en Clientes – registro duplicado'
+            WHEN 'fecha_invalida' THEN 'fecha_registro="' || fecha_registro || '" es una fecha imposible (día/mes fuera de rango)' END"""
+LENIENT_P = """CASE rechazo WHEN 'obligatorio' THEN 'nombre vacío – campo NOT NULL requerido'
+            WHEN 'duplicado' THEN 'duplicado – ''' || trim(nombre) || ''' ya existe en Productos'
+            WHEN 'duplicado_lote' THEN 'duplicado – ''' || trim(nombre) || ''' ya existe en Productos'
+            WHEN 'clave_invalida' THEN 'id_categoria=''' || coalesce(trim(id_categoria), '')
+              || ''' es nulo o no es entero – integridad referencial violada'
+            WHEN 'clave_foranea' THEN 'id_categoria=' || cat || ' no existe en tabla Categorias – FK violation'
+            WHEN 'no_numerico' THEN 'precio=''' || coalesce(precio, '') || ''' no es numérico – descartado'
+            ELSE nullif(concat_ws('; ', CASE WHEN d_lenient < 0 THEN 'precio negativo viola CHECK (precio >= 0)' END,
+              CASE WHEN contains(precio, ',') THEN 'separador decimal no estándar' END,
+              CASE WHEN n_stock IS NULL THEN 'stock no es entero' WHEN n_stock < 0 THEN 'stock negativo viola CHECK (stock >= 0)' END,
+              CASE WHEN activo NOT IN ('0', '1', 'true', 'false', 'TRUE', 'FALSE') THEN 'valor booleano no reconocido' END), '') END"""
+LENIENT_C = """CASE rechazo WHEN 'obligatorio' THEN CASE WHEN f_nombre THEN 'nombre vacío – NOT NULL requerido'
+              ELSE 'email vacío – NOT NULL + UNIQUE requerido' END
+            WHEN 'formato_email' THEN 'email=''' || trim(email) || ''' formato inválido (sin @) – descartado'
+            WHEN 'duplicado' THEN 'email=''' || trim(email) || ''' ya existe en Clientes – duplicado descartado'
+            WHEN 'duplicado_lote' THEN 'email=''' || trim(email) || ''' ya existe en Clientes – duplicado descartado'
+            ELSE nullif(concat_ws('; ', CASE WHEN f_apellido THEN 'apellido vacío – NOT NULL requerido' END,
+              CASE WHEN d_any IS NULL THEN 'fecha inválida o formato no reconocido'
+                WHEN d_iso IS NULL THEN 'formato de fecha no estándar (esperado YYYY-MM-DD)' END,
+              CASE WHEN d_any > DATE '2025-06-01' THEN 'fecha en el futuro' END), '') END"""
+
 ORACLE = {
     "s1_read_products_csv": sql("SELECT * FROM st_p", "st_p"),
     "s2_read_clients_json": sql("SELECT * FROM st_c", "st_c"),
@@ -339,28 +373,28 @@ ORACLE = {
         SELECT 'solo_a' AS tabla, count(*) AS filas FROM ventas WHERE fecha_venta > {MARK} UNION ALL
         SELECT 'solo_b', count(*) FROM ventas WHERE fecha_venta > {MARK}""", "ventas"),
 
-    "v16_validate_products_strict": sql("""
-        SELECT fila, estado, regla, CAST(regla IS NOT NULL AS BIGINT) AS problemas,
+    "v16_validate_products_strict": sql(f"""
+        SELECT fila, estado, {STRICT_P} AS observacion, regla, CAST(regla IS NOT NULL AS BIGINT) AS problemas,
           CASE WHEN estado <> 'error' THEN cat END AS id_categoria, CASE WHEN estado <> 'error' THEN nombre END AS nombre,
           CASE WHEN estado <> 'error' THEN CAST(v_precio AS DOUBLE) END AS precio,
           CASE WHEN estado <> 'error' THEN v_stock END AS stock, CASE WHEN estado <> 'error' THEN v_activo END AS activo
         FROM p_strict_v""", "p_strict_v"),
-    "v16_validate_products_lenient": sql("""
-        SELECT fila, estado, coalesce(rechazo, aviso) AS regla,
+    "v16_validate_products_lenient": sql(f"""
+        SELECT fila, estado, {LENIENT_P} AS observacion, coalesce(rechazo, aviso) AS regla,
           CAST(CASE WHEN rechazo IS NOT NULL THEN 1 ELSE avisos END AS BIGINT) AS problemas,
           CASE WHEN estado <> 'error' THEN cat END AS id_categoria, CASE WHEN estado <> 'error' THEN nombre END AS nombre,
           CASE WHEN estado <> 'error' THEN CAST(greatest(d_lenient, 0) AS DOUBLE) END AS precio,
           CASE WHEN estado <> 'error' THEN greatest(coalesce(n_stock, 0), 0) END AS stock,
           CASE WHEN estado <> 'error' THEN activo IS DISTINCT FROM 'FALSE' END AS activo FROM p_lenient_v""", "p_lenient_v"),
-    "v16_validate_clients_strict": sql("""
-        SELECT fila, estado, regla, CAST(regla IS NOT NULL AS BIGINT) AS problemas,
+    "v16_validate_clients_strict": sql(f"""
+        SELECT fila, estado, {STRICT_C} AS observacion, regla, CAST(regla IS NOT NULL AS BIGINT) AS problemas,
           CASE WHEN estado <> 'error' THEN nombre END AS nombre,
           CASE WHEN estado <> 'error' THEN CASE WHEN f_apellido THEN '(sin apellido)' ELSE apellido END END AS apellido,
           CASE WHEN estado <> 'error' THEN email END AS email,
           CASE WHEN estado <> 'error' THEN nullif(trim(telefono), '') END AS telefono,
           CASE WHEN estado <> 'error' THEN d_iso END AS fecha_registro FROM c_strict_v""", "c_strict_v"),
-    "v16_validate_clients_lenient": sql("""
-        SELECT fila, estado, regla, CAST(problemas AS BIGINT) AS problemas,
+    "v16_validate_clients_lenient": sql(f"""
+        SELECT fila, estado, {LENIENT_C} AS observacion, regla, CAST(problemas AS BIGINT) AS problemas,
           CASE WHEN estado <> 'error' THEN nombre END AS nombre,
           CASE WHEN estado <> 'error' THEN CASE WHEN f_apellido THEN '(sin apellido)' ELSE apellido END END AS apellido,
           CASE WHEN estado <> 'error' THEN email END AS email,
@@ -370,19 +404,13 @@ ORACLE = {
     "s8_load_valid": sql("""
         SELECT cat AS id_categoria, trim(nombre) AS nombre, descripcion, CAST(v_precio AS DOUBLE) AS precio, v_stock AS stock,
           v_activo AS activo FROM p_strict_v WHERE estado <> 'error'""", "p_strict_v"),
-    "v17_issue_log": sql("""
+    "v17_issue_log": sql(f"""
         SELECT 'Productos' AS entidad, fila, coalesce(nombre, '(sin nombre)') AS identificador, estado, regla,
           CASE regla WHEN 'obligatorio' THEN 'nombre' WHEN 'duplicado' THEN 'nombre' WHEN 'no_numerico' THEN 'precio'
             WHEN 'precio_negativo' THEN 'precio' ELSE 'id_categoria' END AS campo,
           CASE regla WHEN 'obligatorio' THEN nombre WHEN 'duplicado' THEN nombre WHEN 'no_numerico' THEN precio
             WHEN 'precio_negativo' THEN precio ELSE id_categoria END AS valor,
-          CASE regla WHEN 'obligatorio' THEN 'nombre vacío o NULL – campo NOT NULL obligatorio'
-            WHEN 'no_numerico' THEN 'precio="' || coalesce(precio, 'NULL') || '" no es un valor numérico válido'
-            WHEN 'clave_invalida' THEN 'id_categoria="' || coalesce(id_categoria, 'NULL')
-              || '" es nulo o no es entero – NOT NULL y FK requerida'
-            WHEN 'clave_foranea' THEN 'id_categoria=' || id_categoria || ' no existe en Categorias – FK violation'
-            WHEN 'duplicado' THEN 'nombre="' || nombre || '" ya existe en Productos – registro duplicado'
-            WHEN 'precio_negativo' THEN 'precio negativo (' || precio || ') viola CHECK (precio >= 0)' END AS problema,
+          {STRICT_P} AS problema,
           CASE WHEN rechazo IS NULL THEN 'warning' ELSE 'error' END AS severidad
         FROM p_strict_v WHERE regla IS NOT NULL
         UNION ALL
@@ -391,11 +419,7 @@ ORACLE = {
             THEN 'fecha_registro' ELSE 'email' END,
           CASE regla WHEN 'obligatorio' THEN nombre WHEN 'texto_vacio' THEN apellido WHEN 'fecha_invalida'
             THEN fecha_registro ELSE email END,
-          CASE regla WHEN 'obligatorio' THEN 'nombre vacío o NULL – campo NOT NULL obligatorio'
-            WHEN 'texto_vacio' THEN 'apellido vacío – NOT NULL obligatorio'
-            WHEN 'formato_email' THEN 'email="' || coalesce(email, 'NULL') || '" formato inválido'
-            WHEN 'duplicado' THEN 'email="' || email || '" ya existe en Clientes – registro duplicado'
-            ELSE 'fecha_registro="' || fecha_registro || '" es una fecha imposible (día/mes fuera de rango)' END,
+          {STRICT_C},
           CASE WHEN rechazo IS NULL THEN 'warning' ELSE 'error' END FROM c_strict_v WHERE regla IS NOT NULL
         ORDER BY entidad DESC, fila""", "p_strict_v", "c_strict_v"),
     "v18_status_summary": sql("""

@@ -203,7 +203,7 @@ def _clients(t, policy):
 
 def _verdict(df: DataFrame, *values: str) -> DataFrame:
     kept = [F.when(F.col("estado") != S.ROW_ERROR, F.col(c)).alias(c) for c in values]
-    return df.select("fila", "estado", F.try_element_at("issues", F.lit(-1))["regla"].alias("regla"),
+    return df.select("fila", "estado", "observacion", F.try_element_at("issues", F.lit(-1))["regla"].alias("regla"),
                      F.size("issues").cast("bigint").alias("problemas"), *kept)
 
 

@@ -71,7 +71,7 @@ def test_products_strict(staged, seed):
     assert reasons(v) == {3: "duplicado", 12: "duplicado", 14: "duplicado", 4: "clave_foranea",
                           6: "clave_invalida", 10: "no_numerico", 9: "obligatorio"}
     fixed = v.where("estado = 'corregido'").first()
-    assert fixed.precio == Decimal("0.00") and fixed.observacion == "precio negativo (-1200.75) viola CHECK (precio >= 0)"
+    assert fixed.precio == Decimal("0.00") and fixed.observacion == "precio negativo (-1200.75) corregido a 0.00 – viola CHECK (precio >= 0)"
 
 
 def test_products_lenient(staged, seed):

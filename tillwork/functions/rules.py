@@ -28,7 +28,7 @@ class Rule:
     field: str
     fails: Column
     problem: Column
-    action: str = "descartado"
+    action: str | Column = "descartado"
     repair: Column | None = None  # set: the row survives with this value in ``field``
 
     @property

@@ -73,7 +73,7 @@ def validate(df: DataFrame, rules: list[Rule], parsed: dict[str, Column] | None
         entry = F.struct(
             F.lit(rule.name).alias("regla"), F.lit(rule.field).alias("campo"),
             F.col(rule.field).cast("string").alias("valor"), rule.problem.alias("problema"),
-            F.lit(rule.action).alias("accion"),
+            (F.lit(rule.action) if isinstance(rule.action, str) else rule.action).alias("accion"),
             F.lit("error" if rule.rejects else "warning").alias("severidad"),
         )
         entries.append(F.when(F.col(flag) & ~rejected, entry))

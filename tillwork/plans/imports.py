@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tillwork import schema as S
-from tillwork.functions import dates, rules as R
+from tillwork.functions import dates, observations as O, rules as R
 from tillwork.functions.text import accent_free_key, blank_to_null, match_key
 from tillwork.operators import validation as V
 
@@ -25,10 +25,10 @@ def product_rules(policy: str) -> list[R.Rule]:
     category = [R.rule_int_key("id_categoria"), R.rule_fk("id_categoria", "_categoria", "Categorias")]
     existing = R.rule_exists("nombre", "_existe", "Productos")
     if policy == STRICT:
-        return [name, price, *category, existing, R.fix_negative("precio")]
-    return [name, existing, R.rule_batch_dup("nombre", "_repetido"), *category, price,
-            R.fix_negative("precio", comma=True), R.fix_decimal_comma("precio"),
-            *R.fix_int_default("stock"), R.fix_bool_default("activo")]
+        return O.worded([name, price, *category, existing, R.fix_negative("precio")], O.STRICT_PRODUCTS, True)
+    return O.worded([name, existing, R.rule_batch_dup("nombre", "_repetido"), *category, price,
+                     R.fix_negative("precio", comma=True), R.fix_decimal_comma("precio"),
+                     *R.fix_int_default("stock"), R.fix_bool_default("activo")], O.LENIENT_PRODUCTS, False)
 
 
 def _key_of(policy: str) -> Callable[[Column], Column]:
@@ -58,10 +58,10 @@ def client_rules(policy: str, run_date: Column) -> list[R.Rule]:
     name, email = R.rule_required("nombre"), R.rule_email("email")
     existing, surname = R.rule_exists("email", "_existe", "Clientes"), R.fix_default_text("apellido")
     if policy == STRICT:
-        return [name, email, existing, R.rule_date("fecha_registro"), surname]
-    return [name, surname, R.rule_required("email"), email, existing, R.rule_batch_dup("email", "_repetido"),
-            R.fix_bad_date("fecha_registro", run_date), R.fix_date_layout("fecha_registro"),
-            R.fix_future_date("fecha_registro", run_date)]
+        return O.worded([name, email, existing, R.rule_date("fecha_registro"), surname], O.STRICT_CLIENTS, True)
+    return O.worded([name, surname, R.rule_required("email"), email, existing, R.rule_batch_dup("email", "_repetido"),
+                     R.fix_bad_date("fecha_registro", run_date), R.fix_date_layout("fecha_registro"),
+                     R.fix_future_date("fecha_registro", run_date)], O.LENIENT_CLIENTS, False)
 
 
 def validate_clients(raw: DataFrame, clientes: DataFrame, run_date: dt.date, policy: str = STRICT,
