@@ -6,6 +6,8 @@ depends on how an engine divides decimals.
 
 from __future__ import annotations
 
+import re
+
 
 def rdiv(n: str, d: str) -> str:
     """n / d rounded half away from zero, in integers; NULL when d is 0."""
@@ -308,6 +310,60 @@ MARK = "TIMESTAMP '1998-01-01'"
 SALE_OUT = f"id_venta, id_cliente, id_usuario, fecha_venta, {money('total_c', 'total')}, estado, observaciones"
 P_OUT = "id_categoria, nombre, precio, stock, activo"
 
+_CONSTRAINTS = """
+        SELECT 'pk_clientes' AS restriccion, CAST(count(*) - count(DISTINCT id_cliente) AS BIGINT) AS violaciones FROM clientes
+        UNION ALL SELECT 'uq_clientes_email', count(email) - count(DISTINCT lower(email)) FROM clientes
+        UNION ALL SELECT 'pk_categorias', count(*) - count(DISTINCT id_categoria) FROM categorias
+        UNION ALL SELECT 'uq_categorias_nombre', count(nombre) - count(DISTINCT lower(nombre)) FROM categorias
+        UNION ALL SELECT 'pk_productos', count(*) - count(DISTINCT id_producto) FROM productos
+        UNION ALL SELECT 'pk_usuarios', count(*) - count(DISTINCT id_usuario) FROM usuarios
+        UNION ALL SELECT 'uq_usuarios_uname', count(*) - count(DISTINCT lower(username)) FROM usuarios
+        UNION ALL SELECT 'pk_ventas', count(*) - count(DISTINCT id_venta) FROM ventas
+        UNION ALL SELECT 'fk_prod_cat', count(*) FROM productos WHERE id_categoria NOT IN (SELECT id_categoria FROM categorias)
+        UNION ALL SELECT 'fk_venta_cliente', count(*) FROM ventas WHERE id_cliente NOT IN (SELECT id_cliente FROM clientes)
+        UNION ALL SELECT 'fk_venta_usuario', count(*) FROM ventas WHERE id_usuario NOT IN (SELECT id_usuario FROM usuarios)
+        UNION ALL SELECT 'fk_det_venta', count(*) FROM lineas WHERE id_venta NOT IN (SELECT id_venta FROM ventas)
+        UNION ALL SELECT 'fk_det_producto', count(*) FROM lineas WHERE id_producto NOT IN (SELECT id_producto FROM productos)
+        UNION ALL SELECT 'nn_clientes', count(*) FROM clientes WHERE nombre IS NULL OR apellido IS NULL OR email IS NULL
+        UNION ALL SELECT 'nn_categorias', count(*) FROM categorias WHERE id_categoria IS NULL OR nombre IS NULL
+        UNION ALL SELECT 'nn_usuarios', count(*) FROM usuarios WHERE id_usuario IS NULL OR username IS NULL OR rol IS NULL
+          OR activo IS NULL
+        UNION ALL SELECT 'nn_ventas', count(*) FROM ventas WHERE id_venta IS NULL OR id_cliente IS NULL OR id_usuario IS NULL
+          OR fecha_venta IS NULL OR total_c IS NULL OR estado IS NULL
+        UNION ALL SELECT 'nn_detalle', count(*) FROM lineas WHERE id_venta IS NULL OR id_producto IS NULL OR cantidad IS NULL
+          OR precio_c IS NULL
+        UNION ALL SELECT 'chk_precio', count(*) FROM productos WHERE precio_c < 0
+        UNION ALL SELECT 'chk_stock', count(*) FROM productos WHERE stock < 0
+        UNION ALL SELECT 'nn_productos', count(*) FROM productos WHERE id_producto IS NULL
+          OR id_categoria IS NULL OR nombre IS NULL OR precio_c IS NULL OR stock IS NULL OR activo IS NULL
+        UNION ALL SELECT 'enum_rol', count(*) FROM usuarios WHERE rol NOT IN ('admin', 'vendedor', 'supervisor')
+        UNION ALL SELECT 'chk_total', count(*) FROM ventas WHERE total_c < 0
+        UNION ALL SELECT 'enum_estado', count(*) FROM ventas
+          WHERE estado NOT IN ('pendiente', 'confirmada', 'cancelada', 'entregada')
+        UNION ALL SELECT 'chk_cantidad', count(*) FROM lineas WHERE cantidad <= 0
+        UNION ALL SELECT 'chk_precio_unit', count(*) FROM lineas WHERE precio_c < 0"""
+
+def _spoil(table: str, key: str, again: int, faults: list[tuple[str, int, int, str]]) -> tuple[list[str], str]:
+    """The table with its faults, rows whose key is a multiple of ``again`` twice."""
+    changed = f"SELECT * REPLACE ({{}}) FROM {table}"
+    merged: dict[str, str] = {}
+    for column, by, rest, value in faults:
+        merged[column] = f"CASE WHEN {key} % {by} = {rest} THEN {value} ELSE {merged.get(column, column)} END"
+    one = changed.format(", ".join(f"{v} AS {c}" for c, v in merged.items()))
+    return [table], f"{one} UNION ALL {one} WHERE {key} % {again} = 0"
+
+
+_DIRTY = {f"d_{name}": _spoil(name, *rest) for name, *rest in [
+    ("clientes", "id_cliente", 10, [("nombre", 9, 1, "NULL")]),
+    ("categorias", "id_categoria", 3, [("nombre", 5, 1, "NULL")]),
+    ("productos", "id_producto", 13, [("id_categoria", 17, 2, "1000"), ("precio_c", 19, 3, "-100"), ("stock", 23, 4, "-1"),
+                                      ("nombre", 29, 5, "NULL")]),
+    ("usuarios", "id_usuario", 3, [("rol", 4, 1, "'jefe'"), ("activo", 5, 2, "NULL")]),
+    ("ventas", "id_venta", 31, [("id_cliente", 37, 7, "-1"), ("id_usuario", 41, 8, "-1"), ("total_c", 43, 9, "-500"),
+                                ("estado", 47, 10, "'perdida'"), ("fecha_venta", 53, 11, "NULL")]),
+    ("lineas", "id_producto", 10 ** 9, [("id_venta", 11, 1, "-1"), ("id_producto", 13, 2, "-1"), ("cantidad", 17, 3, "0"),
+                                        ("precio_c", 19, 4, "-100"), ("cantidad", 23, 5, "NULL")])]}
+
 _TABLE_FK = "'id_categoria=' || id_categoria || ' no existe en tabla Categorias – FK violation'"
 STRICT_P = f"""CASE regla WHEN 'obligatorio' THEN 'nombre vacío o NULL – campo NOT NULL obligatorio'
             WHEN 'no_numerico' THEN 'precio="' || coalesce(precio, 'NULL') || '" no es un valor numérico válido'
@@ -472,39 +528,7 @@ ORACLE = {
             coalesce(otra, CASE WHEN d_strict < 0 THEN 'precio_negativo' END) AS regla FROM (
           SELECT *, CASE WHEN rechazo = 'clave_foranea' AND cat = 99 THEN CASE WHEN f_existe THEN 'duplicado' END
             ELSE rechazo END AS otra FROM p_strict WHERE rechazo IS NOT NULL))""", "p_strict"),
-    "v23_constraint_audit": sql("""
-        SELECT 'pk_clientes' AS restriccion, CAST(count(*) - count(DISTINCT id_cliente) AS BIGINT) AS violaciones FROM clientes
-        UNION ALL SELECT 'uq_clientes_email', count(*) - count(DISTINCT lower(email)) FROM clientes
-        UNION ALL SELECT 'pk_categorias', count(*) - count(DISTINCT id_categoria) FROM categorias
-        UNION ALL SELECT 'uq_categorias_nombre', count(*) - count(DISTINCT lower(nombre)) FROM categorias
-        UNION ALL SELECT 'pk_productos', count(*) - count(DISTINCT id_producto) FROM productos
-        UNION ALL SELECT 'pk_usuarios', count(*) - count(DISTINCT id_usuario) FROM usuarios
-        UNION ALL SELECT 'uq_usuarios_uname', count(*) - count(DISTINCT lower(username)) FROM usuarios
-        UNION ALL SELECT 'pk_ventas', count(*) - count(DISTINCT id_venta) FROM ventas
-        UNION ALL SELECT 'fk_prod_cat', count(*) FROM productos WHERE id_categoria NOT IN (SELECT id_categoria FROM categorias)
-        UNION ALL SELECT 'fk_venta_cliente', count(*) FROM ventas WHERE id_cliente NOT IN (SELECT id_cliente FROM clientes)
-        UNION ALL SELECT 'fk_venta_usuario', count(*) FROM ventas WHERE id_usuario NOT IN (SELECT id_usuario FROM usuarios)
-        UNION ALL SELECT 'fk_det_venta', count(*) FROM lineas WHERE id_venta NOT IN (SELECT id_venta FROM ventas)
-        UNION ALL SELECT 'fk_det_producto', count(*) FROM lineas WHERE id_producto NOT IN (SELECT id_producto FROM productos)
-        UNION ALL SELECT 'nn_clientes', count(*) FROM clientes WHERE nombre IS NULL OR apellido IS NULL OR email IS NULL
-        UNION ALL SELECT 'nn_categorias', count(*) FROM categorias WHERE id_categoria IS NULL OR nombre IS NULL
-        UNION ALL SELECT 'nn_usuarios', count(*) FROM usuarios WHERE id_usuario IS NULL OR username IS NULL OR rol IS NULL
-          OR activo IS NULL
-        UNION ALL SELECT 'nn_ventas', count(*) FROM ventas WHERE id_venta IS NULL OR id_cliente IS NULL OR id_usuario IS NULL
-          OR fecha_venta IS NULL OR total_c IS NULL OR estado IS NULL
-        UNION ALL SELECT 'nn_detalle', count(*) FROM lineas WHERE id_venta IS NULL OR id_producto IS NULL OR cantidad IS NULL
-          OR precio_c IS NULL
-        UNION ALL SELECT 'chk_precio', count(*) FROM productos WHERE precio_c < 0
-        UNION ALL SELECT 'chk_stock', count(*) FROM productos WHERE stock < 0
-        UNION ALL SELECT 'nn_productos', count(*) FROM productos WHERE id_producto IS NULL
-          OR id_categoria IS NULL OR nombre IS NULL OR precio_c IS NULL OR stock IS NULL OR activo IS NULL
-        UNION ALL SELECT 'enum_rol', count(*) FROM usuarios WHERE rol NOT IN ('admin', 'vendedor', 'supervisor')
-        UNION ALL SELECT 'chk_total', count(*) FROM ventas WHERE total_c < 0
-        UNION ALL SELECT 'enum_estado', count(*) FROM ventas
-          WHERE estado NOT IN ('pendiente', 'confirmada', 'cancelada', 'entregada')
-        UNION ALL SELECT 'chk_cantidad', count(*) FROM lineas WHERE cantidad <= 0
-        UNION ALL SELECT 'chk_precio_unit', count(*) FROM lineas WHERE precio_c < 0""",
-        "clientes", "categorias", "productos", "usuarios", "ventas", "lineas"),
+    "v23_constraint_audit": sql(_CONSTRAINTS, "clientes", "categorias", "productos", "usuarios", "ventas", "lineas"),
 
     "q1_active_products": sql(f"""SELECT id_producto, p.nombre AS producto, c.nombre AS categoria, {money('precio_c', 'precio')},
         stock FROM productos p JOIN categorias c USING (id_categoria) WHERE activo""", "productos", "categorias"),
@@ -747,6 +771,25 @@ ORACLE["c9_first_oversold"] = sql(f"""SELECT id_producto, cart_id, submitted_at,
     LEFT JOIN (SELECT * FROM productos WHERE activo) p ON p.id_producto = q.id_producto
     WHERE NOT coalesce(demanda_acumulada <= p.stock, false)) WHERE rn = 1""", "items", "carros", "productos")
 
+ORACLE["v23_constraint_audit_dirty"] = sql(
+    re.sub(r"FROM (clientes|categorias|productos|usuarios|ventas|lineas)\b", r"FROM d_\1", _CONSTRAINTS), *_DIRTY, extra=_DIRTY)
+ORACLE["a11_config_report"] = sql("""SELECT 'audit_' || username AS nombre_audit, accion, lower(accion) AS tabla_destino, activo,
+    TIMESTAMP '2025-06-01' AS fecha_creacion, rol AS creado_por, CAST(NULL AS VARCHAR) AS descripcion
+    FROM (SELECT *, CASE id_usuario % 3 WHEN 0 THEN 'DELETE' WHEN 1 THEN 'GRANT_REVOKE' ELSE 'FAILED_LOGIN' END AS accion FROM usuarios)""",
+    "usuarios")
+ORACLE["d1_extend_dim_date"] = ORACLE["d1_dim_date"]
+_SINGLES = {"vendidos": (["pedidos", "productos", "clientes", "usuarios", "ventas"], """
+    SELECT o.*, p.precio_c, row_number() OVER (ORDER BY pedido_id) + (SELECT max(id_venta) FROM ventas) AS id_venta
+    FROM pedidos o JOIN (SELECT * FROM productos WHERE activo) p USING (id_producto)
+    WHERE o.id_cliente IN (SELECT id_cliente FROM clientes) AND o.id_usuario IN (SELECT id_usuario FROM usuarios WHERE activo)
+      AND p.stock >= o.cantidad AND o.cantidad > 0""")}
+ORACLE["c11_single_sale_headers"] = sql(f"""SELECT id_venta, id_cliente, id_usuario, TIMESTAMP '2025-06-01' AS fecha_venta,
+    {money('precio_c * cantidad', 'total')}, 'confirmada' AS estado,
+    'Insertado vía sp_insertar_pedido_via_vista (fachada de vista_pedidos_completos)' AS observaciones,
+    'Pedido registrado vía vista_pedidos_completos. Venta id=' || id_venta AS mensaje FROM vendidos""", "vendidos", extra=_SINGLES)
+ORACLE["c11_single_sale_lines"] = sql(f"SELECT id_venta, id_producto, cantidad, {money('precio_c', 'precio_unitario')} FROM vendidos",
+                                      "vendidos", extra=_SINGLES)
+
 # the same rounds: certain acceptances and refusals, until no cart is undecided
 ORACLE["c9_replay_stock"] = "WITH RECURSIVE" + sql(f"""SELECT cart_id, CAST(bool_and(st) AS BOOLEAN) AS aceptado, max(rd) AS ronda FROM rondas
     WHERE it = (SELECT max(it) FROM rondas) GROUP BY cart_id""", "rondas", extra={"rondas": (["items", "carros", "productos"], """

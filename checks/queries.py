@@ -283,6 +283,35 @@ def _(t):
     return K.constraint_audit(t)
 
 
+def _dirty(t) -> dict[str, DataFrame]:
+    """The tables with a fault of every kind; each kind hits rows by a remainder of their keys."""
+    def spoil(df, key, again, faults):
+        twice = df.where(F.col(key) % again == 0)
+        for column, rest, value in faults:
+            changed = F.when(F.col(key) % rest[0] == rest[1], F.lit(value).cast(df.schema[column].dataType))
+            df, twice = (x.withColumn(column, changed.otherwise(F.col(column))) for x in (df, twice))
+        return df.unionByName(twice)
+
+    return {
+        "clientes": spoil(t["clientes"], "id_cliente", 10, [("nombre", (9, 1), None)]),
+        "categorias": spoil(t["categorias"], "id_categoria", 3, [("nombre", (5, 1), None)]),
+        "productos": spoil(t["productos"], "id_producto", 13, [
+            ("id_categoria", (17, 2), 1000), ("precio", (19, 3), -1), ("stock", (23, 4), -1), ("nombre", (29, 5), None)]),
+        "usuarios": spoil(t["usuarios"], "id_usuario", 3, [("rol", (4, 1), "jefe"), ("activo", (5, 2), None)]),
+        "ventas": spoil(t["ventas"], "id_venta", 31, [
+            ("id_cliente", (37, 7), -1), ("id_usuario", (41, 8), -1), ("total", (43, 9), -5), ("estado", (47, 10), "perdida"),
+            ("fecha_venta", (53, 11), None)]),
+        "detalle_ventas": spoil(t["detalle_ventas"].withColumn("_p", F.col("id_producto")), "_p", 10 ** 9, [
+            ("id_venta", (11, 1), -1), ("id_producto", (13, 2), -1), ("cantidad", (17, 3), 0), ("precio_unitario", (19, 4), -1),
+            ("cantidad", (23, 5), None)]).drop("_p"),
+    }
+
+
+@query("v23_constraint_audit_dirty")
+def _(t):
+    return K.constraint_audit(_dirty(t))
+
+
 # --- views and lookups ---------------------------------------------------------------
 
 @query("q1_active_products")
@@ -470,6 +499,21 @@ def _(t):
     return C.validate_single_orders(Activity(t).single_orders(), t["clientes"], t["usuarios"], t["productos"])
 
 
+def _singles_sold(t):
+    judged = settle(C.validate_single_orders(Activity(t).single_orders(), t["clientes"], t["usuarios"], t["productos"]), "judged-orders")
+    return C.single_orders_to_sales(judged, t["productos"], at("2025-06-01"), last_id=t["ventas"].agg(F.max("id_venta")).scalar())
+
+
+@query("c11_single_sale_headers")
+def _(t):
+    return _singles_sold(t)[0]
+
+
+@query("c11_single_sale_lines")
+def _(t):
+    return _singles_sold(t)[1]
+
+
 # --- change tracking and audit -------------------------------------------------------
 
 @query("a1_sale_audit")
@@ -541,6 +585,15 @@ def _(t):
     return A.top_threats(Activity(t).trail()["logins"])
 
 
+@query("a11_config_report")
+def _(t):
+    action = F.element_at(F.array(*map(F.lit, ["DELETE", "GRANT_REVOKE", "FAILED_LOGIN"])), (F.col("id_usuario") % 3 + 1).cast("int"))
+    config = t["usuarios"].select(
+        F.concat(F.lit("audit_"), "username").alias("nombre_audit"), action.alias("accion"), F.lower(action).alias("tabla_destino"), "activo",
+        at("2025-06-01").alias("fecha_creacion"), F.col("rol").alias("creado_por"), F.lit(None).cast("string").alias("descripcion"))
+    return A.audit_config_report(config)
+
+
 @query("a11_events_by_destination")
 def _(t):
     feed = A.audit_feed(Activity(t).trail(), until=at("2030-01-01"))
@@ -564,6 +617,13 @@ def _(t):
     return Star(t).calendar
 
 
+@query("d1_extend_dim_date")
+def _(t):
+    """A calendar up to the mark, then extended to all days of the sales."""
+    old = D.dim_date_of(t["ventas"].where(F.col("fecha_venta") <= ntz(MARK)))
+    return D.extend_dim_date(old, D.dim_date_of(t["ventas"]))
+
+
 @query("d2_dim_customer")
 def _(t):
     return Star(t).dim_c

@@ -144,6 +144,15 @@ def test_repairs(spark, seed):
     assert [len(r.issues) for r in v.collect()] == [1, 1, 1, 2, 2]
 
 
+def test_lenient_numbers(spark, seed):
+    texts = ["+5", ".5", "5.", "1e3", "-1E1", "1,5e1", " 7 ", "1 2", "e3", ".", "1.2.3", "0x10", "", "9e99"]
+    raw = product(spark, *[(i, "1", f"N{i}", None, t, "1", "1") for i, t in enumerate(texts)])
+    got = dict(rows(I.validate_products(raw, seed["categorias"], seed["productos"], I.LENIENT).where("estado <> 'error'"), "fila", "precio"))
+    assert got == {0: 5, 1: 0.5, 2: 5, 3: 1000, 4: 0, 5: 15, 6: 7}
+    strict = I.validate_products(raw, seed["categorias"], seed["productos"])
+    assert sorted(r.fila for r in strict.where("estado <> 'error'").collect()) == [6]
+
+
 def test_batch_duplicates_first_accepted_wins(spark, seed):
     raw = product(spark, (1, "9", "Nuevo", None, "1", "1", "1"), (2, "1", "nuevo ", None, "1", "1", "1"),
                   (3, "1", "NUEVO", None, "1", "1", "1"), (4, "9", "Nuevo", None, "1", "1", "1"),

@@ -16,6 +16,8 @@ from tillwork.functions.text import blank_to_null, is_blank, show
 
 # Accepted shapes of numbers, e-mail addresses and Booleans in import files.
 NUMBER = r"^-?[0-9]+(\.[0-9]+)?$"
+#: what the file import reads as a number: a sign, digits on either side of the point, an exponent
+LENIENT_NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 INTEGER = r"^[+-]?[0-9]+$"
 EMAIL = r"^[^@\s]+@[^@\s]+\.[^@\s]+$"
 BOOLEANS = ["0", "1", "true", "false", "TRUE", "FALSE"]
@@ -44,7 +46,7 @@ def to_decimal(text: Column, kind=S.PRICE, comma: bool = False) -> Column:
     clean = F.trim(text)
     if comma:
         clean = F.regexp_replace(clean, ",", ".")
-    return F.when(clean.rlike(NUMBER), clean.try_cast(kind))
+    return F.when(clean.rlike(LENIENT_NUMBER if comma else NUMBER), clean.try_cast(kind))
 
 
 def to_int(text: Column) -> Column:
