@@ -14,6 +14,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def settle_and_free(df: DataFrame, label: str) -> DataFrame:
+    """``settle``, and the files of the exchanges behind it go at once, not when the driver's memory runs low.
+
+    For results whose exchanges are as large as the input: nothing reads them once the result is stored.
+    """
+    spark, name = df.sparkSession, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, "false")
+    spark.conf.set(name, "true")
+    try:
+        return settle(df, label)
+    finally:
+        spark.conf.set(name, before)
+
+
 def per_batch(work: Callable[[pa.RecordBatch], pa.RecordBatch]):
     """A function on one Arrow batch as a function on a partition's batches."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -13,7 +13,7 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tillwork.llm.common import LOWER, settle, texts
+from tillwork.llm.common import settle, settle_and_free, texts, LOWER
 
 #: The token after the last word. Words hold no white space, so it is none of them.
 END = b"\n"
@@ -409,7 +409,7 @@ def score(docs: DataFrame, order: int = 3, least: int = 2, block_bytes: int = 8_
 
     asked = stored.select("block", "sizes", "held", "data").mapInArrow(
         ask, "part long, block long, n long, size long, keys binary, counts binary")
-    counted = settle(asked.groupBy("part").applyInArrow(add_up, as_told), "lm-counts")
+    counted = settle_and_free(asked.groupBy("part").applyInArrow(add_up, as_told), "lm-counts")
     total, distinct = (x or 0 for x in counted.where("block < 0").agg(F.sum("total"), F.sum("distinct")).first())
     counted = counted.where("block >= 0").select("block", "n", "part", "size", "data")
 
