@@ -13,7 +13,7 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tillwork.llm.common import settle, settle_and_free, texts, LOWER
+from tillwork.llm.common import LOWER, settle, settle_and_free, texts
 
 #: The token after the last word. Words hold no white space, so it is none of them.
 END = b"\n"
@@ -273,12 +273,14 @@ class Block:
                 key = (key ^ (key >> np.uint64(31))) * _FURTHER
                 key ^= key >> np.uint64(29)
             some = np.flatnonzero(self.place >= n - 1)
-            distinct, one, back = np.unique(key[some], return_index=True, return_inverse=True)
+            distinct, back = np.unique(key[some], return_inverse=True)  # asking for first places sorts slower
+            one = np.empty(len(distinct), np.int64)
+            one[back] = some
             at = np.full(len(words), -1, np.int64)
             at[some] = back
             self.keys.append(distinct)
             self.at.append(at)
-            self.where.append(some[one])
+            self.where.append(one)
             self.counts.append(np.bincount(back[learned[some]], minlength=len(distinct)))
 
     def parts(self, n: int, parts: int, some: np.ndarray | slice = slice(None)) -> Iterator[tuple[int, int, int]]:
@@ -379,7 +381,10 @@ def score(docs: DataFrame, order: int = 3, least: int = 2, block_bytes: int = 8_
         for n, of_n in itertools.groupby(rows, key=lambda r: r["n"]):
             of_n = list(of_n)
             keys = np.concatenate([np.cumsum(_unpack(r["keys"], r["size"], np.uint64), dtype=np.uint64) for r in of_n])
-            yield n, of_n, *np.unique(keys, return_index=True, return_inverse=True)
+            distinct, back = np.unique(keys, return_inverse=True)
+            first = np.empty(len(distinct), np.int64)
+            first[back[::-1]] = np.arange(len(back))[::-1]
+            yield n, of_n, distinct, first, back
 
     def told(rows: list[dict], values: np.ndarray) -> list[dict]:
         ends = np.cumsum([r["size"] for r in rows])
