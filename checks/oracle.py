@@ -518,8 +518,8 @@ ORACLE = {
             WHERE rechazo IS NULL AND d_any IS NOT NULL AND d_iso IS NULL
           UNION ALL SELECT 'Clientes', 'fecha_futura', 'warning' FROM c_lenient_v WHERE rechazo IS NULL
             AND d_any > DATE '2025-06-01') GROUP BY 1, 2, 3""", "p_lenient_v", "c_lenient_v"),
-    "v22_revalidate": sql("""
-        SELECT fila, estado, regla, CAST(regla IS NOT NULL AS BIGINT) AS problemas,
+    "v22_revalidate": sql(f"""
+        SELECT fila, estado, {STRICT_P} AS observacion, regla, CAST(regla IS NOT NULL AS BIGINT) AS problemas,
           CASE WHEN estado <> 'error' THEN cat END AS id_categoria, CASE WHEN estado <> 'error' THEN nombre END AS nombre,
           CASE WHEN estado <> 'error' THEN CAST(greatest(d_strict, 0) AS DOUBLE) END AS precio,
           CASE WHEN estado <> 'error' THEN coalesce(n_stock, 0) END AS stock,
