@@ -1,38 +1,22 @@
-"""License scans: an exact containment join of text blocks with license templates."""
+"""License scans: an exact containment join of all text blocks with license templates."""
 
 from __future__ import annotations
 
 import math
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tillwork.llm.common import texts
+from tillwork.llm.license_texts import FAMILIES, TEMPLATES
 
 # The phrases of the base scan and their labels.
 PHRASES = {"mit": "under the mit license", "apache-2": "apache license version 2", "cc-by-nc": "cc by nc"}
 # Fixed values end.
 
-#: Usual notices of public licenses, as (label, text).
-TEMPLATES = [
-    ("mit", "released under the mit license"),
-    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software"),
-    ("apache-2", "licensed under the apache license version 2 0"),
-    ("cc-by-nc", "licensed under cc by nc 4 0"),
-    ("cc-by-nc", "creative commons attribution noncommercial 4 0 international license"),
-    ("cc-by-sa", "licensed under cc by sa 4 0"),
-    ("cc-by-sa", "creative commons attribution sharealike 4 0 international license"),
-    ("gpl-3", "this work is licensed under the gnu general public license version 3"),
-    ("gpl-2", "this work is licensed under the gnu general public license version 2"),
-    ("lgpl-3", "this work is licensed under the gnu lesser general public license version 3"),
-    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted"),
-    ("mpl-2", "subject to the terms of the mozilla public license version 2 0"),
-    ("all-rights-reserved", "all rights reserved"),
-]
-
 #: Bytes of words (letters and digits in lower case, everything beyond ASCII) stay, others become a space.
 _WORDS = bytes(b + 32 if 65 <= b <= 90 else b if b > 127 or chr(b).isalnum() else 32 for b in range(256))
 
@@ -55,68 +39,100 @@ def places(words: list[bytes], phrase: list[bytes]) -> list[int]:
 
 @dataclass(frozen=True)
 class Template:
+    number: int
     label: str
     tokens: tuple[int, ...]  # in the global order, rarest first
     need: int  # tokens that a block must share
+    width: int  # words of a block
+
+
+@dataclass(frozen=True)
+class Block:
+    """A stretch of text in which every block of the template's width, or the whole text, meets the threshold."""
+    label: str
+    template: int
+    start: int
+    end: int
+    containment: float  # the best of these blocks
+    leading: bool = True  # no variant of the same family explains overlapping words better
 
 
 class Index:
     """Templates by the tokens of their prefixes, in the order of the tokens' frequency in the corpus."""
 
-    def __init__(self, templates: list[tuple[str, str]], frequency: dict[bytes, int], threshold: float):
-        sets = [(label, sorted(set(words_of(text)))) for label, text in templates]
-        order = sorted({t for _, ts in sets for t in ts}, key=lambda t: (frequency.get(t, 0), t))
+    def __init__(self, templates: list[tuple[str, str]], frequency: dict[bytes, int], threshold: float,
+                 families: list[set[str]]):
+        sets = [(label, len(words_of(text)), set(words_of(text))) for label, text in templates]
+        order = sorted({t for _, _, ts in sets for t in ts}, key=lambda t: (frequency.get(t, 0), t))
         self.rank = {t: i for i, t in enumerate(order)}
-        self.templates = [Template(label, tuple(sorted(self.rank[t] for t in ts)), math.ceil(threshold * len(ts) - 1e-9))
-                          for label, ts in sets]
+        self.family = {label: k for k, labels in enumerate(families) for label in labels}
         #: token -> (template, place of the token in it); a block that shares enough has one of these
         self.prefix: dict[bytes, list[tuple[Template, int]]] = {}
-        for t in self.templates:
+        for number, (label, n, ts) in enumerate(sets):
+            # as many words may stand between a block's as may be missing
+            t = Template(number, label, tuple(sorted(self.rank[w] for w in ts)), math.ceil(threshold * len(ts) - 1e-9),
+                         n + math.floor((1 - threshold) * n + 1e-9))
             for i in range(len(t.tokens) - t.need + 1):
                 self.prefix.setdefault(order[t.tokens[i]], []).append((t, i))
-        #: a window of twice the longest template, every longest template, has any stretch that long
-        self.step = max(len(words_of(text)) for _, text in templates)
-
-    def blocks(self, words: list[bytes]) -> list[tuple[str, int, int, float, bool]]:
-        """(label, first word, end, containment, leading) of every block with its best templates at the threshold.
-
-        A block leads unless one that overlaps it contains more of a template: the edge of
-        a block can cut off the word that tells two licenses apart.
-        """
-        prefix, step, rank = self.prefix, self.step, self.rank
-        hits = [i for i, w in enumerate(words) if w in prefix]
-        candidates: dict[int, set[bytes]] = {}
-        for i in hits:
-            for b in {max(0, i // step - 1), i // step}:
-                if b * step <= i < b * step + 2 * step:
-                    candidates.setdefault(b, set()).add(words[i])
-        out: list[tuple[str, int, int, float]] = []
-        for b, tokens in sorted(candidates.items()):
-            block = sorted({rank[w] for w in words[b * step:b * step + 2 * step] if w in rank})
-            at = {r: j for j, r in enumerate(block)}
-            best: list[tuple[float, int, Template]] = []
-            tried: set[Template] = set()
-            # rarest first: then what precedes a template's first shared token is not shared
-            for token in sorted(tokens, key=rank.__getitem__):
-                for t, i in prefix[token]:
-                    if t in tried:
-                        continue
-                    tried.add(t)
-                    j = at[rank[token]]
-                    if len(block) < t.need or 1 + min(len(t.tokens) - i - 1, len(block) - j - 1) < t.need:
-                        continue
-                    shared = sum(r in at for r in t.tokens)
-                    if shared >= t.need:
-                        best.append((shared / len(t.tokens), len(t.tokens), t))
-            if best:
-                top = max(best, key=lambda x: x[:2])[:2]
-                end = min(len(words), b * step + 2 * step)
-                out += sorted({(t.label, b * step, end, c) for c, n, t in best if (c, n) == top})
-        most: dict[int, float] = {}
-        for _, start, _, c in out:
-            most[start] = max(c, most.get(start, 0.0))
-        return [(a, start, end, c, c >= max(most.get(start - step, 0.0), most.get(start + step, 0.0)))
-                for a, start, end, c in out]
+
+    def blocks(self, words: list[bytes]) -> list[Block]:
+        """All stretches of blocks that meet a template's threshold, for every template."""
+        prefix, rank = self.prefix, self.rank
+        spans: dict[Template, list[list[int]]] = {}  # where blocks hold a token of the prefix: [first, end, rarest one's place]
+        for i, w in enumerate(words):
+            for t, place in prefix.get(w, ()):
+                known = spans.setdefault(t, [])
+                start, end = max(0, i - t.width + 1), min(len(words), i + t.width)
+                if known and start < known[-1][1]:
+                    known[-1][1:] = [end, min(place, known[-1][2])]
+                else:
+                    known.append([start, end, place])
+        found: list[Block] = []
+        for t, known in spans.items():
+            for start, end, place in known:
+                ranks = [rank.get(w, -1) for w in words[start:end]]
+                # length filter; position filter: what precedes the first shared token is not shared
+                if end - start < t.need or min(len(t.tokens) - place, len({r for r in ranks if r >= t.tokens[place]})) < t.need:
+                    continue
+                found += self._stretches(t, start, ranks)
+        return self._lead(sorted(found, key=lambda x: (x.start, x.end, x.template)))
+
+    @staticmethod
+    def _stretches(t: Template, first: int, ranks: list[int]) -> Iterator[Block]:
+        """Counts the template's tokens in block after block; blocks at the threshold side by side are one stretch."""
+        mine, inside, shared = set(t.tokens), Counter(), 0
+        start = best = 0
+        for at, r in enumerate([*ranks, -1]):
+            gone = at - t.width  # ``shared`` is that of the block which ends before ``at``
+            if gone >= 0 or at == len(ranks):
+                begin = max(gone, 0)
+                if shared >= t.need:
+                    start, best = (begin, shared) if not best else (start, max(best, shared))
+                if best and (shared < t.need or at == len(ranks)):
+                    end = at if shared >= t.need else at - 1
+                    yield Block(t.label, t.number, first + start, first + end, best / len(t.tokens))
+                    best = 0
+            if gone >= 0 and ranks[gone] in mine:
+                inside[ranks[gone]] -= 1
+                shared -= inside[ranks[gone]] == 0
+            if r in mine:
+                inside[r] += 1
+                shared += inside[r] == 1
+
+    def _lead(self, found: list[Block]) -> list[Block]:
+        """Marks those that a variant of the same family, with more of its template, overlaps; ``found`` is in order."""
+        behind: set[int] = set()
+        open_: list[int] = []  # those of families that reach beyond the current start
+        for k, x in enumerate(found):
+            if (mine := self.family.get(x.label)) is None:
+                continue
+            open_ = [j for j in open_ if found[j].end > x.start]
+            for j in open_:
+                y = found[j]
+                if y.label != x.label and self.family[y.label] == mine and y.containment != x.containment:
+                    behind.add(j if y.containment < x.containment else k)
+            open_.append(k)
+        return [replace(x, leading=False) if k in behind else x for k, x in enumerate(found)]
 
 
 def _frequencies(docs: DataFrame, tokens: set[bytes]) -> dict[bytes, int]:
@@ -133,18 +149,22 @@ def _frequencies(docs: DataFrame, tokens: set[bytes]) -> dict[bytes, int]:
     return {r["token"].encode(): r["n"] for r in counts.collect()}  # a row per template token at most
 
 
-def scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None, threshold: float = 0.85) -> DataFrame:
+def scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None, threshold: float = 0.85,
+         families: list[set[str]] | None = None) -> DataFrame:
     """doc_id, n_words, ``base`` (places of the fixed phrases) and ``blocks`` (what the join finds).
 
-    A text block is a window of twice as many words as the longest template has, one starting
-    every such number of words. A block matches a template if it has at least ``threshold`` of
-    the template's distinct words; of several the best, and of equally good ones the longest,
-    names the block. Candidates come from prefixes in the global order of the words' document
-    counts, then pass the length and the position filter, then are counted: every block at
-    the threshold is found. Whole texts; null is empty; repeated and null ids are rows like others.
+    A text block is as long as the template it is held against, and the share 1 - ``threshold``
+    of that longer; one starts at every word (a shorter text is one block). It matches if
+    it has at least ``threshold`` of the template's distinct words. Candidates come from prefixes
+    in the global order of the words' document counts, then pass the length and the position
+    filter, then are counted: every block at the threshold is found, for every template. Blocks
+    that follow each other are given as one stretch. ``leading`` is false only where a variant of
+    the same declared family has more of its template in overlapping words. Whole texts; null is
+    empty; repeated and null ids are rows like others.
     """
     templates = templates or TEMPLATES
-    index = Index(templates, _frequencies(docs, {w for _, t in templates for w in words_of(t)}), threshold)
+    index = Index(templates, _frequencies(docs, {w for _, t in templates for w in words_of(t)}), threshold,
+                  FAMILIES if families is None else families)
     phrases = {label: words_of(text) for label, text in PHRASES.items()}
     kind = dict(docs.dtypes)["doc_id"]
     base_type = pa.list_(pa.struct([("label", pa.string()), ("start", pa.int64())]))
@@ -158,8 +178,8 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None, thresh
                 words = words_of(text)
                 n.append(len(words))
                 base.append([{"label": label, "start": at} for label, p in phrases.items() for at in places(words, p)])
-                blocks.append([{"label": a, "start": s, "end": e, "containment": c, "leading": top}
-                               for a, s, e, c, top in index.blocks(words)])
+                blocks.append([{f: getattr(x, f) for f in ("label", "start", "end", "containment", "leading")}
+                               for x in index.blocks(words)])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(base, base_type), pa.array(blocks, block_type)],
                 names=["doc_id", "n_words", "base", "blocks"])
