@@ -145,7 +145,7 @@ def references(docs: DataFrame, common: float = 0.002) -> References:
     top = totals.where(F.col("key") == F.lit(b" documents"))
     langs = sorted(r["lang"] for r in top.collect())
     words = totals.where(F.col("key") == F.lit(b" words")).select("lang", F.col("n").alias("all"))
-    frequent = (counts.where(~is_total).join(F.broadcast(words.where(F.col("lang").isin(langs))), "lang")
+    frequent = (counts.where(~is_total).join(words.where(F.col("lang").isin(langs)), "lang")
                 .where(F.col("n") >= common * F.col("all")).select("lang", "key", (F.col("n") / F.col("all")).alias("p")))
     found = {lang: {} for lang in langs}
     for lang, key, p in frequent.collect():
@@ -161,14 +161,19 @@ def references(docs: DataFrame, common: float = 0.002) -> References:
                       [{k: i for i, k in enumerate(ks)} for ks in keys], shares)
 
 
-def assess(docs: DataFrame, most_classes: float = 0.28, most_words: float = 0.45, least_chars: int = 200,
-           least_words: int = 50, **how) -> DataFrame:
+def assess(docs: DataFrame, most_classes: float = 0.28, most_words: float = 0.45, least_common: float = 0.25,
+           least_chars: int = 200, least_words: int = 50, least_expected: float = 12, **how) -> DataFrame:
     """Base measures of each document, its divergences, and whether it is kept.
 
-    ``class_divergence`` and ``word_divergence`` are Jensen-Shannon distances to the nearest language's
-    reference. A text with fewer than ``least_chars`` characters, or ``least_words`` words, is too
-    short for the respective histogram to mean much: that distance is null and not judged. A
-    document is kept if it passes the base rules and neither distance is above its limit.
+    A document is held against the reference of the nearest language, that with the smallest sum of
+    ``class_divergence`` and ``word_divergence``, the Jensen-Shannon distances of both histograms.
+    ``common_share`` is the share of that language's common words in the text, over their share in
+    the language: the distance alone cannot tell a text without any of them, since common words are
+    a part of a language only. A document is kept if it passes the base rules, neither distance is above its
+    limit and ``common_share`` is at least ``least_common``. A text with fewer than
+    ``least_chars`` characters, or ``least_words`` words, is too short for the respective histogram
+    to mean much, and one of which fewer than ``least_expected`` common words are to be expected for their
+    share: these are null and not judged.
     A null or empty text has no words and so fails the base rules. Without any reference (no
     document has a language) nothing is judged beyond them. Repeated and null ids are rows like
     others; other columns are not read.
@@ -181,28 +186,41 @@ def assess(docs: DataFrame, most_classes: float = 0.28, most_words: float = 0.45
             rows = []
             for text in texts(batch):
                 m = Measures.of(text)
-                by_class = by_word = None
+                by_class = by_word = share = None
+                classes, words = np.zeros(len(known.langs)), np.zeros(len(known.langs))
+                usual = common = 0.0
                 if known.langs and len(text) >= least_chars:
-                    by_class = float(divergence(m.classes / max(m.classes.sum(), 1), known.classes).min())
+                    classes = divergence(m.classes / max(m.classes.sum(), 1), known.classes)
                 if known.langs and m.n_words >= least_words:
-                    by_word = 1.0
                     tally = Counter(m.lower)
-                    for at, q in zip(known.words, known.shares, strict=True):
+                    shares = []
+                    for k, (at, q) in enumerate(zip(known.words, known.shares, strict=True)):
                         p = np.zeros(len(q))
                         for w, i in at.items():
                             p[i] = tally.get(w, 0)
+                        shares.append(p.sum())
                         p[-1] = m.n_words - p.sum()
-                        by_word = min(by_word, float(divergence(p / m.n_words, q)))
-                kept = not m.base_failed and (by_class or 0) <= most_classes and (by_word or 0) <= most_words
+                        words[k] = divergence(p / m.n_words, q)
+                if known.langs:
+                    nearest = int(np.argmin(classes + words))
+                    if len(text) >= least_chars:
+                        by_class = float(classes[nearest])
+                    if m.n_words >= least_words:
+                        by_word, common = float(words[nearest]), shares[nearest] / m.n_words
+                        usual = 1 - known.shares[nearest][-1]
+                    if usual * m.n_words >= least_expected:
+                        share = float(common / usual)
+                kept = (not m.base_failed and (by_class or 0) <= most_classes and (by_word or 0) <= most_words
+                        and (share is None or share >= least_common))
                 rows.append((m.n_words, m.word_chars, m.n_symbols, m.n_dup_lines, m.n_repeat_words, m.base_failed,
-                             kept, by_class, by_word))
-            columns = list(zip(*rows, strict=True)) if rows else [()] * 9
-            types = [pa.int64()] * 5 + [pa.bool_()] * 2 + [pa.float64()] * 2
+                             kept, by_class, by_word, share))
+            columns = list(zip(*rows, strict=True)) if rows else [()] * 10
+            types = [pa.int64()] * 5 + [pa.bool_()] * 2 + [pa.float64()] * 3
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), *(pa.array(c, t) for c, t in zip(columns, types, strict=True))],
                 names=["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-                       "kept", "class_divergence", "word_divergence"])
+                       "kept", "class_divergence", "word_divergence", "common_share"])
 
     return docs.select("doc_id", "text").mapInArrow(
         run, f"doc_id {kind}, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
-             "base_failed boolean, kept boolean, class_divergence double, word_divergence double")
+             "base_failed boolean, kept boolean, class_divergence double, word_divergence double, common_share double")
