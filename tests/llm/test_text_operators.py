@@ -60,6 +60,41 @@ def test_verdict_follows_labels(spark):
     assert kept[1] / rates[1] > 0.94 and kept.get(0, 0) / rates[0] < 0.3
 
 
+def test_texts_without_common_words_go(spark):
+    """Random letters, lists of keys and shuffled letters; what is clean stays."""
+    from tillwork.llm.common import table
+    rng = np.random.default_rng(4)
+    docs = table(spark, "/root/testdata/sf0.01", "documents").select("doc_id", "lang", "text")
+    letters = list("abcdefghijklmnopqrstuvwxyz")
+    word = lambda: "".join(rng.choice(letters, int(rng.integers(2, 10))))
+    prose = [r["text"] for r in quality.assess(docs).where("kept AND n_words > 100").join(docs, "doc_id").select("text").limit(30).collect()]
+    shuffle = lambda t: " ".join("".join(rng.permutation(list(w))) for w in t.split() if len(w) > 3)
+    bad = [" ".join(word() for _ in range(300)) for _ in range(30)]
+    bad += [", ".join(f"{word()}-{word()}: {word()}" for _ in range(80)) for _ in range(30)] + [shuffle(t) for t in prose]
+    made = [(-i, None, t) for i, t in enumerate(bad, 1)]
+    found = quality.assess(docs.union(spark.createDataFrame(made, docs.schema)))
+    assert found.where("doc_id < 0 AND kept").count() == 0
+
+
+def test_nearest_reference_by_hand(documents):
+    """Distances and shares of each document from counts of its words and classes."""
+    refs = quality.references(documents)
+    for r in quality.assess(documents).join(documents.select("doc_id", "text"), "doc_id").collect():
+        words = W.findall((r["text"] or "").translate(LOWER))
+        best = []
+        for k, lang in enumerate(refs.langs):
+            p = [words.count(w.decode()) for w in refs.words[k]]
+            p, q = [*p, len(words) - sum(p)], refs.shares[k]
+            js = sum(x * math.log2(2 * x / (x + y)) for a, b in ((np.array(p) / max(len(words), 1), q),
+                     (q, np.array(p) / max(len(words), 1))) for x, y in zip(a, b) if x > 0) / 2
+            best.append((math.sqrt(max(js, 0)), sum(p[:-1]) / max(len(words), 1) / (1 - q[-1])))
+        if r["word_divergence"] is not None:
+            assert any(r["word_divergence"] == pytest.approx(d, abs=1e-6) and
+                       (r["common_share"] is None or r["common_share"] == pytest.approx(c)) for d, c in best)
+        if r["kept"]:
+            assert not r["base_failed"] and (r["common_share"] is None or r["common_share"] >= 0.25)
+
+
 def test_license_places(spark, table):
     words = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
     extra = spark.createDataFrame([(900, "Under the\nMIT-License, under the mit license"), (901, "cc by nc nd CC BY-NC 4.0"),
@@ -82,28 +117,44 @@ def test_license_places(spark, table):
 
 
 def test_containment_join_finds_all(spark):
-    """Every window against every template by counting sets."""
+    """Every block at every word against every template by counting sets."""
     rng = np.random.default_rng(3)
-    vocabulary = sorted({w for _, t in licenses.TEMPLATES for w in t.split()}) + ["alpha", "beta", "gamma"]
+    sets = [(label, licenses.words_of(t)) for label, t in licenses.TEMPLATES]
+    vocabulary = sorted({w for _, t in sets for w in t}) + [b"alpha", b"beta", b"gamma"]
     docs = []
-    for i in range(60):
-        words = list(rng.choice(vocabulary, 120))
-        at = int(rng.integers(0, 100))
-        words[at:at] = [w for w in licenses.TEMPLATES[i % len(licenses.TEMPLATES)][1].split() if rng.random() < 0.93]
-        docs.append((i, " ".join(words)))
-    found = licenses.scan(spark.createDataFrame(docs, "doc_id long, text string"), threshold=0.7).collect()
-    step = max(len(t.split()) for _, t in licenses.TEMPLATES)
-    for r in found:
-        words, want = dict(docs)[r["doc_id"]].split(), set()
-        for b in range(0, len(words), step):
-            block = set(words[b:b + 2 * step])
-            scores = [(len(block & set(t.split())) / len(set(t.split())), len(set(t.split())), label)
-                      for label, t in licenses.TEMPLATES]
-            scores = [s for s in scores if s[0] >= 0.7 - 1e-9]
-            if scores:
-                top = max(s[:2] for s in scores)
-                want |= {(label, b) for c, n, label in scores if (c, n) == top}
-        assert {(b["label"], b["start"]) for b in r["blocks"]} == want
+    for i in range(90):
+        words = list(rng.choice(vocabulary, int(rng.choice([0, 4, 120]))))
+        at = int(rng.integers(0, len(words) + 1))
+        words[at:at] = [w for w in sets[i % len(sets)][1] if rng.random() < 0.93]
+        docs.append((i, b" ".join(words).decode()))
+    docs.append((90, ", ".join(t for _, t in licenses.TEMPLATES)))
+    docs.append((91, "all rights reserved " * 50))
+    for threshold in (0.7, 0.85):
+        for r in licenses.scan(spark.createDataFrame(docs, "doc_id long, text string"), threshold=threshold).collect():
+            words, want = licenses.words_of(dict(docs)[r["doc_id"]]), []
+            for label, t in sets:
+                width, run = len(t) + int((1 - threshold) * len(t) + 1e-9), None
+                for s in range(max(1, len(words) - width + 1)):
+                    c = len(set(words[s:s + width]) & set(t)) / len(set(t))
+                    if c < threshold - 1e-9:
+                        run = None
+                    elif run is None:
+                        run = [label, s, min(len(words), s + width), c]
+                        want.append(run)
+                    else:
+                        run[2:] = [s + width, max(c, run[3])]
+            assert sorted([b["label"], b["start"], b["end"], b["containment"]] for b in r["blocks"]) == sorted(want)
+
+
+def test_licenses_side_by_side(spark):
+    bsd = "All rights reserved. Redistribution and use in source and binary forms, with or without modification, are permitted"
+    cases = {bsd: "all-rights-reserved,bsd", bsd.replace("binary", "other"): "all-rights-reserved,bsd",
+             "licensed under the apache license version 2 0 or released under the mit license": "apache-2,mit",
+             "this work is licensed under the gnu general public license version 2": "gpl-2",
+             "Licensed under CC BY-NC 4.0": "cc-by-nc",
+             "we are licensed by the city under section 2 of the version 0 license and apache people came": ""}
+    docs = spark.createDataFrame(list(enumerate(cases)), "doc_id long, text string")
+    assert by_id(licenses.digest(licenses.scan(docs)), "doc_id", "labels") == list(enumerate(cases.values()))
 
 
 def test_tokens_as_tiktoken(table):
@@ -358,8 +409,75 @@ def test_recurring_lines(spark):
     assert got[50] == got[3] and got[None] == got[5]
 
 
-def test_lines_below_the_limits_stay(odd):
-    assert by_id(lines.keep_first(odd, least_texts=50), "doc_id", "text") == by_id(odd, "doc_id", "text")
+def plain_lines(docs, depth=3, short=5, least_texts=10, least_constant=0.6):
+    """Texts after line dedup, by going through all lines in order."""
+    def tokens_of(line):
+        return ["<*>" if re.search("[0-9]", w) else w for w in W.findall(line)]
+
+    texts = {}
+    for doc_id, text in docs:
+        first = (doc_id is None, doc_id or 0)
+        texts[text or ""] = min(first, texts.get(text or "", first))
+    ordered = [(t, at, line) for t in sorted(texts, key=texts.get) for at, line in enumerate(t.split("\n"))
+               if re.search("[A-Za-z]|[^\x00-\x7f]", line)]
+    leaf_of = lambda ts: (len(ts), *(ts if len(ts) < short else ts[:depth]))
+    same, recur = {}, {}
+    # a token's weight is summed over lines, so a text with two lines of a leaf counts for each
+    weight = Counter()
+    for ts, t in {(tuple(tokens_of(line)), t) for t, _, line in ordered}:
+        for pos, w in enumerate(ts):
+            weight[leaf_of(ts), pos, w] += w != "<*>"
+
+    def template(ts):
+        fixed = tuple((p, w) for p, w in enumerate(ts) if weight[leaf_of(ts), p, w] >= least_texts)
+        return (leaf_of(ts), fixed) if len(fixed) >= least_constant * len(ts) else None
+
+    for t, at, line in ordered:
+        same.setdefault(tuple(W.findall(line)), []).append((t, at))
+        if (m := template(tuple(tokens_of(line)))) is not None:
+            recur.setdefault(m, []).append((t, at))
+    gone = {x for found, least in ((same, 2), (recur, least_texts)) for places in found.values()
+            if len({t for t, _ in places}) >= least for x in places[1:]}
+    return [(d, t if t is None else "\n".join(x for at, x in enumerate(t.split("\n")) if (t, at) not in gone)) for d, t in docs]
+
+
+def line_cases():
+    rng = np.random.default_rng(12)
+    words = ["".join(rng.choice(list("abcdefgh"), 5)) for _ in range(900)]
+    docs = []
+    for i in range(60):
+        own = [" ".join(rng.choice(words, int(rng.integers(2, 12)))) for _ in range(4)]
+        some = ["All rights reserved.", "版权所有不得转载", "---", "7", f"Page {i} of 60", f"Seen on day {i} by the staff", "",
+                f"Order {i % 7} was sent", "the passage of twelve words that only some of the texts here have"]
+        own += [x for x in some if rng.random() < (0.2 if x.startswith("the passage") else 0.7)]
+        docs.append((i, "\n".join(rng.permutation(own))))
+    return docs + [(99, docs[4][1]), (99, docs[4][1]), (None, docs[7][1]), (100, None), (101, "")]
+
+
+def test_lines_as_by_hand(spark, documents, odd):
+    for docs in (line_cases(), texts_of(documents), texts_of(odd)):
+        table = spark.createDataFrame(docs, "doc_id long, text string")
+        key = lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or "")
+        got = sorted(map(tuple, lines.keep_first(table).select("doc_id", "text").collect()), key=key)
+        assert got == sorted(plain_lines(docs), key=key)
+
+
+def test_short_unspaced_and_rare_lines_go(spark):
+    rng = np.random.default_rng(1)
+    own = [" ".join("".join(rng.choice(list("klmnop"), 6)) for _ in range(9)) for _ in range(40)]
+    docs = [(f"d{i:02}", "\n".join([own[i], "All rights reserved.", "版权所有不得转载",
+                                    *(["twelve words stand in this line which eight of all texts have today"] * (i < 8))]))
+            for i in range(40)]
+    got = {r["doc_id"]: r["text"] for r in lines.keep_first(spark.createDataFrame(docs, "doc_id string, text string")).collect()}
+    for line in docs[0][1].split("\n")[1:]:
+        assert sum(line in t for t in got.values()) == 1
+    assert all(own[i] in got[f"d{i:02}"] for i in range(40))
+
+
+def test_lines_of_one_text_stay(spark):
+    docs = [(i, f"text {chr(97 + i)} is of its own\nsame\nsame\n12\n---" if i < 1 else f"another {chr(97 + i)}\n12\n---") for i in range(20)]
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    assert by_id(lines.keep_first(table), "doc_id", "text") == docs
 
 
 def test_odd_rows_are_what_they_claim(odd):
