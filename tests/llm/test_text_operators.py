@@ -12,6 +12,7 @@ import pytest
 import tiktoken
 import xxhash
 
+from tests.llm import plain_lm
 from tests.llm.conftest import by_id, odd_rows
 from tillwork.llm import bpe, langid, licenses, lines, lm, mixing, quality, sharding, simhash
 
@@ -347,10 +348,10 @@ def test_scores(table):
 
 def test_automaton_is_a_distribution(documents):
     train = documents.where(~lm.held_out(documents["doc_id"]))
-    counts, total, distinct, model = lm.learn(train, share=1e-4)
-    automaton = lm.Automaton(model, total, distinct)
+    counts, total, distinct, model = plain_lm.learn(train, share=1e-4)
+    automaton = plain_lm.Automaton(model, total, distinct)
     known = {bytes(r["word"]): r["c"] for r in counts.collect()}
-    number = {lm.END: lm.END_ID} | {w: i + 2 for i, w in enumerate(model.words)}
+    number = {lm.END: plain_lm.END_ID} | {w: i + 2 for i, w in enumerate(model.words)}
     norm = total + 0.1 * (distinct + 1)
     for state in [0, 1, 2, 9, len(automaton.fail) - 1]:
         automaton.start = state
@@ -366,16 +367,16 @@ def test_automaton_is_a_distribution(documents):
 
 def test_scores_know_all_ngrams_seen_twice(table):
     """Against the automaton in one place that has every n-gram seen twice, walked token by token."""
-    _, total, distinct, model = lm.learn(table.where(~lm.held_out(table["doc_id"])), share=0)
-    automaton = lm.Automaton(model, total, distinct)
-    number = {lm.END: lm.END_ID} | {w: i + 2 for i, w in enumerate(model.words)}
+    _, total, distinct, model = plain_lm.learn(table.where(~lm.held_out(table["doc_id"])), share=0)
+    automaton = plain_lm.Automaton(model, total, distinct)
+    number = {lm.END: plain_lm.END_ID} | {w: i + 2 for i, w in enumerate(model.words)}
     learned = Counter(w for i, t in texts_of(table.where(~lm.held_out(table["doc_id"]))) for w in lm.tokens_of(t or ""))
     want = []
     for i, text in texts_of(table):
         tokens = lm.tokens_of(text or "")
         logs = [math.log10((learned[w] + 0.1) / (total + 0.1 * (distinct + 1))) for w in tokens]
         want.append((i is not None, i, automaton.score([number.get(w, -1) for w in tokens], logs)))
-    got = [(r["doc_id"] is not None, r["doc_id"], r["score"]) for r in lm.score(table, block_bytes=20_000).collect()]
+    got = [(r["doc_id"] is not None, r["doc_id"], r["score"]) for r in lm.score(table, block_bytes=20_000, stretch=50).collect()]
     key = lambda r: (r[0], r[1] or 0, r[2])
     want, got = sorted(want, key=key), sorted(got, key=key)
     assert [r[:2] for r in got] == [r[:2] for r in want]

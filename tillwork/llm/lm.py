@@ -3,9 +3,7 @@
 from __future__ import annotations
 
 import itertools
-from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +17,6 @@ from tillwork.llm.common import LOWER, settle, settle_and_free, texts
 END = b"\n"
 #: The discount of every n-gram's count, and what is added to every word's.
 DISCOUNT, ADDED = 0.75, 0.1
-START_ID, END_ID = 0, 1
 
 
 def tokens_of(text: str) -> list[bytes]:
@@ -33,157 +30,6 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % 10 == 0
 
 
-def word_counts(docs: DataFrame, most: int = 300_000) -> DataFrame:
-    """(word, c): all tokens of all texts. Tasks add up before they send, ``most`` words at a time."""
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter[bytes] = Counter()
-
-        def out() -> pa.RecordBatch:
-            batch = pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())],
-                                               names=["word", "c"])
-            seen.clear()
-            return batch
-
-        for batch in batches:
-            for text in texts(batch):
-                seen.update(tokens_of(text))
-                if len(seen) > most:
-                    yield out()
-        yield out()
-
-    return docs.select("text").mapInArrow(count, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
-
-
-@dataclass
-class Model:
-    """The kept n-grams: per order the sorted keys and counts.
-
-    A key is (index of its first n-1 words among the kept n-grams of that order) * words + last
-    word. Word 0 stands before every text, word 1 is its end.
-    """
-    words: list[bytes]  # from number 2 on
-    counts: np.ndarray  # of words
-    grams: list[tuple[np.ndarray, np.ndarray]]
-
-    def find(self, order: int, prefix: np.ndarray, last: np.ndarray) -> np.ndarray:
-        """Index among the kept n-grams of ``order`` (2 or more), -1 where there is none."""
-        keys = self.grams[order - 2][0]
-        key = prefix * len(self.counts) + last
-        if not len(keys):
-            return np.full(len(key), -1)
-        at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
-        return np.where((prefix >= 0) & (last >= 0) & (keys[at] == key), at, -1)
-
-
-def _sequence(batch: pa.RecordBatch, number: dict[bytes, int]) -> np.ndarray:
-    """All texts' word numbers, each text after a start; -1 for words that no n-gram has."""
-    ids: list[int] = []
-    get = number.get
-    for text in texts(batch):
-        ids.append(START_ID)
-        ids.extend([get(w, -1) for w in tokens_of(text)])
-    return np.array(ids, np.int64)
-
-
-def learn(docs: DataFrame, order: int = 3, share: float = 2e-5) -> tuple[DataFrame, int, int, Model]:
-    """Counts of all words (stored), tokens, distinct tokens, and the n-grams of a model in one place.
-
-    For small corpora, and to hold ``score`` against, which keeps no n-gram back. An n-gram is kept if it makes up at least ``share`` of all tokens (and occurs twice), at any
-    size of the corpus, so there are 1 / share of an order at most, and what tasks are sent is
-    bounded. Nothing is missed by building order on order: an n-gram is no more frequent than
-    its parts. Counting covers all training documents.
-    """
-    counts = settle(word_counts(docs), "lm-words")
-    total, distinct = counts.agg(F.sum("c"), F.count("*")).first()
-    total = total or 0
-    least = max(2, share * total)
-    texts_, frequent = docs.count(), counts.where((F.col("c") >= least) & (F.col("word") != F.lit(END))).collect()
-    frequent = sorted((bytes(w), c) for w, c in frequent)
-    model = Model([w for w, _ in frequent], np.array([texts_, texts_, *(c for _, c in frequent)], np.int64), [])
-    number = {END: END_ID} | {w: i + 2 for i, w in enumerate(model.words)}
-    for n in range(2, order + 1):
-        shared = docs.sparkSession.sparkContext.broadcast((number, model))
-
-        def count(batches: Iterator[pa.RecordBatch], n: int = n, shared=shared) -> Iterator[pa.RecordBatch]:
-            number, model = shared.value
-            for batch in batches:
-                ids = _sequence(batch, number)
-                gram = ids  # index of the kept k-gram that ends at each place
-                for k in range(2, n):
-                    gram = np.concatenate([[-1], model.find(k, gram[:-1], ids[1:])])
-                # both parts of a kept n-gram are kept: what precedes its last word, what follows its first
-                prefix, last = gram[:-1], np.where(gram[1:] >= 0, ids[1:], -1)
-                some = (prefix >= 0) & (last >= 0) & (last != START_ID)
-                keys, c = np.unique(prefix[some] * len(model.counts) + last[some], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(c.astype(np.int64))], names=["key", "c"])
-
-        kept = (docs.select("text").mapInArrow(count, "key long, c long").groupBy("key").agg(F.sum("c").alias("c"))
-                .where(F.col("c") >= least).orderBy("key").collect())
-        model.grams.append((np.array([r["key"] for r in kept], np.int64), np.array([r["c"] for r in kept], np.int64)))
-    return counts, int(total), int(distinct), model
-
-
-class Automaton:
-    """States are contexts, the root the empty one. An arc reads a word: log10 probability, next state.
-
-    Where a state has no arc for a word, its failure arc goes to the context without its first
-    word, at the cost of the state's backoff weight. The root reads any word by its own probability.
-    """
-
-    def __init__(self, model: Model, total: int, distinct: int):
-        size = len(model.counts)
-        self.size, self.start = size, START_ID + 1
-        root = (model.counts + ADDED) / (total + ADDED * (distinct + 1))
-        # states: 0 the root, then each order's n-grams in turn, as far as they are contexts
-        self.fail, self.weight = [0, *([0] * size)], [0.0]
-        self.arcs: dict[int, tuple[float, int]] = {}
-        contexts, shorter, lower, first = model.counts, None, root, 1
-        for n, (keys, counts) in enumerate(model.grams, start=2):
-            prefix, last = np.divmod(keys, size)
-            suffix = last if n == 2 else model.find(n - 1, shorter[prefix], last)
-            p = (counts - DISCOUNT) / np.maximum(contexts[prefix], 1)
-            left = 1 - np.bincount(prefix, p, len(contexts))
-            rest = 1 - np.bincount(prefix, lower[suffix], len(contexts))
-            self.weight += np.log10(np.maximum(left, 1e-12) / np.maximum(rest, 1e-12)).tolist()
-            # after an n-gram: itself where longer ones have it as context, else what follows its first word
-            longest = n == len(model.grams) + 1
-            after = first + suffix if longest else first + len(contexts) + np.arange(len(keys))
-            self.arcs.update(zip(((first + prefix) * size + last).tolist(), zip(np.log10(p).tolist(), after.tolist())))
-            if not longest:
-                self.fail += (first + suffix).tolist()
-                first += len(contexts)
-            contexts, shorter, lower = counts, suffix, p
-        if not model.grams:
-            self.weight += [0.0] * size
-        down: list[float] = []
-        for s, f in enumerate(self.fail):
-            down.append(self.weight[s] + (down[f] if s else 0.0))
-        self.to_root = down
-
-    def score(self, words: list[int], logs: list[float]) -> float:
-        """Log10 probability of a text, left to right; ``logs`` are the words' own at the root."""
-        get, size, fail, weight, to_root = self.arcs.get, self.size, self.fail, self.weight, self.to_root
-        state, sum_ = self.start, 0.0
-        for w, log in zip(words, logs, strict=True):
-            if w < 0:  # no arc anywhere: all failure arcs down to the root
-                sum_ += to_root[state] + log
-                state = 0
-                continue
-            while True:
-                arc = get(state * size + w)
-                if arc is not None:
-                    sum_ += arc[0]
-                    state = arc[1]
-                    break
-                if not state:
-                    sum_ += log
-                    state = w + 1
-                    break
-                sum_ += weight[state]
-                state = fail[state]
-        return sum_
-
-
 # Scoring at any size. Texts lie in stored blocks. Each block asks for its distinct n-grams, with its own
 # training counts, at parts of the key space, and parts answer with the corpus counts: one exchange
 # counts and looks up. Contexts' backoff weights are summed up and looked up in the same way.
@@ -345,14 +191,82 @@ class Known:
         return out
 
 
-def score(docs: DataFrame, order: int = 3, least: int = 2, block_bytes: int = 8_000_000) -> DataFrame:
+class Arcs:
+    """A block's automaton. States are contexts, 0 the root and 1 + g the n-gram number g; an n-gram is the
+    arc that leaves the state of all its words but the last and reads that one. Where a state has no arc for
+    a word, its failure arc goes to the context without its first word, at the cost of the backoff
+    weight. The root reads any word by its own probability.
+    """
+
+    def __init__(self, block: Block, known: Known, sums: list[np.ndarray]):
+        sizes = [len(keys) for keys in block.keys]
+        self.first = [0, *np.cumsum(sizes).tolist()]  # each order's first n-gram
+        self.reach = len(sizes) - 1  # words that a state stands for at most
+        state = lambda n, of: (1 + self.first[n - 1] + of).astype(np.int32)
+        logs, leaves, after, fail, weight = [], [], [], [np.zeros(1, np.int32)], [np.zeros(1)]
+        for n, size in enumerate(sizes, start=1):
+            kept = known.counts[n - 1] > 0
+            suffix = state(n - 1, known.suffix[n - 2]) if n > 1 else np.zeros(size, np.int32)
+            logs.append(np.log10(np.where(kept, known.p[n - 1], 1.0) if n > 1 else known.p[0]))
+            leaves.append(np.where(kept, state(n - 1, known.prefix[n - 2]), -1) if n > 1 else np.zeros(size, np.int32))
+            if n <= self.reach:
+                after.append(state(n, np.arange(size)))
+                fail.append(suffix)
+                weight.append(known.weights(n, sums[n - 1]))
+            else:
+                after.append(suffix)
+        self.logs, self.leaves, self.after, self.fail, self.weight = map(np.concatenate, (logs, leaves, after, fail, weight))
+        self.depth = np.repeat(np.arange(self.reach + 1, dtype=np.int8), [1, *sizes[:self.reach]])
+
+    def read(self, block: Block, state: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Each state reads the word at its place: log10 probability, next state."""
+        log, arc = np.zeros(len(state)), np.empty(len(state), np.int64)
+        at = np.arange(len(state))  # those that have not read yet
+        for depth in range(self.reach, -1, -1):
+            here = self.depth[state] == depth
+            some, of = at[here], state[here]
+            found = self.first[depth] + block.at[depth][place[some]]
+            has = self.leaves[found] == of
+            log[some[has]] += self.logs[found[has]]
+            arc[some[has]] = found[has]
+            falls = ~has
+            log[some[falls]] += self.weight[of[falls]]
+            at = np.concatenate([at[~here], some[falls]])
+            state = np.concatenate([state[~here], self.fail[of[falls]]])
+        return log, self.after[arc]
+
+    def scores(self, block: Block, stretch: int) -> np.ndarray:
+        """Log10 probability of each text, from left to right, all texts at once. A text of over ``stretch``
+        words goes in several: a state knows ``reach`` words, so one that starts at the root as many words
+        ahead has the text's own state where its stretch begins."""
+        many = -(-block.lengths // stretch)
+        text = np.repeat(np.arange(len(many)), many)
+        nth = np.arange(len(text)) - np.repeat(np.cumsum(many) - many, many)
+        ahead = np.where(nth > 0, self.reach, 0)
+        length = np.minimum(stretch, block.lengths[text] - nth * stretch) + ahead
+        order = np.argsort(-length, kind="stable")
+        text, nth, ahead, length = text[order], nth[order], ahead[order], length[order]
+        place = block.firsts[text] + 1 + nth * stretch - ahead
+        start = 1 + block.at[0][block.firsts[text]] if self.reach else 0
+        state = np.where(nth > 0, 0, start).astype(np.int32)
+        sums = np.zeros(len(text))
+        for k in range(int(length[0])):
+            n = int(np.searchsorted(-length, -k))  # those with a word left
+            log, state[:n] = self.read(block, state[:n], place[:n] + k)
+            sums[:n] += np.where(k < ahead[:n], 0.0, log)
+        return np.bincount(text, sums, len(many))
+
+
+def score(docs: DataFrame, order: int = 3, least: int = 2, block_bytes: int = 8_000_000,
+          stretch: int = 256) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every document.
 
     Tokens are the words in lower case (A-Z) and one end. ``base_score`` adds the words' own log10
     probabilities, ``score`` is that of the automaton whose states are all n-grams seen ``least``
-    times or more. What has been read before a token decides its state, so all places of a block
-    follow their arcs and failure arcs at once. Neither words nor n-grams, which grow with the
-    corpus, are ever in one place: a block is told of those it meets. They go by 64-bit hashes,
+    times or more: each text is read from left to right, the k-th words of all texts of a block at
+    once, and the states that were reached carried on, by arcs or failure arcs. Neither words nor
+    n-grams, which grow with the corpus, are ever in one place: a block is told of those it meets.
+    They go by 64-bit hashes,
     so of N distinct n-grams about N * N / 2 ** 65 pairs are taken for one. A null or empty text is
     one end. A null doc_id is held out; repeated rows are scored each, and learned from each, if
     not held out. Without training documents every probability is that of a corpus without tokens.
@@ -464,22 +378,14 @@ def score(docs: DataFrame, order: int = 3, least: int = 2, block_bytes: int = 8_
         sums = block.answers([r for r in rows if r["weight"]], 3)
         own = np.log10(known.p[0])[block.at[0]]
         own[block.firsts] = 0.0
-        full = own
-        for n in range(2, order + 1):
-            weight = known.weights(n - 1, sums[n - 2])
-            places = np.flatnonzero(block.place >= n - 1)  # with a context of n - 1 tokens
-            gram = block.at[n - 1][places]
-            arc = known.counts[n - 1][gram] > 0
-            step = weight[block.at[n - 2][places - 1]] + full[places]
-            step[arc] = np.log10(known.p[n - 1][gram[arc]])
-            full = full.copy()
-            full[places] = step
         seen = known.counts[0][block.at[0]] > 0
         seen[block.firsts] = False
+        arcs = Arcs(block, known, sums)
+        del known, sums, rows
         of_texts = lambda x: np.add.reduceat(x, block.firsts)
         return pa.table({"doc_id": texts_.column("ids").combine_chunks().flatten(), "n_tokens": pa.array(block.lengths),
                          "n_known": pa.array(of_texts(seen.astype(np.int64))), "base_score": pa.array(of_texts(own)),
-                         "score": pa.array(of_texts(full))})
+                         "score": pa.array(arcs.scores(block, stretch))})
 
     scored = by_block.cogroup(answers.groupBy("block")).applyInArrow(
         one, f"doc_id {id_kind}, n_tokens long, n_known long, base_score double, score double")
