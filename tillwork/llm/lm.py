@@ -88,29 +88,46 @@ def stored_blocks(docs: DataFrame, block_bytes: int) -> DataFrame:
     return rows.mapInArrow(work, f"block long, ids array<{kind}>, held array<boolean>, sizes array<long>, data binary")
 
 
+def _numbered(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The sorted distinct keys, and each key's index among them."""
+    low = np.uint64((1 << len(keys).bit_length()) - 1)
+    # numbers sort faster than they are argsorted: the places take the low bits, which rarely decide
+    order = (np.sort((keys & ~low) | np.arange(len(keys), dtype=np.uint64)) & low).astype(np.int64)
+    keys_ = keys[order]
+    if (keys_[1:] < keys_[:-1]).any():
+        order = np.argsort(keys)
+        keys_ = keys[order]
+    new = np.ones(len(keys), bool)
+    new[1:] = keys_[1:] != keys_[:-1]
+    back = np.empty(len(keys), np.int32)
+    back[order] = np.cumsum(new, dtype=np.int32) - 1
+    return keys_[new], back
+
+
 class Block:
-    """A block's n-grams. ``keys[n - 1]`` are the sorted distinct 64-bit keys of order n; ``at[n - 1]``
-    has each place's index among them, -1 where fewer than n tokens end; ``where`` one place of each."""
+    """A block's n-grams. ``keys[n - 1]`` are the sorted distinct 64-bit keys of order n. To ask for them,
+    ``counts`` are their own training counts; to read, ``at[n - 1]`` has each place's index among them, -1
+    where fewer than n tokens end, and ``where`` one place of each."""
 
-    def __init__(self, sizes: list[int], held: list[bool], data: bytes, order: int):
+    def __init__(self, sizes: list[int], held: list[bool], data: bytes, order: int, to_ask: bool = False):
         joined = pa.decompress(data, decompressed_size=sum(sizes), codec="zstd", asbytes=True)
-        number: dict[bytes, int] = {}
-        ids: list[int] = []
-        start, lengths = 0, []
+        tokens: list[bytes] = []
+        start, ends = 0, []
         for size in sizes:
-            tokens = joined[start:start + size].translate(LOWER).split()
+            tokens += joined[start:start + size].translate(LOWER).split()
             start += size
             tokens.append(END)
-            lengths.append(len(tokens))
-            ids.append(-1)  # the last of ``hashes``: what stands before a text
-            ids.extend([number.setdefault(w, len(number)) for w in tokens])
-        hashes = np.array([*map(xxhash.xxh64_intdigest, number), 0], np.uint64)
-        hashes[-1] = _START_KEY
-        words = hashes[np.array(ids, np.int64)]
-        self.lengths = np.array(lengths, np.int64)
+            ends.append(len(tokens))
+        coded = pa.array(tokens, pa.large_binary()).dictionary_encode()
+        del tokens, joined
+        self.lengths = np.diff(ends, prepend=0)
         self.firsts = np.cumsum(self.lengths + 1) - self.lengths - 1  # the places before texts
-        self.place = np.arange(len(words)) - np.repeat(self.firsts, self.lengths + 1)
-        learned = np.repeat(~np.array(held, bool), self.lengths + 1)
+        self.place = (np.arange(len(coded) + len(sizes)) - np.repeat(self.firsts, self.lengths + 1)).astype(np.int32)
+        hashes = np.fromiter(map(xxhash.xxh64_intdigest, coded.dictionary.to_numpy(zero_copy_only=False)), np.uint64)
+        words = np.full(len(self.place), _START_KEY)
+        words[self.place > 0] = hashes[coded.indices.to_numpy()]
+        del coded, hashes
+        learned = np.repeat(~np.array(held, bool), self.lengths + 1) if to_ask else None
         self.keys, self.at, self.where, self.counts = [], [], [], []
         key = words
         for n in range(1, order + 1):
@@ -118,16 +135,18 @@ class Block:
                 key = np.concatenate([key[:1], key[:-1]]) * _ODD + words
                 key = (key ^ (key >> np.uint64(31))) * _FURTHER
                 key ^= key >> np.uint64(29)
-            some = np.flatnonzero(self.place >= n - 1)
-            distinct, back = np.unique(key[some], return_inverse=True)  # asking for first places sorts slower
-            one = np.empty(len(distinct), np.int64)
-            one[back] = some
-            at = np.full(len(words), -1, np.int64)
-            at[some] = back
+            some = np.flatnonzero(self.place >= n - 1).astype(np.int32)
+            distinct, back = _numbered(key[some])
+            if to_ask:
+                self.counts.append(np.bincount(back[learned[some]], minlength=len(distinct)))
+            else:
+                one = np.empty(len(distinct), np.int32)
+                one[back] = some
+                at = np.full(len(words), -1, np.int32)
+                at[some] = back
+                self.at.append(at)
+                self.where.append(one)
             self.keys.append(distinct)
-            self.at.append(at)
-            self.where.append(one)
-            self.counts.append(np.bincount(back[learned[some]], minlength=len(distinct)))
 
     def parts(self, n: int, parts: int, some: np.ndarray | slice = slice(None)) -> Iterator[tuple[int, int, int]]:
         """(part, start, end) of the sorted keys of order n: stretches of the key space."""
@@ -279,7 +298,7 @@ def score(docs: DataFrame, order: int = 3, least: int = 2, block_bytes: int = 8_
         for batch in batches:
             for row in range(len(batch)):
                 b, sizes, held, data = (batch.column(c)[row].as_py() for c in ("block", "sizes", "held", "data"))
-                block = Block(sizes, held, data, order)
+                block = Block(sizes, held, data, order, to_ask=True)
                 for n in range(1, order + 1):
                     cut = list(block.parts(n, parts))
                     yield pa.RecordBatch.from_arrays(
@@ -376,6 +395,7 @@ def score(docs: DataFrame, order: int = 3, least: int = 2, block_bytes: int = 8_
         rows = answers.to_pylist()
         known = Known(block, [r for r in rows if not r["weight"]], least, total, distinct)
         sums = block.answers([r for r in rows if r["weight"]], 3)
+        block.where.clear()
         own = np.log10(known.p[0])[block.at[0]]
         own[block.firsts] = 0.0
         seen = known.counts[0][block.at[0]] > 0
