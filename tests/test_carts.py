@@ -162,6 +162,20 @@ def test_replay_is_what_one_after_another_gives(spark, seed):
     assert 1 < max(r.ronda for r in got) < 20 and {r.ronda == 0 for r in got} == {True, False}
 
 
+def test_a_replay_round_moves_undecided_lines_only(spark, seed, monkeypatch):
+    moved, keep = [], C.settle
+    monkeypatch.setattr(C, "settle", lambda df, label: moved.append((label, kept := keep(df, label))) or kept)
+    # product 1 is sold out by the third cart; all others but the last two wait for nobody
+    lines = [(c, 0, 1 if c < 40 else 2, 10, NOW + dt.timedelta(hours=c)) for c in range(1, 60)]
+    df = spark.createDataFrame(lines, "cart_id int, pos int, id_producto int, cantidad int, submitted_at timestamp_ntz")
+    goods = seed["productos"].withColumn("stock", F.lit(25))
+    got = {r.cart_id: r.aceptado for r in C.replay_stock(df, goods).collect()}
+    assert got == {c: c in (1, 2, 40, 41) for c in range(1, 60)}
+    waiting = [kept.count() for label, kept in moved if label == "waiting"]
+    # the first round decides the four that fit, the second refuses all others
+    assert waiting == [59, 55]
+
+
 def test_cancel(spark, seed):
     req = spark.createDataFrame([(7, "por teléfono"), (1, "tarde"), (99, None), (6, "ya"), (8, None), (8, "a"), (8, "b"),
                                  (7, "antes, pero después")], "id_venta int, motivo string")
