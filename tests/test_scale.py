@@ -95,3 +95,10 @@ def test_fact_windows_are_bounded(small):
     plan = plan_of(D.apportioned_lines(small["ventas"], small["detalle_ventas"]))
     assert "Window" not in plan
     assert "Window" in plan_of(s.dim_c)
+
+
+def test_import_keys_are_hashed(tight, small):
+    """A sort on a collated key would ask for its bytes at every comparison."""
+    feeds = DirtyFeeds(small)
+    plan = plan_of(I.validate_products(feeds.productos(), small["categorias"], feeds.catalogo(), I.STRICT))
+    assert plan.lower().count("shuffledhashjoin [collationkey") == 2 and "sortmergejoin [collationkey" not in plan.lower()

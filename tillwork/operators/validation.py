@@ -37,16 +37,17 @@ def mark_key(df: DataFrame, key: Column, target_keys: DataFrame, target_key: Col
 
     ``eligible`` says whether a row passes every other rejecting rule. The batch is folded
     to one row per key before the target is looked up, so rows move once on their key, and
-    a key shared by very many rows is split in that move.
+    a key shared by very many rows is split in that move. Both joins hash the key: the folded side has
+    one row per key, and a sort would ask the collation for a key's bytes at every comparison.
     """
     known = target_keys.select(target_key.alias("_tk")).distinct().withColumn("_taken", F.lit(True))
     rows = df.withColumn("_key", key)
     # The filter is what the join implies for matches; missing keys never match anything.
     facts = (rows.where(F.col("_key").isNotNull()).groupBy("_key")
              .agg(F.min(F.when(eligible, F.col(row_id))).alias("_first"))
-             .join(known, F.col("_key") == F.col("_tk"), "left")
+             .join(known.hint("shuffle_hash"), F.col("_key") == F.col("_tk"), "left")
              .select("_key", "_first", F.coalesce("_taken", F.lit(False)).alias("_taken")))
-    return (rows.join(own_exchange(facts, "_key"), "_key", "left")
+    return (rows.join(own_exchange(facts, "_key").hint("shuffle_hash"), "_key", "left")
             .withColumn(taken, F.coalesce("_taken", F.lit(False)))
             .withColumn(repeated, F.coalesce(~F.col("_taken") & (F.col(row_id) > F.col("_first")), F.lit(False)))
             .drop("_key", "_first", "_taken"))
