@@ -28,6 +28,12 @@ def _sum(col: str, name: str) -> Column:
     return F.sum(col).alias(name)
 
 
+def _visits(rows: DataFrame, *keys: str, name: str) -> DataFrame:
+    """Distinct sales per key: pairs alone are shuffled, without the sums that a common aggregate would carry."""
+    pairs = rows.where(F.col("id_venta_nk").isNotNull()).select(*keys, "id_venta_nk").distinct()
+    return pairs.groupBy(*keys).agg(F.count("*").alias(name))
+
+
 def _total(col: str) -> Column:
     return F.col(col).cast(S.TOTAL).alias(col)
 
@@ -62,10 +68,12 @@ def product_sales(fact: DataFrame, dim_p: DataFrame) -> DataFrame:
 
     Lines are folded per product before the dimension is joined; the total reads one column.
     """
-    folded = _live(fact).groupBy("id_producto_sk").agg(
+    rows = _live(fact)
+    folded = rows.groupBy("id_producto_sk").agg(
         _sum("cantidad", "unidades_vendidas"), F.sum("monto_neto_linea").cast(S.TOTAL).alias("monto_neto_total"),
-        F.sum("precio_unitario").alias("_p"), F.count("precio_unitario").alias("_n"),
-        F.count_distinct("id_venta_nk").alias("apariciones_en_ventas"))
+        F.sum("precio_unitario").alias("_p"), F.count("precio_unitario").alias("_n"))
+    folded = (folded.join(_visits(rows, "id_producto_sk", name="_visits"), "id_producto_sk", "left")
+              .withColumn("apariciones_en_ventas", F.coalesce("_visits", F.lit(0))))
     sold = folded.join(dim_p.select("id_producto_sk", "nombre_producto", "nombre_categoria", "rango_precio"),
                        "id_producto_sk")
     # every sold product has its row in the dimension, so the total needs neither the join nor the fold

@@ -74,44 +74,60 @@ def dim_product(productos: DataFrame, categorias: DataFrame, bands=S.PRICE_BANDS
         F.col("precio").alias("precio_actual"), "activo", *extra)
 
 
-def apportioned_lines(ventas: DataFrame, lines: DataFrame) -> DataFrame:
+def apportioned_lines(ventas: DataFrame, lines: DataFrame, product: DataFrame | None = None) -> DataFrame:
     """Lines of the sales that count, with the sale total spread over them by gross amount.
 
     Sums per sale come from an aggregate that combines before it shuffles, joined back on
     the sale; a window per sale would hold the largest sale in one task. Headers are
     shuffled once more before lines join them, which lets a sale with very many lines be split.
     Over tables bucketed on the sale (``sources.layout``) lines are not shuffled at all. A line
-    whose amount has too many digits has none, and no part of the total.
+    whose amount has too many digits has none, and no part of the total. Lines take along the
+    columns of ``product`` (by id_producto), looked up while they are narrow; those of unknown
+    products are left out, but count in their sale.
     """
-    line = lines.select("id_venta", "id_producto", "cantidad", "precio_unitario",
-                        (F.col("cantidad") * F.col("precio_unitario")).try_cast(S.MONEY).alias("monto_bruto_linea"))
-    gross = line.groupBy("id_venta").agg(F.sum("monto_bruto_linea").cast(S.WIDE).alias("_gross"))
+    return _spread(_with_whole(ventas, lines, product))
+
+
+def _gross_amount() -> Column:
+    return (F.col("cantidad") * F.col("precio_unitario")).try_cast(S.MONEY).alias("monto_bruto_linea")
+
+
+def _with_whole(ventas: DataFrame, lines: DataFrame, product: DataFrame | None) -> DataFrame:
+    """Lines with their sale's header and gross sum: what ``_spread`` needs of other rows."""
+    line = lines.select("id_venta", "id_producto", "cantidad", "precio_unitario")
+    gross = (line.select("id_venta", _gross_amount()).groupBy("id_venta")
+             .agg(F.sum("monto_bruto_linea").cast(S.WIDE).alias("_gross")))
     header = ventas.where(F.col("estado") != S.CANCELLED).join(gross, "id_venta")
     # the discount is what the sale total leaves off; negative where the total is higher
     header = own_exchange(header.withColumnRenamed("total", "total_venta"), "id_venta")
-    joined = line.join(header, "id_venta")
-    return money.apportion(joined, "monto_bruto_linea", "total_venta", "_gross", pct="descuento_pct",
-                           off="monto_descuento", net="monto_neto_linea").drop("_gross")
+    return (line if product is None else line.join(product, "id_producto")).join(header, "id_venta")
 
 
-def fact_sales(ventas: DataFrame, lines: DataFrame, dim_c: DataFrame, dim_p: DataFrame) -> DataFrame:
+def _spread(whole: DataFrame) -> DataFrame:
+    return money.apportion(whole.select("*", _gross_amount()), "monto_bruto_linea", "total_venta", "_gross",
+                           pct="descuento_pct", off="monto_descuento", net="monto_neto_linea").drop("_gross")
+
+
+def fact_sales(ventas: DataFrame, lines: DataFrame, dim_c: DataFrame, dim_p: DataFrame,
+               layout: str | None = None) -> DataFrame:
     """The fact: one row per line of a sale that was not cancelled.
 
-    Customer keys are looked up on sale headers, before lines multiply them.
+    Customer keys are looked up on sale headers, before lines multiply them. With ``layout`` the
+    rows of a value of that column are brought together, in as many parts of advisory size as it
+    needs, before amounts and calendar columns make them wide.
     """
-    header = ventas.select("id_venta", "id_cliente", "fecha_venta", "total", "estado").join(
+    header = ventas.select("id_venta", "id_cliente", "total", "estado", F.col("fecha_venta").cast("date").alias("_day")).join(
         own_exchange(dim_c.select(F.col("id_cliente_nk").alias("id_cliente"), "id_cliente_sk"), "id_cliente"),
         "id_cliente")
-    priced = apportioned_lines(header, lines).join(
-        dim_p.select(F.col("id_producto_nk").alias("id_producto"), "id_producto_sk"), "id_producto")
-    day = F.col("fecha_venta").cast("date")
-    return priced.select(
-        dates.date_key(day).alias("id_tiempo"), "id_cliente_sk", "id_producto_sk",
+    rows = _with_whole(header, lines, dim_p.select(F.col("id_producto_nk").alias("id_producto"), "id_producto_sk"))
+    rows = rows.withColumn("anio_venta", F.year("_day"))
+    return _spread(rows.hint("rebalance", layout) if layout else rows).select(
+        dates.date_key(F.col("_day")).alias("id_tiempo"), "id_cliente_sk", "id_producto_sk",
         F.col("id_venta").alias("id_venta_nk"), F.col("id_cliente").alias("id_cliente_nk"),
         F.col("id_producto").alias("id_producto_nk"), "cantidad", "precio_unitario", "monto_bruto_linea",
         "descuento_pct", "monto_descuento", "monto_neto_linea", "total_venta",
-        F.col("estado").alias("estado_venta"), F.year(day).alias("anio_venta"), F.month(day).alias("mes_venta"),
-        F.quarter(day).alias("trimestre_venta"))
+        F.col("estado").alias("estado_venta"), "anio_venta", F.month("_day").alias("mes_venta"),
+        F.quarter("_day").alias("trimestre_venta"))
 
 
 def rounding_residual(fact: DataFrame) -> DataFrame:
@@ -139,15 +155,11 @@ def run_etl(t: dict[str, DataFrame], folder: str, start: dt.date | None = None,
         ("DimProducto", lambda: dim_product(t["productos"], t["categorias"], loaded_at=now, **options), None),
         ("HechoVentas", lambda: fact_sales(
             t["ventas"], t["detalle_ventas"], spark.read.parquet(f"{folder}/DimCliente"),
-            spark.read.parquet(f"{folder}/DimProducto")), "anio_venta"),
+            spark.read.parquet(f"{folder}/DimProducto"), layout="anio_venta"), "anio_venta"),
     ]
     counts = []
     for position, (name, build, layout) in enumerate(steps, start=1):
-        frame = build()
-        if layout:
-            # rows of a year together, in as many files of advisory size as the year needs
-            frame = frame.hint("rebalance", layout)
-        writer = frame.write.mode("overwrite")
+        writer = build().write.mode("overwrite")
         (writer.partitionBy(layout) if layout else writer).parquet(f"{folder}/{name}")
         stamp = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
         counts.append(spark.read.parquet(f"{folder}/{name}").agg(F.count("*").alias("filas")).select(
