@@ -92,15 +92,16 @@ def category_rollup(fact: DataFrame, dim_p: DataFrame) -> DataFrame:
     """Per category and in total, with shares.
 
     ``pct_categoria`` divides by the sum over all report rows, the total included, as the
-    report always did; ``pct_real`` divides by the total. Lines are folded per category and
-    sale first, so the rollup expands those rows and not the lines.
+    report always did; ``pct_real`` divides by the total. Lines are folded per category, and
+    the distinct sales counted beside that, so the rollup expands one row per category.
     """
-    cat = dim_p.select("id_producto_sk", "nombre_categoria")
-    folded = (_live(fact).join(cat, "id_producto_sk").groupBy("nombre_categoria", "id_venta_nk")
-              .agg(*[_sum(c, n) for n, c in _SUMS.items()]))
-    rolled = folded.rollup("nombre_categoria").agg(
-        F.grouping("nombre_categoria").alias("_total"), F.count_distinct("id_venta_nk").alias("ventas"),
-        *[_sum(n, n) for n in _SUMS])
+    rows = _live(fact).join(dim_p.select("id_producto_sk", "nombre_categoria"), "id_producto_sk")
+    amounts = rows.groupBy("nombre_categoria").agg(*[_sum(c, n) for n, c in _SUMS.items()])
+    both = amounts.unionByName(_visits(rows, "nombre_categoria", name="ventas"), allowMissingColumns=True)
+    every_sale = rows.agg(F.count_distinct("id_venta_nk")).scalar()
+    rolled = both.rollup("nombre_categoria").agg(
+        F.grouping("nombre_categoria").alias("_total"), _sum("ventas", "ventas"), *[_sum(n, n) for n in _SUMS])
+    rolled = rolled.withColumn("ventas", F.when(F.col("_total") == 1, every_sale).otherwise(F.coalesce("ventas", F.lit(0))))
     # one row per category: small by nature
     every = Window.partitionBy()
     grand = F.max(F.when(F.col("_total") == 1, F.col("neto"))).over(every)
