@@ -168,10 +168,11 @@ _CELL = ["periodo", "categoria"]
 
 def month_category_oltp(t: dict[str, DataFrame]) -> DataFrame:
     """Month by category straight from the operational tables."""
-    lines = apportioned_lines(t["ventas"].select("id_venta", "fecha_venta", "total", "estado"), t["detalle_ventas"])
     product = (t["productos"].select("id_producto", "id_categoria")
-               .join(t["categorias"].select("id_categoria", F.col("nombre").alias("categoria")), "id_categoria"))
-    return (lines.join(product, "id_producto").withColumn("periodo", dates.month_key(F.col("fecha_venta")))
+               .join(t["categorias"].select("id_categoria", F.col("nombre").alias("categoria")), "id_categoria")
+               .select("id_producto", "categoria"))
+    lines = apportioned_lines(t["ventas"].select("id_venta", "fecha_venta", "total", "estado"), t["detalle_ventas"], product)
+    return (lines.withColumn("periodo", dates.month_key(F.col("fecha_venta")))
             .groupBy(*_CELL)
             .agg(F.count_distinct("id_venta").alias("ventas"), _sum("cantidad", "unidades"),
                  F.sum("monto_bruto_linea").cast(S.TOTAL).alias("monto_bruto"),
@@ -182,9 +183,11 @@ def month_category_oltp(t: dict[str, DataFrame]) -> DataFrame:
 def month_category_dw(fact: DataFrame, calendar: DataFrame, dim_p: DataFrame) -> DataFrame:
     """The same question answered from the star: two joins, one of them on folded days."""
     cat = dim_p.select("id_producto_sk", F.col("nombre_categoria").alias("categoria"))
-    per_day = (_live(fact).join(cat, "id_producto_sk").groupBy("id_tiempo", "categoria")
-               .agg(F.count_distinct("id_venta_nk").alias("ventas"), _sum("cantidad", "unidades"),
-                    _sum("monto_bruto_linea", "monto_bruto"), _sum("monto_neto_linea", "monto_neto")))
+    rows = _live(fact).join(cat, "id_producto_sk")
+    amounts = rows.groupBy("id_tiempo", "categoria").agg(
+        F.lit(0).cast("bigint").alias("ventas"), _sum("cantidad", "unidades"), _sum("monto_bruto_linea", "monto_bruto"),
+        _sum("monto_neto_linea", "monto_neto"))
+    per_day = amounts.unionByName(_visits(rows, "id_tiempo", "categoria", name="ventas"), allowMissingColumns=True)
     return (per_day.join(calendar.select("id_tiempo", F.col("anio_mes").alias("periodo")), "id_tiempo")
             .groupBy(*_CELL)
             .agg(_sum("ventas", "ventas"), _sum("unidades", "unidades"),
