@@ -179,3 +179,40 @@ def test_bucketed_lines_stay_where_they_are(spark, seed, tmp_path):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.sql("DROP DATABASE cubos CASCADE")
+
+
+def _stored(df, path):
+    df.write.parquet(str(path))
+    return df.sparkSession.read.parquet(str(path))
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def _sales(spark, seed, tmp_path):
+    dim_c, dim_p = star.dim_customer(seed["clientes"], seed["ventas"]), star.dim_product(seed["productos"], seed["categorias"])
+    fact = star.fact_sales(seed["ventas"], seed["detalle_ventas"], dim_c, dim_p)
+    return _stored(fact, tmp_path / "fact"), dim_c, dim_p, star.dim_date_of(seed["ventas"])
+
+
+def test_rows_are_rebalanced_before_they_are_wide(spark, seed):
+    dim_c, dim_p = star.dim_customer(seed["clientes"], seed["ventas"]), star.dim_product(seed["productos"], seed["categorias"])
+    fact = star.fact_sales(seed["ventas"], seed["detalle_ventas"], dim_c, dim_p, layout="anio_venta")
+    above, below = fact._jdf.queryExecution().optimizedPlan().toString().split("RebalancePartitions", 1)
+    assert "monto_neto_linea" in above and "anio_venta" in below
+    assert not any(c in below for c in ("monto_neto_linea", "descuento_pct", "trimestre_venta"))
+
+
+def test_concentration_reads_its_report_once(spark, seed, tmp_path):
+    fact, _, dim_p, _ = _sales(spark, seed, tmp_path)
+    found = R.concentration(R.product_sales(fact, dim_p))
+    assert not set(found.inputFiles()) & set(fact.inputFiles()) and found.count() > 1
+
+
+@pytest.mark.parametrize("name", ["product_sales", "category_rollup", "month_category_dw"])
+def test_distinct_sales_are_counted_without_the_sums(spark, seed, tmp_path, name):
+    fact, _, dim_p, calendar = _sales(spark, seed, tmp_path)
+    report = R.month_category_dw(fact, calendar, dim_p) if name == "month_category_dw" else getattr(R, name)(fact, dim_p)
+    per_sale = [l for l in _plan(report).splitlines() if "HashAggregate(keys=[" in l and "id_venta_nk" in l.split("functions=")[0]]
+    assert per_sale and all("functions=[]" in l for l in per_sale) and "monto_neto" in _plan(report)

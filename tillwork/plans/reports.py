@@ -15,6 +15,7 @@ from tillwork import schema as S
 from tillwork.functions import dates, money
 from tillwork.operators.sequence import rank_by, value_ladder
 from tillwork.plans.star import apportioned_lines
+from tillwork.session import settle
 
 _SUMS = {"unidades": "cantidad", "bruto": "monto_bruto_linea", "descuentos": "monto_descuento",
          "neto": "monto_neto_linea"}
@@ -214,8 +215,9 @@ def reconcile(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
 def concentration(products: DataFrame, net: str = "monto_neto_total", key: str = "id_producto_sk") -> DataFrame:
     """Share of each product, and of all products at least as large, in the total.
 
-    Products with equal amounts share one cumulative figure.
+    Products with equal amounts share one cumulative figure. The report is stored, as it is read three times.
     """
+    products = settle(products.select(key, net), "products")
     ladder = value_ladder(products, net)
     total = products.agg(F.sum(net).cast(S.TOTAL)).scalar()
     return (products.join(ladder, net)
